@@ -107,3 +107,7 @@ SELECT {ROUND_PROFILE_SQL}, dominant_category, age_band, income_band, spending_b
        (SELECT string_agg(c.product, ', ' ORDER BY c.rnk) FROM cat c WHERE c.rule = ruled.prod_rule AND c.rnk < 3) AS top_products
 FROM ruled
 """)(profile_kmeans)
+
+
+# The rest of the catalogue registers itself on import.
+from cohortlens.plans import q_tables  # noqa: E402,F401

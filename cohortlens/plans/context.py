@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.config import FEATURE_BANDS, FEATURE_ROLES, SegmentationConfig
+from cohortlens.config import FEATURE_BANDS, FEATURE_ROLES, Roles, SegmentationConfig
 from cohortlens.operators import kmeans as KM
 from cohortlens.operators.scale import scaled_columns, scaler_stats
 from cohortlens.sources.tables import customer_features
@@ -78,3 +78,7 @@ def segment_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, v in reversed(list(enumerate(codes))):
         expr = F.when(F.col(ROLES.category) == v, F.lit(i)).otherwise(expr)
     return df.withColumn("cluster", expr.cast("int"))
+
+
+# Schema check roles for the raw customer table (IO3/IO4).
+CUSTOMER_CHECK_ROLES = Roles(id="c_custkey", category="c_mktsegment", features=("c_acctbal",))
