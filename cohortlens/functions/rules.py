@@ -167,18 +167,18 @@ def recommendation_sql(cols: dict[str, str]) -> tuple[str, str]:
     return (pick_sql(idx, [_q(o[0]) for _, o in C.PRIORITY_RULES]), pick_sql(idx, [_q(o[1]) for _, o in C.PRIORITY_RULES]))
 
 
-def catalogue_rows_sql(rules, fields) -> str:
+def catalogue_rows_sql(rules, fields, alias: str = "cat") -> str:
     """VALUES table (rule, rank, fields...) of a product rule set."""
     rows = []
     for i, (_, items) in enumerate(rules):
         for r, item in enumerate(items):
             rows.append("(" + ", ".join([str(i), str(r)] + [_q(v) for v in item]) + ")")
-    return f"(VALUES {', '.join(rows)}) AS cat(rule, rnk, {', '.join(fields)})"
+    return f"(VALUES {', '.join(rows)}) AS {alias}(rule, rnk, {', '.join(fields)})"
 
 
-def demographics_rows_sql() -> str:
+def demographics_rows_sql(alias: str = "demo") -> str:
     rows = ", ".join("(" + ", ".join([_q(k)] + [_q(v) for v in vals]) + ")" for k, vals in C.DEMOGRAPHICS.items())
-    return f"(VALUES {rows}) AS demo(age_band, demographic, behavior, approach)"
+    return f"(VALUES {rows}) AS {alias}(age_band, demographic, behavior, approach)"
 
 
 BATCH_FIELDS = _BATCH_FIELDS

@@ -65,7 +65,8 @@ def shape_summary(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).alias("n_cols"))
 
 
-def customer_features(spark: SparkSession, sf_dir: str, orders_from: str | None = None) -> DataFrame:
+def customer_features(spark: SparkSession, sf_dir: str, orders_from: str | None = None,
+                      with_nation: bool = False) -> DataFrame:
     """One row per customer: customer LEFT JOIN (orders pre-aggregated by customer).
 
     Orders are aggregated first (partial aggregation happens map-side, so a customer that holds
@@ -79,9 +80,11 @@ def customer_features(spark: SparkSession, sf_dir: str, orders_from: str | None
         F.count("o_orderkey").alias("order_count"),
         F.sum("o_totalprice").alias("total_spend"),
     )
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    extra = ["c_nationkey"] if with_nation else []
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", *extra)
     r = FEATURE_ROLES
     return cust.join(per_customer, cust.c_custkey == per_customer.o_custkey, "left").select(
+        *extra,
         F.col("c_custkey").alias(r.id),
         F.col("c_mktsegment").alias(r.category),
         F.col("c_acctbal").cast("double").alias("c_acctbal"),
@@ -91,10 +94,11 @@ def customer_features(spark: SparkSession, sf_dir: str, orders_from: str | None
 
 
 # SQL twin of customer_features (DuckDB and Spark SQL both accept it).
-def customer_features_sql(orders_from: str | None = None) -> str:
+def customer_features_sql(orders_from: str | None = None, with_nation: bool = False) -> str:
     where = f"WHERE o_orderdate >= TIMESTAMP '{orders_from}'" if orders_from else ""
+    extra = "c.c_nationkey, " if with_nation else ""
     return f"""
-    SELECT c.c_custkey, c.c_mktsegment, CAST(c.c_acctbal AS DOUBLE) AS c_acctbal,
+    SELECT {extra}c.c_custkey, c.c_mktsegment, CAST(c.c_acctbal AS DOUBLE) AS c_acctbal,
            CAST(COALESCE(o.order_count, 0) AS DOUBLE) AS order_count,
            CAST(o.total_spend AS DOUBLE) AS total_spend
     FROM customer c
