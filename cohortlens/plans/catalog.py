@@ -112,3 +112,4 @@ FROM ruled
 # The rest of the catalogue registers itself on import.
 from cohortlens.plans import q_tables  # noqa: E402,F401
 from cohortlens.plans import q_rules  # noqa: E402,F401
+from cohortlens.plans import q_metrics  # noqa: E402,F401
