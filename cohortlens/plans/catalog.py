@@ -75,14 +75,26 @@ prof AS (SELECT a.cluster, a.size, a.size * 100.0 / t.n AS share, a.avg_age, a.a
 BAND_SQL_COLS = {"income": "income_band", "spending": "spending_band", "share": "share"}
 
 
+def fixed(col, digits: int):
+    """Round half up as floor(x * 10^d + 0.5) / 10^d — the same IEEE steps in Spark and in SQL,
+    so exact ties (means of few 2-decimal values) round alike on both sides."""
+    c = F.col(col) if isinstance(col, str) else col
+    return (F.floor(c * F.lit(10.0 ** digits) + F.lit(0.5)) / F.lit(10.0 ** digits)).cast("double")
+
+
+def fixed_sql(expr: str, digits: int) -> str:
+    return f"CAST(floor(({expr}) * {10.0 ** digits!r} + 0.5) / {10.0 ** digits!r} AS DOUBLE)"
+
+
 def _round_profile(df: DataFrame) -> list:
     return [F.col("cluster").cast("int").alias("cluster"), F.col("size").cast("long").alias("size"),
-            F.round("share", 6).alias("share"), F.round("avg_age", 4).alias("avg_age"),
-            F.round("avg_income", 2).alias("avg_income"), F.round("avg_spending", 6).alias("avg_spending")]
+            fixed("share", 6).alias("share"), fixed("avg_age", 4).alias("avg_age"),
+            fixed("avg_income", 2).alias("avg_income"), fixed("avg_spending", 6).alias("avg_spending")]
 
 
-ROUND_PROFILE_SQL = ("CAST(cluster AS INTEGER) AS cluster, CAST(size AS BIGINT) AS size, ROUND(share, 6) AS share, "
-                     "ROUND(avg_age, 4) AS avg_age, ROUND(avg_income, 2) AS avg_income, ROUND(avg_spending, 6) AS avg_spending")
+ROUND_PROFILE_SQL = ("CAST(cluster AS INTEGER) AS cluster, CAST(size AS BIGINT) AS size, "
+                     f"{fixed_sql('share', 6)} AS share, {fixed_sql('avg_age', 4)} AS avg_age, "
+                     f"{fixed_sql('avg_income', 2)} AS avg_income, {fixed_sql('avg_spending', 6)} AS avg_spending")
 
 
 # --- flagship: PR1 over ML1b -----------------------------------------------------------------
@@ -113,3 +125,4 @@ FROM ruled
 from cohortlens.plans import q_tables  # noqa: E402,F401
 from cohortlens.plans import q_rules  # noqa: E402,F401
 from cohortlens.plans import q_metrics  # noqa: E402,F401
+from cohortlens.plans import q_density  # noqa: E402,F401

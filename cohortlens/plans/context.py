@@ -82,3 +82,19 @@ def segment_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Schema check roles for the raw customer table (IO3/IO4).
 CUSTOMER_CHECK_ROLES = Roles(id="c_custkey", category="c_mktsegment", features=("c_acctbal",))
+
+DBSCAN_EPS = 0.30  # away from every pair distance at the bundled scales (see FIXTURES.md)
+DBSCAN_MIN_SAMPLES = 6
+
+
+def dbscan_labels(spark: SparkSession, sf_dir: str, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> DataFrame:
+    """(c_custkey, cluster) from the grid density clustering, persisted once per data folder."""
+    from cohortlens.operators.dbscan import dbscan
+
+    def build():
+        return dbscan(scaled(spark, sf_dir), ROLES.id, ZCOLS, eps, min_samples).persist(StorageLevel.MEMORY_AND_DISK)
+    return memo(spark, sf_dir, f"dbscan_{eps}_{min_samples}", build)
+
+
+def dbscan_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled(spark, sf_dir).join(dbscan_labels(spark, sf_dir), ROLES.id)
