@@ -101,13 +101,14 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, resta
     return {"centers": ordered, "inertia": float(cost), "n_iter": int(n_iter), "converged": n_iter < max_iter, "k": k}
 
 
-def lloyd_sql(scaled: str, id_col: str, cols: Sequence[str], k: int, iterations: int) -> str:
-    """SQL twin of ML1b: WITH-clause fragments ending in relation ``assign_final(id, cluster, d2)``.
+def lloyd_sql(scaled: str, id_col: str, cols: Sequence[str], k: int, iterations: int, prefix: str = "") -> str:
+    """SQL twin of ML1b: WITH-clause fragments ending in relation ``{prefix}assign_final(id, cluster, d2)``.
 
     ``scaled`` names a relation with ``id_col`` and ``cols``.
     """
     zc = ", ".join(cols)
-    parts = [f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY {id_col}) - 1 AS INTEGER) AS cluster, {zc} "
+    p = prefix
+    parts = [f"{p}c0 AS (SELECT CAST(row_number() OVER (ORDER BY {id_col}) - 1 AS INTEGER) AS cluster, {zc} "
              f"FROM (SELECT * FROM {scaled} ORDER BY {id_col} LIMIT {k}) t)"]
 
     def assign_cte(name: str, centers: str) -> str:
@@ -117,12 +118,54 @@ def lloyd_sql(scaled: str, id_col: str, cols: Sequence[str], k: int, iterations:
                 f"FROM {scaled} s, {centers} c) t WHERE rn = 1)")
 
     for it in range(iterations):
-        parts.append(assign_cte(f"a{it}", f"c{it}"))
-        avgs = ", ".join(f"COALESCE(m.{c}, p.{c}) AS {c}" for c in cols)
+        parts.append(assign_cte(f"{p}a{it}", f"{p}c{it}"))
+        avgs = ", ".join(f"COALESCE(m.{c}, pc.{c}) AS {c}" for c in cols)
         means = ", ".join(f"AVG(s.{c}) AS {c}" for c in cols)
         parts.append(
-            f"c{it + 1} AS (SELECT p.cluster, {avgs} FROM c{it} p LEFT JOIN "
-            f"(SELECT a.cluster, {means} FROM a{it} a JOIN {scaled} s ON a.{id_col} = s.{id_col} GROUP BY a.cluster) m "
-            f"ON p.cluster = m.cluster)")
-    parts.append(assign_cte("assign_final", f"c{iterations}"))
+            f"{p}c{it + 1} AS (SELECT pc.cluster, {avgs} FROM {p}c{it} pc LEFT JOIN "
+            f"(SELECT a.cluster, {means} FROM {p}a{it} a JOIN {scaled} s ON a.{id_col} = s.{id_col} GROUP BY a.cluster) m "
+            f"ON pc.cluster = m.cluster)")
+    parts.append(assign_cte(f"{p}assign_final", f"{p}c{iterations}"))
     return ",\n".join(parts)
+
+
+def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fit: str = "lloyd",
+          iterations: int = 3, seed: int = 42, restarts: int = 10, max_iter: int = 300,
+          silhouette: bool = True) -> DataFrame:
+    """ML3: one row per k (k, wcss, silhouette, davies_bouldin, calinski_harabasz).
+
+    ``fit='lloyd'``: ML1b from the k rows with the smallest ids (deterministic, oracle-checked);
+    ``fit='library'``: ML1 (k-means|| with restarts). A k whose fit fails is left out (the
+    table is keyed by k, so nothing shifts). ``df`` should be persisted by the caller.
+    """
+    from cohortlens.operators import metrics as M
+
+    rows = []
+    for k in ks:
+        try:
+            if fit == "lloyd":
+                centers, _ = lloyd(df, cols, first_rows_as_centers(df, id_col, cols, k), iterations)
+            else:
+                centers = fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]
+            lab = assign(df, cols, centers)
+            sc = M.centroid_scores(lab, cols).first()
+            sil = M.silhouette_exact(lab, id_col, cols).first()["silhouette"] if silhouette else None
+            if sc["n_labels"] < 2:
+                sil, db, ch = -1.0, float("inf"), 0.0
+            else:
+                db, ch = sc["davies_bouldin"], sc["calinski_harabasz"]
+            rows.append((int(k), float(sc["wcss"]), None if sil is None else float(sil), float(db), float(ch)))
+        except Exception:  # noqa: BLE001 — a failing k is skipped, as in the original job
+            continue
+    return df.sparkSession.createDataFrame(
+        rows, "k INT, wcss DOUBLE, silhouette DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
+
+
+def best_k(sweep_df: DataFrame) -> DataFrame:
+    """ML4: best k per metric (silhouette max, Davies-Bouldin min, CH max; ties -> smallest k);
+    the selected k is the silhouette's. The sweep table has one row per k (bounded by the range)."""
+    return sweep_df.agg(
+        F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("best_k_silhouette"),
+        F.max_by("k", F.struct(-F.col("davies_bouldin"), -F.col("k"))).alias("best_k_davies_bouldin"),
+        F.max_by("k", F.struct(F.col("calinski_harabasz"), -F.col("k"))).alias("best_k_calinski"),
+    ).withColumn("selected_k", F.col("best_k_silhouette"))

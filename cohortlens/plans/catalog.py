@@ -126,3 +126,4 @@ from cohortlens.plans import q_tables  # noqa: E402,F401
 from cohortlens.plans import q_rules  # noqa: E402,F401
 from cohortlens.plans import q_metrics  # noqa: E402,F401
 from cohortlens.plans import q_density  # noqa: E402,F401
+from cohortlens.plans import q_models  # noqa: E402,F401

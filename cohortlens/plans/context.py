@@ -98,3 +98,14 @@ def dbscan_labels(spark: SparkSession, sf_dir: str, eps: float = DBSCAN_EPS, min
 
 def dbscan_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled(spark, sf_dir).join(dbscan_labels(spark, sf_dir), ROLES.id)
+
+
+SWEEP_KS = (2, 3, 4, 5, 6)
+
+
+def lloyd_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML3 with ML1b fits for k = 2..6, cached (one small row per k)."""
+    def build():
+        out = KM.sweep(scaled(spark, sf_dir), ROLES.id, ZCOLS, SWEEP_KS, fit="lloyd", iterations=LLOYD_ITERS)
+        return out.persist(StorageLevel.MEMORY_AND_DISK)
+    return memo(spark, sf_dir, "sweep", build)

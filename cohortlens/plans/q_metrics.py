@@ -21,42 +21,44 @@ def _seg_sql() -> str:
             f"seglab AS (SELECT s.*, COALESCE(c.code, -1) AS cluster FROM scaled s LEFT JOIN segcodes c ON s.{CAT} = c.v)")
 
 
-def silhouette_sql(rel: str, id_col: str, dist: str) -> str:
-    """Exact Euclidean silhouette over ``rel(id_col, cluster, ...)``; ``dist`` uses aliases a, b."""
-    return f"""pairs AS (SELECT a.{id_col} AS id, a.cluster AS own, b.cluster AS other, {dist} AS d FROM {rel} a, {rel} b),
-per AS (SELECT id, own, other, SUM(d) AS s, COUNT(*) AS c FROM pairs GROUP BY id, own, other),
-prow AS (SELECT id, MAX(CASE WHEN own = other THEN s END) AS own_sum, MAX(CASE WHEN own = other THEN c END) AS own_cnt,
-                MIN(CASE WHEN own <> other THEN s / c END) AS b FROM per GROUP BY id),
-sil AS (SELECT AVG(CASE WHEN own_cnt <= 1 OR b IS NULL THEN 0.0
+def silhouette_sql(rel: str, id_col: str, dist: str, p: str = "") -> str:
+    """Exact Euclidean silhouette over ``rel(id_col, cluster, ...)``; ``dist`` uses aliases a, b.
+    Ends in relation ``{p}sil(silhouette, n_rows)``."""
+    return f"""{p}pairs AS (SELECT a.{id_col} AS id, a.cluster AS own, b.cluster AS other, {dist} AS d FROM {rel} a, {rel} b),
+{p}per AS (SELECT id, own, other, SUM(d) AS s, COUNT(*) AS c FROM {p}pairs GROUP BY id, own, other),
+{p}prow AS (SELECT id, MAX(CASE WHEN own = other THEN s END) AS own_sum, MAX(CASE WHEN own = other THEN c END) AS own_cnt,
+                MIN(CASE WHEN own <> other THEN s / c END) AS b FROM {p}per GROUP BY id),
+{p}sil AS (SELECT AVG(CASE WHEN own_cnt <= 1 OR b IS NULL THEN 0.0
                         WHEN GREATEST(own_sum / (own_cnt - 1), b) = 0 THEN 0.0
                         ELSE (b - own_sum / (own_cnt - 1)) / GREATEST(own_sum / (own_cnt - 1), b) END) AS silhouette,
-               COUNT(*) AS n_rows FROM prow)"""
+               COUNT(*) AS n_rows FROM {p}prow)"""
 
 
 def _zdist() -> str:
     return "sqrt(" + " + ".join(f"(a.{z} - b.{z}) * (a.{z} - b.{z})" for z in Z) + ")"
 
 
-def scores_sql(rel: str, cols: list[str]) -> str:
-    """WCSS, Davies-Bouldin, Calinski-Harabasz over ``rel(cluster, cols...)`` -> relation ``sc``."""
+def scores_sql(rel: str, cols: list[str], p: str = "") -> str:
+    """WCSS, Davies-Bouldin, Calinski-Harabasz over ``rel(cluster, cols...)`` -> relation ``{p}sc``."""
     d = len(cols)
     means = ", ".join(f"AVG({c}) AS m{i}" for i, c in enumerate(cols))
     d2 = " + ".join(f"(r.{c} - k.m{i}) * (r.{c} - k.m{i})" for i, c in enumerate(cols))
-    cd = "sqrt(" + " + ".join(f"(p.m{i} - q.m{i}) * (p.m{i} - q.m{i})" for i in range(d)) + ")"
+    cd = "sqrt(" + " + ".join(f"(pp.m{i} - q.m{i}) * (pp.m{i} - q.m{i})" for i in range(d)) + ")"
     gm = ", ".join(f"AVG({c}) AS g{i}" for i, c in enumerate(cols))
     between = " + ".join(f"(k.m{i} - g.g{i}) * (k.m{i} - g.g{i})" for i in range(d))
-    return f"""cen AS (SELECT cluster, COUNT(*) AS n, {means} FROM {rel} GROUP BY cluster),
-rd AS (SELECT r.cluster, {d2} AS d2 FROM {rel} r JOIN cen k ON r.cluster = k.cluster),
-per_k AS (SELECT k.*, (SELECT AVG(sqrt(d2)) FROM rd WHERE rd.cluster = k.cluster) AS s,
-                 (SELECT SUM(d2) FROM rd WHERE rd.cluster = k.cluster) AS ss FROM cen k),
-worst AS (SELECT p.cluster, COALESCE(MAX(CASE WHEN {cd} > 0 THEN (p.s + q.s) / {cd} ELSE 0.0 END), 0.0) AS w
-          FROM per_k p JOIN per_k q ON p.cluster <> q.cluster GROUP BY p.cluster),
-gmean AS (SELECT {gm} FROM {rel}),
-sc AS (SELECT (SELECT SUM(n) FROM per_k) AS n_rows, (SELECT COUNT(*) FROM per_k) AS n_labels, (SELECT SUM(ss) FROM per_k) AS wcss,
-              CASE WHEN (SELECT MAX(ABS(s)) FROM per_k) = 0
-                     OR (SELECT COALESCE(MAX({cd}), 0) FROM per_k p, per_k q) = 0 THEN 0.0
-                   ELSE (SELECT SUM(w) FROM worst) / (SELECT COUNT(*) FROM per_k) END AS davies_bouldin,
-              (SELECT SUM(k.n * ({between})) FROM per_k k, gmean g) AS between_ss)"""
+    return f"""{p}cen AS (SELECT cluster, COUNT(*) AS n, {means} FROM {rel} GROUP BY cluster),
+{p}rd AS (SELECT r.cluster, {d2} AS d2 FROM {rel} r JOIN {p}cen k ON r.cluster = k.cluster),
+{p}per_k AS (SELECT k.*, (SELECT AVG(sqrt(d2)) FROM {p}rd rd WHERE rd.cluster = k.cluster) AS s,
+                 (SELECT SUM(d2) FROM {p}rd rd WHERE rd.cluster = k.cluster) AS ss FROM {p}cen k),
+{p}worst AS (SELECT pp.cluster, COALESCE(MAX(CASE WHEN {cd} > 0 THEN (pp.s + q.s) / {cd} ELSE 0.0 END), 0.0) AS w
+          FROM {p}per_k pp JOIN {p}per_k q ON pp.cluster <> q.cluster GROUP BY pp.cluster),
+{p}gmean AS (SELECT {gm} FROM {rel}),
+{p}sc AS (SELECT (SELECT SUM(n) FROM {p}per_k) AS n_rows, (SELECT COUNT(*) FROM {p}per_k) AS n_labels,
+              (SELECT SUM(ss) FROM {p}per_k) AS wcss,
+              CASE WHEN (SELECT MAX(ABS(s)) FROM {p}per_k) = 0
+                     OR (SELECT COALESCE(MAX({cd}), 0) FROM {p}per_k pp, {p}per_k q) = 0 THEN 0.0
+                   ELSE (SELECT SUM(w) FROM {p}worst) / (SELECT COUNT(*) FROM {p}per_k) END AS davies_bouldin,
+              (SELECT SUM(k.n * ({between})) FROM {p}per_k k, {p}gmean g) AS between_ss)"""
 
 
 SCORES_OUT_SQL = """SELECT CAST(n_rows AS BIGINT) AS n_rows, CAST(n_labels AS BIGINT) AS n_labels, ROUND(wcss, 6) AS wcss,
