@@ -17,6 +17,9 @@ class Roles:
     age_feature: str | None = None
     income_feature: str | None = None
     spending_feature: str | None = None
+    # features that hold money with 2 decimals: their means are taken over exact integer cents
+    # (order-independent, so every engine and every partitioning gives the same bits)
+    money: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,7 @@ FEATURE_ROLES = Roles(
     age_feature="c_acctbal",
     income_feature="total_spend",
     spending_feature="order_count",
+    money=("c_acctbal", "total_spend"),
 )
 
 # Band cut points for the test tables (near the quartiles so that every band is hit).

@@ -37,15 +37,23 @@ def noise_summary(labelled: DataFrame, cluster: str = "cluster") -> DataFrame:
     )
 
 
+def mean_of(col: str, roles: C.Roles):
+    """Mean of a feature; money features (2 decimals) are averaged over exact integer cents."""
+    if col in roles.money:
+        cents = F.sum(F.round(F.col(col).cast("double") * 100.0).cast("long")).cast("double")
+        return cents / F.count(F.col(col)).cast("double") / F.lit(100.0)
+    return F.avg(F.col(col).cast("double"))
+
+
 def profile_aggregate(labelled: DataFrame, roles: C.Roles, cluster: str = "cluster", empty_mode: str = "Mixed") -> DataFrame:
     """AG9 + AG10 + AG8 + CL12: size, share, raw-feature means and modal category per non-noise cluster."""
     total = labelled.select(F.count(F.lit(1))).scalar()
     return (labelled.where(F.col(cluster) != -1)
             .groupBy(F.col(cluster).alias("cluster"))
             .agg(F.count(F.lit(1)).alias("size"),
-                 F.avg(F.col(roles.age_feature).cast("double")).alias("avg_age"),
-                 F.avg(F.col(roles.income_feature).cast("double")).alias("avg_income"),
-                 F.avg(F.col(roles.spending_feature).cast("double")).alias("avg_spending"),
+                 mean_of(roles.age_feature, roles).alias("avg_age"),
+                 mean_of(roles.income_feature, roles).alias("avg_income"),
+                 mean_of(roles.spending_feature, roles).alias("avg_spending"),
                  F.coalesce(F.mode(roles.category, deterministic=True), F.lit(empty_mode)).alias("dominant_category"))
             .withColumn("share", F.col("size") * 100.0 / total))
 

@@ -54,22 +54,27 @@ def sql_lloyd_cte(k: int = X.LLOYD_K, iters: int = X.LLOYD_ITERS) -> str:
             f"labelled AS (SELECT s.*, a.cluster FROM scaled s JOIN assign_final a USING ({ID}))")
 
 
-def sql_profile_agg(labelled: str, empty_mode: str) -> str:
-    """CTEs ``tot``, ``agg``, ``modes``, ``prof`` over a relation with cluster + raw features."""
+def sql_profile_agg(labelled: str, empty_mode: str, p: str = "") -> str:
+    """CTEs ``{p}tot``, ``{p}agg``, ``{p}modes``, ``{p}prof`` over a relation with cluster + raw features."""
     r = X.ROLES
-    return f"""tot AS (SELECT COUNT(*) AS n FROM {labelled}),
-agg AS (SELECT cluster, COUNT(*) AS size, AVG({r.age_feature}) AS avg_age, AVG({r.income_feature}) AS avg_income,
-               AVG({r.spending_feature}) AS avg_spending
+
+    def mean(c):
+        if c in r.money:
+            return f"CAST(SUM(CAST(ROUND({c} * 100.0) AS BIGINT)) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE) / 100.0"
+        return f"AVG({c})"
+    return f"""{p}tot AS (SELECT COUNT(*) AS n FROM {labelled}),
+{p}agg AS (SELECT cluster, COUNT(*) AS size, {mean(r.age_feature)} AS avg_age, {mean(r.income_feature)} AS avg_income,
+               {mean(r.spending_feature)} AS avg_spending
         FROM {labelled} WHERE cluster <> -1 GROUP BY cluster),
-modes AS (SELECT cluster, {CAT} AS mode_value FROM (
+{p}modes AS (SELECT cluster, {CAT} AS mode_value FROM (
             SELECT cluster, {CAT}, row_number() OVER (PARTITION BY cluster ORDER BY COUNT(*) DESC, {CAT}) AS rn
             FROM {labelled} WHERE cluster <> -1 AND {CAT} IS NOT NULL GROUP BY cluster, {CAT}) m WHERE rn = 1),
-prof AS (SELECT a.cluster, a.size, a.size * 100.0 / t.n AS share, a.avg_age, a.avg_income, a.avg_spending,
+{p}prof AS (SELECT a.cluster, a.size, a.size * 100.0 / t.n AS share, a.avg_age, a.avg_income, a.avg_spending,
                 COALESCE(m.mode_value, '{empty_mode}') AS dominant_category,
                 {R.band_sql('a.avg_age', X.BANDS.age, ('Young', 'Middle-aged', 'Senior'))} AS age_band,
                 {R.band_sql('a.avg_income', X.BANDS.income, ('Low', 'Medium', 'High'))} AS income_band,
                 {R.band_sql('a.avg_spending', X.BANDS.spending, ('Low', 'Medium', 'High'))} AS spending_band
-         FROM agg a CROSS JOIN tot t LEFT JOIN modes m ON a.cluster = m.cluster)"""
+         FROM {p}agg a CROSS JOIN {p}tot t LEFT JOIN {p}modes m ON a.cluster = m.cluster)"""
 
 
 BAND_SQL_COLS = {"income": "income_band", "spending": "spending_band", "share": "share"}
@@ -127,3 +132,4 @@ from cohortlens.plans import q_rules  # noqa: E402,F401
 from cohortlens.plans import q_metrics  # noqa: E402,F401
 from cohortlens.plans import q_density  # noqa: E402,F401
 from cohortlens.plans import q_models  # noqa: E402,F401
+from cohortlens.plans import q_io  # noqa: E402,F401
