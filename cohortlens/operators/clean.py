@@ -109,16 +109,15 @@ def sample_rows(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame
 def dense_index(df: DataFrame, order: Sequence, name: str = "row_index", start: int = 0, partitions: int | None = None) -> DataFrame:
     """Distributed 0.. (or start..) numbering in ``order`` — no single-partition window.
 
-    Range-partition + sort within partitions, checkpoint (pins the layout and survives executor
-    loss), count rows per partition (one small row per partition to the driver), then add the
+    Range-partition + sort within partitions, write to the checkpoint folder (pins the ids and
+    survives executor loss), count rows per partition (one small row per partition to the driver), then add the
     partition's offset to the position inside it (monotonically_increasing_id's low 33 bits).
     """
-    from cohortlens.session import ensure_checkpoint_dir
+    from cohortlens.session import materialize
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()).checkpoint())
+    ranged = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "index")
     counts = ranged.groupBy(F.shiftright("_mid", 33).alias("_p")).count().collect()
     offsets, acc = {}, start
     for r in sorted(counts, key=lambda r: r["_p"]):

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 INF = float("inf")
 BROADCAST_ROWS = 1_000_000  # centroid tables up to this many rows (x d doubles) are broadcast
+TILE_ROWS = 1024  # rows of a block whose distances to the partner block are held at once
 
 
 def _cols(cols: Sequence[str]):
@@ -51,40 +52,43 @@ def wcss(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFr
 def centroid_scores(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """MT1 + MT3 + MT4 in one row: n_rows, n_labels, wcss, davies_bouldin, calinski_harabasz.
 
-    Davies-Bouldin needs max over the other centroids: the k-row cluster summary (model-sized,
-    like K-Means centers) is collected once and passed as a literal array that array functions
-    reduce per cluster, so no k x k join is planned.
+    Two distributed passes, each reducing to k rows (model-sized, like K-Means centers):
+    (1) counts and centroids; (2) with the centroids as a literal lookup, the mean distance and
+    the squared distance sum to the own centroid. The k x k Davies-Bouldin maximum and the
+    Calinski-Harabasz ratio are then arithmetic over those k rows (the global mean is the
+    size-weighted mean of the centroids, so it needs no extra pass).
     """
     d = len(cols)
-    per = (_with_centroid(df, cols, cluster).groupBy("_k")
-           .agg(F.first("_n").alias("n"), F.avg(F.sqrt("_d2")).alias("s"), F.sum("_d2").alias("ss"),
-                *[F.first(f"_m{i}").alias(f"m{i}") for i in range(d)]))
-    # the k-row cluster summary is model-sized: bring it to the driver once and use it as a literal
-    rows = per.select("_k", "s", *[f"m{i}" for i in range(d)]).collect()
-    summary = F.array(*[F.struct(F.lit(r["_k"]).alias("_k"), F.lit(float(r["s"])).alias("s"),
-                                 *[F.lit(float(r[f"m{i}"])).alias(f"m{i}") for i in range(d)]) for r in rows])
-
-    def dist(a, b):
-        return F.sqrt(sum(((a[f"m{i}"] - b[f"m{i}"]) ** 2 for i in range(d)), F.lit(0.0)))
-
-    me = F.struct("_k", "s", *[f"m{i}" for i in range(d)])
-    ratios = F.transform(F.filter(summary, lambda o: o["_k"] != me["_k"]),
-                         lambda o: F.when(dist(me, o) > 0, (me["s"] + o["s"]) / dist(me, o)).otherwise(F.lit(0.0)))
-    worst = F.coalesce(F.array_max(ratios), F.lit(0.0))
-    all_s_zero = F.array_max(F.transform(summary, lambda o: F.abs(o["s"]))) == 0
-    cd_zero = F.array_max(F.flatten(F.transform(summary, lambda a: F.transform(summary, lambda b: dist(a, b))))) == 0
-
-    gm = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"g{i}") for i, c in enumerate(cols)])
-    g = [gm.select(f"g{i}").scalar() for i in range(d)]
-    between = F.col("n") * sum(((F.col(f"m{i}") - g[i]) ** 2 for i in range(d)), F.lit(0.0))
-    agg = per.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_labels"), F.sum("ss").alias("wcss"),
-                  F.sum(between).alias("between"), F.avg(worst).alias("db_raw"),
-                  F.first(all_s_zero | cd_zero).alias("db_zero"))
-    k, n = F.col("n_labels"), F.col("n_rows")
-    ch = F.when(F.col("wcss") == 0, F.lit(1.0)).otherwise(
-        (F.col("between") * (n - k)) / (F.col("wcss") * (k - F.lit(1))))
-    db = F.when(F.col("db_zero"), F.lit(0.0)).otherwise(F.col("db_raw"))
-    return agg.select("n_rows", "n_labels", "wcss", db.alias("davies_bouldin"), ch.alias("calinski_harabasz"))
+    cent = centroids(df, cols, cluster).collect()
+    keys = [r["_k"] for r in cent]
+    n_k = np.array([r["_n"] for r in cent], dtype=float)
+    m = np.array([[r[f"_m{i}"] for i in range(d)] for r in cent], dtype=float)
+    lookup = F.create_map(*[x for kk, row in zip(keys, m) for x in
+                            (F.lit(kk), F.array(*[F.lit(float(v)) for v in row]))])
+    c = lookup[F.col(cluster)]
+    d2 = sum(((F.col(col).cast("double") - c[i]) ** 2 for i, col in enumerate(cols)), F.lit(0.0))
+    per = {r["_k"]: (r["s"], r["ss"]) for r in df.groupBy(F.col(cluster).alias("_k"))
+           .agg(F.avg(F.sqrt(d2)).alias("s"), F.sum(d2).alias("ss")).collect()}
+    s_k = np.array([per[kk][0] for kk in keys], dtype=float)
+    ss = np.array([per[kk][1] for kk in keys], dtype=float)
+    n, k = float(n_k.sum()), len(keys)
+    wcss = float(ss.sum())
+    if k >= 2:
+        g = (m * n_k[:, None]).sum(0) / n
+        between = float((n_k * ((m - g) ** 2).sum(1)).sum())
+        ch = 1.0 if wcss == 0 else between * (n - k) / (wcss * (k - 1))
+        cd = np.sqrt(((m[:, None, :] - m[None, :, :]) ** 2).sum(-1))
+        if np.all(s_k == 0) or np.all(cd == 0):
+            db = 0.0
+        else:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where(cd > 0, (s_k[:, None] + s_k[None, :]) / np.where(cd > 0, cd, 1.0), 0.0)
+            np.fill_diagonal(ratio, 0.0)
+            db = float(ratio.max(1).mean())
+    else:
+        ch, db = float("nan"), float("nan")
+    return df.sparkSession.createDataFrame(
+        [(int(n), k, wcss, db, ch)], "n_rows LONG, n_labels LONG, wcss DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
 
 
 def _silhouette_kernel(cols_out):
@@ -93,12 +97,15 @@ def _silhouette_kernel(cols_out):
             return pd.DataFrame({c: [] for c in cols_out})
         xl = np.stack(left["x"].to_numpy()).astype(np.float64)
         xr = np.stack(right["x"].to_numpy()).astype(np.float64)
-        d2 = (xl * xl).sum(1)[:, None] + (xr * xr).sum(1)[None, :] - 2.0 * (xl @ xr.T)
-        dist = np.sqrt(np.maximum(d2, 0.0))
         labels, inv = np.unique(right["cluster"].to_numpy(), return_inverse=True)
         onehot = np.zeros((len(right), len(labels)))
         onehot[np.arange(len(right)), inv] = 1.0
-        sums = dist @ onehot  # |L| x k_R: distance sums per right-side cluster
+        nr = (xr * xr).sum(1)[None, :]
+        sums = np.empty((len(left), len(labels)))
+        for lo in range(0, len(left), TILE_ROWS):  # bounded tile: TILE_ROWS x |R| distances at a time
+            a = xl[lo:lo + TILE_ROWS]
+            d2 = (a * a).sum(1)[:, None] + nr - 2.0 * (a @ xr.T)
+            sums[lo:lo + TILE_ROWS] = np.sqrt(np.maximum(d2, 0.0)) @ onehot  # distance sums per right cluster
         cnt = onehot.sum(0)
         nl, kl = len(left), len(labels)
         return pd.DataFrame({
@@ -112,7 +119,7 @@ def _silhouette_kernel(cols_out):
 
 
 def silhouette_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = None, cluster: str = "cluster",
-                     vector: str | None = None, block_rows: int = 2048) -> DataFrame:
+                     vector: str | None = None, block_rows: int = 4096) -> DataFrame:
     """MT2 (exact, Euclidean): mean silhouette over all rows; noise (-1) counts as a cluster.
 
     Work is n^2 * d flops spread over B^2 bounded tasks (B = ceil(n / block_rows)); each task

@@ -92,7 +92,7 @@ def dbscan_labels(spark: SparkSession, sf_dir: str, eps: float = DBSCAN_EPS, min
     from cohortlens.operators.dbscan import dbscan
 
     def build():
-        return dbscan(scaled(spark, sf_dir), ROLES.id, ZCOLS, eps, min_samples).persist(StorageLevel.MEMORY_AND_DISK)
+        return dbscan(scaled(spark, sf_dir), ROLES.id, ZCOLS, eps, min_samples)
     return memo(spark, sf_dir, f"dbscan_{eps}_{min_samples}", build)
 
 

@@ -44,3 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) before running iterative operators")
+
+
+def materialize(df, tag: str = "stage"):
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint folder and reading it
+    back. One computation (``DataFrame.checkpoint`` computes an uncached input twice: once to
+    count, once to write); the files survive the loss of any executor."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/cohortlens-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
