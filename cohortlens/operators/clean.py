@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.operators.quantile import exact_quantiles
+
 INF = float("inf")
 
 
@@ -64,15 +66,16 @@ def drop_inf(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def outlier_report(df: DataFrame, features: Sequence[str], multiplier: float = 3.0, approx: bool = False,
                    accuracy: int = 100000) -> DataFrame:
     """CL5: per feature Q1, Q3 (linear interpolation), fences and the count strictly outside.
-    Rows are only counted, never removed. ``approx=True`` swaps the exact percentile for
-    ``percentile_approx`` (bounded memory on very large tables)."""
-    def q(c, p):
-        col = F.col(c).cast("double")
-        return F.percentile_approx(col, p, accuracy) if approx else F.percentile(col, p)
-
-    fences = df.agg(*[x for i, f in enumerate(features) for x in (q(f, 0.25).alias(f"q1_{i}"), q(f, 0.75).alias(f"q3_{i}"))])
-    q1 = [fences.select(F.col(f"q1_{i}")).scalar() for i in range(len(features))]
-    q3 = [fences.select(F.col(f"q3_{i}")).scalar() for i in range(len(features))]
+    Rows are only counted, never removed. The exact quartiles come from ``exact_quantiles``
+    (bounded memory per task, d result rows); ``approx=True`` uses ``percentile_approx``."""
+    if approx:
+        fences = df.agg(*[x for i, f in enumerate(features) for x in (
+            F.percentile_approx(F.col(f).cast("double"), [0.25, 0.75], accuracy).alias(f"q_{i}"),)]).first()
+        qv = {f: fences[f"q_{i}"] for i, f in enumerate(features)}
+    else:
+        qv = {r["feature"]: r["q"] for r in exact_quantiles(df, features, [0.25, 0.75]).collect()}  # d rows
+    q1 = [F.lit(qv.get(f, [None, None])[0]).cast("double") for f in features]
+    q3 = [F.lit(qv.get(f, [None, None])[1]).cast("double") for f in features]
     m = F.lit(float(multiplier))
     wide = df.agg(*[x for i, f in enumerate(features) for x in (
         F.count_if((F.col(f).cast("double") < q1[i] - m * (q3[i] - q1[i]))

@@ -76,3 +76,29 @@ def test_correlation_matrix(spark):
     got = {(r["feature_x"], r["feature_y"]): r["corr"] for r in ST.correlations(df, ["x", "y"]).collect()}
     assert math.isclose(got[("x", "y")], np.corrcoef(x, y)[0, 1], rel_tol=1e-9)
     assert got[("x", "x")] == 1.0
+
+
+def test_exact_quantiles_equal_percentile_with_heavy_ties_and_groups(spark):
+    from cohortlens.operators.quantile import exact_quantiles
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(3000):
+        g = "hot" if i % 3 == 0 else ("a" if i % 3 == 1 else "b")
+        v = 5.0 if (g == "hot" and i % 2 == 0) else float(np.round(rng.normal(0, 10), 3))  # one value holds 1/6 of rows
+        rows.append((g, None if i % 97 == 0 else v, float(i % 11)))
+    rows.append(("empty", None, None))
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
+    want = {r["g"]: (r["qx"], r["qy"]) for r in df.groupBy("g").agg(
+        F.percentile("x", probs).alias("qx"), F.percentile("y", probs).alias("qy")).collect()}
+    for rounds in (3, 1):  # bracketed, and the unbounded last round alone
+        got = {(r["g"], r["feature"]): r["q"] for r in exact_quantiles(df, ["x", "y"], probs, by="g", max_rounds=rounds).collect()}
+        for g, (qx, qy) in want.items():
+            if qx is None:
+                assert got[(g, "x")] is None
+                continue
+            assert got[(g, "x")] == list(qx) and got[(g, "y")] == list(qy)
+    whole = {r["feature"]: r["q"] for r in exact_quantiles(df, ["x"], probs).collect()}
+    assert whole["x"] == list(df.agg(F.percentile("x", probs)).first()[0])
+    assert ST.quantiles(df, "x", [0.5], by="g").where("g = 'empty'").first()["p50"] is None

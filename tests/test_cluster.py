@@ -182,3 +182,15 @@ def test_estep_matches_numpy(spark):
         l = np.array([math.log(w[k]) + logpdf(p, mu[k], cov[k]) for k in range(2)])
         lse = l.max() + math.log(np.exp(l - l.max()).sum())
         assert math.isclose(got[i][0], lse, rel_tol=1e-9) and got[i][1] == int(np.argmax(l))
+
+
+def test_k_distance_grid_matches_brute_force(spark, blobs):
+    x0, _ = blobs
+    # one far outlier (many width doublings) and a point holding a third of all rows
+    x = np.vstack([x0, [[40.0, -30.0, 12.0]], np.repeat([[0.1, 0.1, 0.1]], len(x0) // 2, axis=0)])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, a double, b double, c double")
+    full = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), axis=1)
+    for k in (1, 4, 10):
+        got = {r["id"]: r["kdist"] for r in DB.k_distance_grid(df, "id", ["a", "b", "c"], k, chunk_rows=50).collect()}
+        assert len(got) == len(x)
+        assert np.allclose([got[i] for i in range(len(x))], full[:, k - 1])  # self counted first
