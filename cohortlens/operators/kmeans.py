@@ -140,7 +140,7 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
     """
     from cohortlens.operators import metrics as M
 
-    rows = []
+    fits = {}
     for k in ks:
         try:
             if fit == "lloyd":
@@ -148,15 +148,24 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
             else:
                 centers = fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]
             lab = assign(df, cols, centers)
-            sc = M.centroid_scores(lab, cols).first()
-            sil = M.silhouette_exact(lab, id_col, cols).first()["silhouette"] if silhouette else None
-            if sc["n_labels"] < 2:
-                sil, db, ch = -1.0, float("inf"), 0.0
-            else:
-                db, ch = sc["davies_bouldin"], sc["calinski_harabasz"]
-            rows.append((int(k), float(sc["wcss"]), None if sil is None else float(sil), float(db), float(ch)))
+            fits[k] = (centers, M.centroid_scores(lab, cols).first())
         except Exception:  # noqa: BLE001 — a failing k is skipped, as in the original job
             continue
+    sil = {}
+    scored = [k for k, (_, sc) in fits.items() if sc["n_labels"] >= 2]
+    if silhouette and scored:
+        # every k's labels as one column each; one blocked pass scores all of them
+        labelled = df.select(id_col, *cols, *[nearest([F.col(c) for c in cols], fits[k][0])[0].cast("int").alias(f"_c{k}")
+                                              for k in scored])
+        for r in M.silhouettes_exact(labelled, id_col, cols, [f"_c{k}" for k in scored]).collect():
+            sil[int(r["labelling"][2:])] = r["silhouette"]
+    rows = []
+    for k, (_, sc) in fits.items():
+        if sc["n_labels"] < 2:
+            s_k, db, ch = -1.0, float("inf"), 0.0
+        else:
+            s_k, db, ch = sil.get(k), sc["davies_bouldin"], sc["calinski_harabasz"]
+        rows.append((int(k), float(sc["wcss"]), None if s_k is None else float(s_k), float(db), float(ch)))
     return df.sparkSession.createDataFrame(
         rows, "k INT, wcss DOUBLE, silhouette DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
 

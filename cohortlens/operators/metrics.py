@@ -91,63 +91,90 @@ def centroid_scores(df: DataFrame, cols: Sequence[str], cluster: str = "cluster"
         [(int(n), k, wcss, db, ch)], "n_rows LONG, n_labels LONG, wcss DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
 
 
-def _silhouette_kernel(cols_out):
+def _multi_silhouette_kernel(n_lab: int):
+    """Distance sums of every left row to every (labelling, cluster) of the right block: one
+    distance tile serves all labellings (one matmul against the stacked one-hot matrix)."""
+    cols_out = ["lab", "id", "own", "other", "sum_d", "cnt"]
+
     def kernel(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({c: [] for c in cols_out})
         xl = np.stack(left["x"].to_numpy()).astype(np.float64)
         xr = np.stack(right["x"].to_numpy()).astype(np.float64)
-        labels, inv = np.unique(right["cluster"].to_numpy(), return_inverse=True)
-        onehot = np.zeros((len(right), len(labels)))
-        onehot[np.arange(len(right)), inv] = 1.0
+        lab_l = np.stack(left["c"].to_numpy()).astype(np.int64)   # rows x labellings
+        lab_r = np.stack(right["c"].to_numpy()).astype(np.int64)
+        blocks, values, which = [], [], []
+        for j in range(n_lab):
+            labels, inv = np.unique(lab_r[:, j], return_inverse=True)
+            oh = np.zeros((len(right), len(labels)))
+            oh[np.arange(len(right)), inv] = 1.0
+            blocks.append(oh)
+            values.append(labels)
+            which.append(np.full(len(labels), j))
+        onehot = np.hstack(blocks)
+        values, which = np.concatenate(values), np.concatenate(which)
         nr = (xr * xr).sum(1)[None, :]
-        sums = np.empty((len(left), len(labels)))
+        sums = np.empty((len(left), onehot.shape[1]))
         for lo in range(0, len(left), TILE_ROWS):  # bounded tile: TILE_ROWS x |R| distances at a time
             a = xl[lo:lo + TILE_ROWS]
             d2 = (a * a).sum(1)[:, None] + nr - 2.0 * (a @ xr.T)
-            sums[lo:lo + TILE_ROWS] = np.sqrt(np.maximum(d2, 0.0)) @ onehot  # distance sums per right cluster
+            sums[lo:lo + TILE_ROWS] = np.sqrt(np.maximum(d2, 0.0)) @ onehot
         cnt = onehot.sum(0)
-        nl, kl = len(left), len(labels)
+        nl, kl = len(left), len(values)
         return pd.DataFrame({
+            "lab": np.tile(which, nl).astype(np.int32),
             "id": np.repeat(left["id"].to_numpy(), kl),
-            "own": np.repeat(left["cluster"].to_numpy(), kl),
-            "other": np.tile(labels, nl),
+            "own": lab_l[np.repeat(np.arange(nl), kl), np.tile(which, nl)],
+            "other": np.tile(values, nl),
             "sum_d": sums.reshape(-1),
             "cnt": np.tile(cnt, nl).astype(np.int64),
         })
     return kernel
 
 
-def silhouette_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = None, cluster: str = "cluster",
-                     vector: str | None = None, block_rows: int = 4096) -> DataFrame:
-    """MT2 (exact, Euclidean): mean silhouette over all rows; noise (-1) counts as a cluster.
+def silhouettes_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
+                      clusters: Sequence[str] = ("cluster",), vector: str | None = None,
+                      block_rows: int = 4096) -> DataFrame:
+    """MT2 (exact, Euclidean) for several labellings of the same rows in one blocked pass:
+    one row (labelling, silhouette, n_rows, mode) per label column. Noise (-1) counts as a cluster.
 
-    Work is n^2 * d flops spread over B^2 bounded tasks (B = ceil(n / block_rows)); each task
-    holds at most two blocks. Returns one row (silhouette, n_rows, mode).
+    Work is n^2 * d flops (shared by all labellings) spread over B^2 bounded tasks
+    (B = ceil(n / block_rows)); each task holds at most two blocks.
     """
+    clusters = list(clusters)
     x = F.col(vector).cast("array<double>") if vector else F.array(*_cols(cols))
-    base = df.select(F.col(id_col).cast("long").alias("id"), F.col(cluster).cast("long").alias("cluster"), x.alias("x"))
+    base = df.select(F.col(id_col).cast("long").alias("id"),
+                     F.array(*[F.col(c).cast("long") for c in clusters]).alias("c"), x.alias("x"))
     n = base.count()
     blocks = max(1, math.ceil(n / block_rows))
     base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     rep = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = base.select("blk", rep.alias("pb"), "id", "cluster", "x")
+    left = base.select("blk", rep.alias("pb"), "id", "c", "x")
     # fresh attributes on the right side so the cogroup of two views of one frame resolves
     right = base.select(rep.alias("blk"), F.col("blk").alias("pb"), F.col("id").alias("id"),
-                        F.col("cluster").alias("cluster"), F.col("x").alias("x"))
-    schema = "id long, own long, other long, sum_d double, cnt long"
+                        F.col("c").alias("c"), F.col("x").alias("x"))
+    schema = "lab int, id long, own long, other long, sum_d double, cnt long"
     tiles = (left.groupBy("blk", "pb").cogroup(right.groupBy("blk", "pb"))
-             .applyInPandas(_silhouette_kernel(["id", "own", "other", "sum_d", "cnt"]), schema))
-    per = tiles.groupBy("id", "own", "other").agg(F.sum("sum_d").alias("sum_d"), F.sum("cnt").alias("cnt"))
+             .applyInPandas(_multi_silhouette_kernel(len(clusters)), schema))
+    per = tiles.groupBy("lab", "id", "own", "other").agg(F.sum("sum_d").alias("sum_d"), F.sum("cnt").alias("cnt"))
     own = F.col("own") == F.col("other")
-    rows = per.groupBy("id").agg(
+    rows = per.groupBy("lab", "id").agg(
         F.max(F.when(own, F.col("sum_d"))).alias("own_sum"), F.max(F.when(own, F.col("cnt"))).alias("own_cnt"),
         F.min(F.when(~own, F.col("sum_d") / F.col("cnt"))).alias("b"))
     a = F.col("own_sum") / (F.col("own_cnt") - 1)
     b = F.col("b")
     s = F.when((F.col("own_cnt") <= 1) | b.isNull(), F.lit(0.0)).otherwise(
         F.when(F.greatest(a, b) == 0, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b)))
-    return rows.agg(F.avg(s).alias("silhouette"), F.count(F.lit(1)).alias("n_rows")).withColumn("mode", F.lit("exact"))
+    names = F.array(*[F.lit(c) for c in clusters])
+    return (rows.groupBy("lab").agg(F.avg(s).alias("silhouette"), F.count(F.lit(1)).alias("n_rows"))
+            .select(names[F.col("lab")].alias("labelling"), "silhouette", "n_rows", F.lit("exact").alias("mode")))
+
+
+def silhouette_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = None, cluster: str = "cluster",
+                     vector: str | None = None, block_rows: int = 4096) -> DataFrame:
+    """MT2 (exact, Euclidean): mean silhouette over all rows; noise (-1) counts as a cluster.
+    Returns one row (silhouette, n_rows, mode); see ``silhouettes_exact``."""
+    return silhouettes_exact(df, id_col, cols, [cluster], vector, block_rows).drop("labelling")
 
 
 def silhouette_squared(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> float:

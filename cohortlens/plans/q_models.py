@@ -131,18 +131,27 @@ def comparison_frame(spark, sf):
     """One metrics row per labelling: Lloyd K-Means, density clustering, market segment."""
     def build():
         truth = T.table(spark, sf, "customer").select(F.col("c_custkey").alias(ID), F.col("c_mktsegment").alias("truth"))
-        rows = []
-        for (name, order), lab in zip(RUN_ORDER, (X.lloyd_labelled(spark, sf), X.dbscan_labelled(spark, sf),
-                                                  X.segment_labelled(spark, sf))):
+        labellings = (X.lloyd_labelled(spark, sf), X.dbscan_labelled(spark, sf), X.segment_labelled(spark, sf))
+        stats = []
+        for lab in labellings:
             found = lab.agg(F.count_distinct(F.when(F.col("cluster") != -1, F.col("cluster"))).alias("n")).first()["n"]
             ari = M.adjusted_rand(lab, truth, ID).first()["ari"]
+            sc = M.centroid_scores(lab, Z).first() if found >= 2 else None
+            stats.append((found, ari, sc))
+        # the three labellings of the same scaled rows side by side: one blocked silhouette pass
+        joint = KM.assign(X.segment_labelled(spark, sf).withColumnRenamed("cluster", "_c2"), Z,
+                          X.lloyd_centers(spark, sf), out="_c0")
+        joint = joint.join(X.dbscan_labels(spark, sf).withColumnRenamed("cluster", "_c1"), ID)
+        scored = [i for i, (found, _, _) in enumerate(stats) if found >= 2]
+        sil = {int(r["labelling"][2:]): r["silhouette"] for r in
+               M.silhouettes_exact(joint, ID, Z, [f"_c{i}" for i in scored]).collect()} if scored else {}
+        rows = []
+        for i, ((name, order), (found, ari, sc)) in enumerate(zip(RUN_ORDER, stats)):
             if found < 2:
-                sil, db, ch = -1.0, float("inf"), 0.0
+                s_i, db, ch = -1.0, float("inf"), 0.0
             else:
-                sc = M.centroid_scores(lab, Z).first()
-                sil = M.silhouette_exact(lab, ID, Z).first()["silhouette"]
-                db, ch = sc["davies_bouldin"], sc["calinski_harabasz"]
-            rows.append((name, order, int(found), float(sil), float(db), float(ch), float(ari), found > 1 and sil > -1))
+                s_i, db, ch = sil[i], sc["davies_bouldin"], sc["calinski_harabasz"]
+            rows.append((name, order, int(found), float(s_i), float(db), float(ch), float(ari), found > 1 and s_i > -1))
         return spark.createDataFrame(rows, "algorithm STRING, run_order INT, n_clusters BIGINT, silhouette DOUBLE, "
                                            "davies_bouldin DOUBLE, calinski_harabasz DOUBLE, ari DOUBLE, is_valid BOOLEAN")
     return X.memo(spark, sf, "comparison", build)
