@@ -94,3 +94,26 @@ def test_sentinels(spark):
     r = M.with_sentinels(sc).first()
     assert r["silhouette"] == -1.0 and r["davies_bouldin"] == float("inf") and r["calinski_harabasz"] == 0.0
     assert r["is_valid"] is False
+
+
+def test_noise_filtered_fallback_mt7(spark):
+    from cohortlens.plans import workflow as WF
+
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(0, 0.1, (30, 2)), rng.normal(3, 0.1, (30, 2)), [[10.0, 10.0], [-9.0, 4.0]]])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "id long, a double, b double")
+    labels = spark.createDataFrame([(i, 0 if i < 30 else (1 if i < 60 else -1)) for i in range(len(pts))], "id long, cluster int")
+
+    def fails_with_noise(lab, id_col, cols):
+        if lab.where("cluster = -1").count():
+            raise RuntimeError("metric failed")
+        return WF._scores(lab, id_col, cols)
+
+    out = WF.score(df, labels, "id", ["a", "b"], scorer=fails_with_noise)
+    clean = WF.score(df.where("id < 60"), labels, "id", ["a", "b"])
+    assert out["warning"].startswith("scores without noise rows") and clean["warning"] is None
+    assert out["silhouette"] == clean["silhouette"] and out["is_valid"]
+    # every row its own label (noise counted as a label) -> the label-count rule fails twice -> sentinels
+    own = spark.createDataFrame([(i, i if i < 61 else -1) for i in range(len(pts))], "id long, cluster int")
+    s = WF.score(df, own, "id", ["a", "b"])
+    assert s["silhouette"] == -1.0 and s["warning"].startswith("scores failed") and not s["is_valid"]
