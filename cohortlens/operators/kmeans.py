@@ -44,6 +44,25 @@ def update_centers(df: DataFrame, cols: Sequence[str], centers: list[list[float]
     return new, sizes
 
 
+def lloyd_many(df: DataFrame, cols: Sequence[str], starts: dict[int, list[list[float]]],
+               iterations: int) -> dict[int, list[list[float]]]:
+    """ML1b for several k at once: every iteration is ONE scan for all k. Each row yields one
+    (k, nearest center) pair per k (exploded map-side, before the partial aggregate), so the
+    shuffle carries sum(k) groups per partition; centers come back exactly as ``lloyd`` gives them."""
+    centers = {k: [list(c) for c in v] for k, v in starts.items()}
+    xs = [F.col(c) for c in cols]
+    for _ in range(iterations):
+        pick = F.array(*[F.struct(F.lit(k).alias("k"), nearest(xs, centers[k])[0].alias("c")) for k in centers])
+        stats = (df.select(F.explode(pick).alias("_kc"), *cols)
+                 .groupBy(F.col("_kc.k").alias("_k"), F.col("_kc.c").alias("_c"))
+                 .agg(*[F.avg(c).alias(c) for c in cols]).collect())
+        new = {k: [list(c) for c in v] for k, v in centers.items()}  # an empty cluster keeps its center
+        for r in stats:
+            new[r["_k"]][r["_c"]] = [float(r[c]) for c in cols]
+        centers = new
+    return centers
+
+
 def lloyd(df: DataFrame, cols: Sequence[str], centers: list[list[float]], iterations: int,
           tol: float | None = None) -> tuple[list[list[float]], int]:
     """ML1b: ``iterations`` center updates from the given centers (or fewer once the shift is <= tol).
@@ -141,10 +160,13 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
     from cohortlens.operators import metrics as M
 
     fits = {}
+    if fit == "lloyd":  # all k share each iteration's scan; the k seeds are the max(k) smallest ids
+        seeds = first_rows_as_centers(df, id_col, cols, max(ks)) if ks else []
+        lloyd_centers = lloyd_many(df, cols, {k: seeds[:k] for k in ks if len(seeds) >= k}, iterations)
     for k in ks:
         try:
             if fit == "lloyd":
-                centers, _ = lloyd(df, cols, first_rows_as_centers(df, id_col, cols, k), iterations)
+                centers = lloyd_centers[k]
             else:
                 centers = fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]
             lab = assign(df, cols, centers)

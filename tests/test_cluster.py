@@ -194,3 +194,13 @@ def test_k_distance_grid_matches_brute_force(spark, blobs):
         got = {r["id"]: r["kdist"] for r in DB.k_distance_grid(df, "id", ["a", "b", "c"], k, chunk_rows=50).collect()}
         assert len(got) == len(x)
         assert np.allclose([got[i] for i in range(len(x))], full[:, k - 1])  # self counted first
+
+
+def test_lloyd_many_equals_lloyd_per_k(five_groups):
+    cols = ["age", "income", "spending"]
+    df = five_groups.select("id", *[(F.col(c) / 1000.0).alias(c) for c in cols])
+    seeds = KM.first_rows_as_centers(df, "id", cols, 6)
+    many = KM.lloyd_many(df, cols, {k: seeds[:k] for k in (2, 4, 6)}, 4)
+    for k in (2, 4, 6):
+        one, _ = KM.lloyd(df, cols, seeds[:k], 4)
+        assert np.allclose(np.array(many[k]), np.array(one), rtol=1e-12, atol=1e-12)
