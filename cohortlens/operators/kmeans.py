@@ -159,26 +159,27 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
     """
     from cohortlens.operators import metrics as M
 
-    fits = {}
+    centers = {}
     if fit == "lloyd":  # all k share each iteration's scan; the k seeds are the max(k) smallest ids
         seeds = first_rows_as_centers(df, id_col, cols, max(ks)) if ks else []
-        lloyd_centers = lloyd_many(df, cols, {k: seeds[:k] for k in ks if len(seeds) >= k}, iterations)
-    for k in ks:
-        try:
-            if fit == "lloyd":
-                centers = lloyd_centers[k]
-            else:
-                centers = fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]
-            lab = assign(df, cols, centers)
-            fits[k] = (centers, M.centroid_scores(lab, cols).first())
-        except Exception:  # noqa: BLE001 — a failing k is skipped, as in the original job
-            continue
+        centers = lloyd_many(df, cols, {k: seeds[:k] for k in ks if len(seeds) >= k}, iterations)
+    else:
+        for k in ks:
+            try:
+                centers[k] = fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]
+            except Exception:  # noqa: BLE001 — a failing k is skipped, as in the original job
+                continue
+    # every k's labels as one column each: the scores of all k share their scans
+    xs = [F.col(c) for c in cols]
+    labelled = df.select(id_col, *cols, *[nearest(xs, centers[k])[0].cast("int").alias(f"_c{k}") for k in centers])
+    fits = {}
+    if centers:
+        many = M.centroid_scores_many(labelled, cols, [f"_c{k}" for k in centers])
+        fits = {k: (centers[k], dict(zip(("n_rows", "n_labels", "wcss", "davies_bouldin", "calinski_harabasz"),
+                                         many[f"_c{k}"]))) for k in centers}
     sil = {}
     scored = [k for k, (_, sc) in fits.items() if sc["n_labels"] >= 2]
     if silhouette and scored:
-        # every k's labels as one column each; one blocked pass scores all of them
-        labelled = df.select(id_col, *cols, *[nearest([F.col(c) for c in cols], fits[k][0])[0].cast("int").alias(f"_c{k}")
-                                              for k in scored])
         for r in M.silhouettes_exact(labelled, id_col, cols, [f"_c{k}" for k in scored]).collect():
             sil[int(r["labelling"][2:])] = r["silhouette"]
     rows = []

@@ -58,20 +58,13 @@ def centroid_scores(df: DataFrame, cols: Sequence[str], cluster: str = "cluster"
     Calinski-Harabasz ratio are then arithmetic over those k rows (the global mean is the
     size-weighted mean of the centroids, so it needs no extra pass).
     """
-    d = len(cols)
-    cent = centroids(df, cols, cluster).collect()
-    keys = [r["_k"] for r in cent]
-    n_k = np.array([r["_n"] for r in cent], dtype=float)
-    m = np.array([[r[f"_m{i}"] for i in range(d)] for r in cent], dtype=float)
-    lookup = F.create_map(*[x for kk, row in zip(keys, m) for x in
-                            (F.lit(kk), F.array(*[F.lit(float(v)) for v in row]))])
-    c = lookup[F.col(cluster)]
-    d2 = sum(((F.col(col).cast("double") - c[i]) ** 2 for i, col in enumerate(cols)), F.lit(0.0))
-    per = {r["_k"]: (r["s"], r["ss"]) for r in df.groupBy(F.col(cluster).alias("_k"))
-           .agg(F.avg(F.sqrt(d2)).alias("s"), F.sum(d2).alias("ss")).collect()}
-    s_k = np.array([per[kk][0] for kk in keys], dtype=float)
-    ss = np.array([per[kk][1] for kk in keys], dtype=float)
-    n, k = float(n_k.sum()), len(keys)
+    (n, k, w, db, ch), = centroid_scores_many(df, cols, [cluster]).values()
+    return df.sparkSession.createDataFrame(
+        [(n, k, w, db, ch)], "n_rows LONG, n_labels LONG, wcss DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
+
+
+def _score_arithmetic(n_k: np.ndarray, m: np.ndarray, s_k: np.ndarray, ss: np.ndarray):
+    n, k = float(n_k.sum()), len(n_k)
     wcss = float(ss.sum())
     if k >= 2:
         g = (m * n_k[:, None]).sum(0) / n
@@ -87,8 +80,43 @@ def centroid_scores(df: DataFrame, cols: Sequence[str], cluster: str = "cluster"
             db = float(ratio.max(1).mean())
     else:
         ch, db = float("nan"), float("nan")
-    return df.sparkSession.createDataFrame(
-        [(int(n), k, wcss, db, ch)], "n_rows LONG, n_labels LONG, wcss DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
+    return int(n), k, wcss, db, ch
+
+
+def centroid_scores_many(df: DataFrame, cols: Sequence[str], clusters: Sequence[str]) -> dict:
+    """``centroid_scores`` for several label columns of the same rows in the same two passes:
+    every row yields one (labelling, cluster) key per label column, exploded map-side before the
+    partial aggregate. Returns {label column: (n_rows, n_labels, wcss, davies_bouldin, calinski_harabasz)}."""
+    clusters = list(clusters)
+    d = len(cols)
+    xs = _cols(cols)
+    keyed = F.explode(F.array(*[F.struct(F.lit(j).alias("lab"), F.col(c).cast("long").alias("k"))
+                                for j, c in enumerate(clusters)])).alias("_lk")
+    cent = (df.select(keyed, *[x.alias(f"_x{i}") for i, x in enumerate(xs)])
+            .groupBy(F.col("_lk.lab").alias("_lab"), F.col("_lk.k").alias("_k"))
+            .agg(F.count(F.lit(1)).alias("_n"), *[F.avg(f"_x{i}").alias(f"_m{i}") for i in range(d)]).collect())
+    by_lab = {j: sorted((r for r in cent if r["_lab"] == j), key=lambda r: r["_k"]) for j in range(len(clusters))}
+    dists = []
+    for j, c in enumerate(clusters):
+        lookup = F.create_map(*[x for r in by_lab[j] for x in
+                                (F.lit(r["_k"]).cast("long"), F.array(*[F.lit(float(r[f"_m{i}"])) for i in range(d)]))])
+        cj = lookup[F.col(c).cast("long")]
+        d2 = sum(((xs[i] - cj[i]) ** 2 for i in range(d)), F.lit(0.0))
+        dists.append(F.struct(F.lit(j).alias("lab"), F.col(c).cast("long").alias("k"), d2.alias("d2")))
+    per = (df.select(F.explode(F.array(*dists)).alias("_ld"))
+           .groupBy(F.col("_ld.lab").alias("_lab"), F.col("_ld.k").alias("_k"))
+           .agg(F.avg(F.sqrt("_ld.d2")).alias("s"), F.sum("_ld.d2").alias("ss")).collect())
+    per = {(r["_lab"], r["_k"]): (r["s"], r["ss"]) for r in per}
+    out = {}
+    for j, c in enumerate(clusters):
+        rows = by_lab[j]
+        keys = [r["_k"] for r in rows]
+        n_k = np.array([r["_n"] for r in rows], dtype=float)
+        m = np.array([[r[f"_m{i}"] for i in range(d)] for r in rows], dtype=float).reshape(len(rows), d)
+        s_k = np.array([per[(j, kk)][0] for kk in keys], dtype=float)
+        ss = np.array([per[(j, kk)][1] for kk in keys], dtype=float)
+        out[c] = _score_arithmetic(n_k, m, s_k, ss)
+    return out
 
 
 def _multi_silhouette_kernel(n_lab: int):

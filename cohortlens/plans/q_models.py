@@ -3,6 +3,7 @@ MT10, MT11, CH5, EX12) and the library fits that have no SQL twin (ML1, ML3, ML5
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -131,26 +132,27 @@ def comparison_frame(spark, sf):
     """One metrics row per labelling: Lloyd K-Means, density clustering, market segment."""
     def build():
         truth = T.table(spark, sf, "customer").select(F.col("c_custkey").alias(ID), F.col("c_mktsegment").alias("truth"))
-        labellings = (X.lloyd_labelled(spark, sf), X.dbscan_labelled(spark, sf), X.segment_labelled(spark, sf))
-        stats = []
-        for lab in labellings:
-            found = lab.agg(F.count_distinct(F.when(F.col("cluster") != -1, F.col("cluster"))).alias("n")).first()["n"]
-            ari = M.adjusted_rand(lab, truth, ID).first()["ari"]
-            sc = M.centroid_scores(lab, Z).first() if found >= 2 else None
-            stats.append((found, ari, sc))
-        # the three labellings of the same scaled rows side by side: one blocked silhouette pass
+        # the three labellings of the same scaled rows side by side: scores share their scans
         joint = KM.assign(X.segment_labelled(spark, sf).withColumnRenamed("cluster", "_c2"), Z,
                           X.lloyd_centers(spark, sf), out="_c0")
-        joint = joint.join(X.dbscan_labels(spark, sf).withColumnRenamed("cluster", "_c1"), ID)
-        scored = [i for i, (found, _, _) in enumerate(stats) if found >= 2]
+        joint = joint.join(X.dbscan_labels(spark, sf).withColumnRenamed("cluster", "_c1"), ID).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        labs = [f"_c{i}" for i in range(3)]
+        fr = joint.agg(*[F.count_distinct(F.when(F.col(c) != -1, F.col(c))).alias(c) for c in labs]).first()
+        found = [fr[c] for c in labs]
+        aris = [M.adjusted_rand(joint.select(ID, F.col(c).alias("cluster")), truth, ID).first()["ari"] for c in labs]
+        scored = [i for i in range(3) if found[i] >= 2]
+        sc = M.centroid_scores_many(joint, Z, [labs[i] for i in scored]) if scored else {}
         sil = {int(r["labelling"][2:]): r["silhouette"] for r in
-               M.silhouettes_exact(joint, ID, Z, [f"_c{i}" for i in scored]).collect()} if scored else {}
+               M.silhouettes_exact(joint, ID, Z, [labs[i] for i in scored]).collect()} if scored else {}
+        stats = [(found[i], aris[i], sc.get(labs[i])) for i in range(3)]
+        joint.unpersist()
         rows = []
         for i, ((name, order), (found, ari, sc)) in enumerate(zip(RUN_ORDER, stats)):
             if found < 2:
                 s_i, db, ch = -1.0, float("inf"), 0.0
             else:
-                s_i, db, ch = sil[i], sc["davies_bouldin"], sc["calinski_harabasz"]
+                s_i, db, ch = sil[i], sc[3], sc[4]
             rows.append((name, order, int(found), float(s_i), float(db), float(ch), float(ari), found > 1 and s_i > -1))
         return spark.createDataFrame(rows, "algorithm STRING, run_order INT, n_clusters BIGINT, silhouette DOUBLE, "
                                            "davies_bouldin DOUBLE, calinski_harabasz DOUBLE, ari DOUBLE, is_valid BOOLEAN")
