@@ -160,6 +160,40 @@ def _multi_silhouette_kernel(n_lab: int):
     return kernel
 
 
+WIDE_SLOTS = 512  # (labelling, cluster) slots up to which tiles are emitted one row per row
+
+
+def _wide_silhouette_kernel(slot_labels: list[np.ndarray], slot_base: list[int], n_slots: int):
+    """Per left row of the tile: its own labels and distance sums to every (labelling, cluster)
+    slot, as columns."""
+    n_lab = len(slot_labels)
+
+    def kernel(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        cols = ["id"] + [f"o{j}" for j in range(n_lab)] + [f"s{i}" for i in range(n_slots)]
+        if left.empty or right.empty:
+            return pd.DataFrame({c: [] for c in cols})
+        xl = np.stack(left["x"].to_numpy()).astype(np.float64)
+        xr = np.stack(right["x"].to_numpy()).astype(np.float64)
+        lab_r = np.stack(right["c"].to_numpy()).astype(np.int64)
+        onehot = np.zeros((len(right), n_slots))
+        rows = np.arange(len(right))
+        for j, labels in enumerate(slot_labels):
+            onehot[rows, slot_base[j] + np.searchsorted(labels, lab_r[:, j])] = 1.0
+        nr = (xr * xr).sum(1)[None, :]
+        sums = np.empty((len(left), n_slots))
+        for lo in range(0, len(left), TILE_ROWS):  # bounded tile: TILE_ROWS x |R| distances at a time
+            a = xl[lo:lo + TILE_ROWS]
+            d2 = (a * a).sum(1)[:, None] + nr - 2.0 * (a @ xr.T)
+            sums[lo:lo + TILE_ROWS] = np.sqrt(np.maximum(d2, 0.0)) @ onehot
+        out = pd.DataFrame(sums, columns=cols[1 + n_lab:])
+        lab_l = np.stack(left["c"].to_numpy()).astype(np.int64)
+        for j in reversed(range(n_lab)):
+            out.insert(0, f"o{j}", lab_l[:, j])
+        out.insert(0, "id", left["id"].to_numpy())
+        return out
+    return kernel
+
+
 def silhouettes_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
                       clusters: Sequence[str] = ("cluster",), vector: str | None = None,
                       block_rows: int = 4096) -> DataFrame:
@@ -167,12 +201,54 @@ def silhouettes_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = N
     one row (labelling, silhouette, n_rows, mode) per label column. Noise (-1) counts as a cluster.
 
     Work is n^2 * d flops (shared by all labellings) spread over B^2 bounded tasks
-    (B = ceil(n / block_rows)); each task holds at most two blocks.
+    (B = ceil(n / block_rows)); each task holds at most two blocks. Cluster sizes come from one
+    small aggregate; with at most WIDE_SLOTS (labelling, cluster) slots a tile emits one row per
+    left row with one distance-sum column per slot, else one row per (row, slot).
     """
     clusters = list(clusters)
     x = F.col(vector).cast("array<double>") if vector else F.array(*_cols(cols))
     base = df.select(F.col(id_col).cast("long").alias("id"),
                      F.array(*[F.col(c).cast("long") for c in clusters]).alias("c"), x.alias("x"))
+    sizes = (base.select(F.posexplode("c").alias("lab", "label")).groupBy("lab", "label")
+             .agg(F.count(F.lit(1)).alias("cnt")).collect())  # one row per (labelling, cluster)
+    if len(sizes) > WIDE_SLOTS:
+        return _silhouettes_long(base, clusters, block_rows)
+    n = sum(r["cnt"] for r in sizes if r["lab"] == 0)
+    slot_labels = [np.array(sorted(r["label"] for r in sizes if r["lab"] == j), dtype=np.int64) for j in range(len(clusters))]
+    cnt = {(r["lab"], r["label"]): r["cnt"] for r in sizes}
+    slot_base = list(np.cumsum([0] + [len(v) for v in slot_labels[:-1]]).astype(int))
+    n_slots = int(sum(len(v) for v in slot_labels))
+    blocks = max(1, math.ceil(n / block_rows))
+    base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    rep = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = base.select("blk", rep.alias("pb"), "id", "c", "x")
+    # fresh attributes on the right side so the cogroup of two views of one frame resolves
+    right = base.select(rep.alias("blk"), F.col("blk").alias("pb"), F.col("id").alias("id"),
+                        F.col("c").alias("c"), F.col("x").alias("x"))
+    own = [f"o{j}" for j in range(len(clusters))]
+    schema = "id long, " + ", ".join([f"{o} long" for o in own] + [f"s{i} double" for i in range(n_slots)])
+    tiles = (left.groupBy("blk", "pb").cogroup(right.groupBy("blk", "pb"))
+             .applyInPandas(_wide_silhouette_kernel(slot_labels, slot_base, n_slots), schema))
+    per = tiles.groupBy("id", *own).agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(n_slots)])
+    scores = []
+    for j in range(len(clusters)):
+        own_j = F.col(f"o{j}")
+        slots = [(slot_base[j] + i, int(v), float(cnt[(j, int(v))])) for i, v in enumerate(slot_labels[j])]
+        own_sum = F.coalesce(*[F.when(own_j == F.lit(v), F.col(f"s{i}")) for i, v, _ in slots])
+        own_cnt = F.coalesce(*[F.when(own_j == F.lit(v), F.lit(c)) for _, v, c in slots])
+        b = F.array_min(F.array(*[F.when(own_j != F.lit(v), F.col(f"s{i}") / F.lit(c)) for i, v, c in slots]))
+        a = own_sum / (own_cnt - 1)
+        s_j = F.when((own_cnt <= 1) | b.isNull(), F.lit(0.0)).otherwise(
+            F.when(F.greatest(a, b) == 0, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b)))
+        scores.append(F.avg(s_j).alias(f"sil{j}"))
+    wide = per.agg(*scores, F.count(F.lit(1)).alias("n_rows"))
+    pairs = ", ".join(f"'{c}', sil{j}" for j, c in enumerate(clusters))
+    return wide.selectExpr(f"stack({len(clusters)}, {pairs}) AS (labelling, silhouette)", "n_rows").withColumn(
+        "mode", F.lit("exact"))
+
+
+def _silhouettes_long(base: DataFrame, clusters: list[str], block_rows: int) -> DataFrame:
+    """Long form of ``silhouettes_exact`` for many clusters: one tile row per (row, labelling, cluster)."""
     n = base.count()
     blocks = max(1, math.ceil(n / block_rows))
     base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
