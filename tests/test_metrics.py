@@ -117,16 +117,3 @@ def test_noise_filtered_fallback_mt7(spark):
     own = spark.createDataFrame([(i, i if i < 61 else -1) for i in range(len(pts))], "id long, cluster int")
     s = WF.score(df, own, "id", ["a", "b"])
     assert s["silhouette"] == -1.0 and s["warning"].startswith("scores failed") and not s["is_valid"]
-
-
-def test_wide_and_long_silhouette_forms_agree(spark, monkeypatch):
-    rng = np.random.default_rng(11)
-    pts = np.vstack([rng.normal(0, 0.5, (70, 2)), rng.normal(2, 0.5, (60, 2)), rng.uniform(-3, 5, (20, 2))])
-    rows = [(i, float(a), float(b), int(i % 3), -1 if i >= 130 else int(i >= 70), 7) for i, (a, b) in enumerate(pts)]
-    df = spark.createDataFrame(rows, "id long, a double, b double, l1 int, l2 int, one int")
-    wide = {r["labelling"]: r["silhouette"] for r in M.silhouettes_exact(df, "id", ["a", "b"], ["l1", "l2", "one"], block_rows=40).collect()}
-    monkeypatch.setattr(M, "WIDE_SLOTS", 0)
-    long = {r["labelling"]: r["silhouette"] for r in M.silhouettes_exact(df, "id", ["a", "b"], ["l1", "l2", "one"], block_rows=40).collect()}
-    assert wide.keys() == long.keys() == {"l1", "l2", "one"}
-    assert all(math.isclose(wide[k], long[k], rel_tol=1e-12, abs_tol=1e-12) for k in wide)
-    assert wide["one"] == 0.0  # a single cluster: b is undefined, every s is 0
