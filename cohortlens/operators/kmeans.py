@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,14 +20,42 @@ from pyspark.sql import functions as F
 from cohortlens.functions.vectors import nearest
 
 
+EXPR_CENTERS = 32  # up to this many centers the nearest-center search is one codegen expression
+
+
 def assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster",
            dist: str | None = None) -> DataFrame:
-    """ML1a: nearest center by squared Euclidean distance; ties -> lowest center id."""
-    j, d = nearest([F.col(c) for c in cols], centers)
+    """ML1a: nearest center by squared Euclidean distance; ties -> lowest center id.
+
+    Few centers: a column expression (whole-stage codegen). Many centers (micro-clusters): the
+    expression would outgrow the 64 KB codegen limit, so an Arrow-batched ``pandas_udf`` takes
+    only the feature columns and does the batch x centers search in NumPy."""
+    if len(centers) <= EXPR_CENTERS:
+        j, d = nearest([F.col(c) for c in cols], centers)
+    else:
+        best = _nearest_udf(np.asarray(centers, dtype=np.float64))(*[F.col(c).cast("double") for c in cols])
+        j, d = best["j"], best["d"]
     df = df.withColumn(out, j.cast("int"))
     return df.withColumn(dist, d) if dist else df
 
 
+def _nearest_udf(c: np.ndarray, rows_per_step: int = 4096):
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("struct<j:int,d:double>")
+    def nearest_center(*xs: pd.Series) -> pd.DataFrame:
+        x = np.column_stack([v.to_numpy(dtype=np.float64) for v in xs])
+        j = np.empty(len(x), np.int32)
+        dd = np.empty(len(x))
+        for lo in range(0, len(x), rows_per_step):  # bounded: rows_per_step x centers x d at a time
+            diff = x[lo:lo + rows_per_step, None, :] - c[None, :, :]
+            d2 = (diff * diff).sum(-1)
+            j[lo:lo + rows_per_step] = d2.argmin(1)  # first minimum: ties -> lowest center id
+            dd[lo:lo + rows_per_step] = d2[np.arange(len(d2)), j[lo:lo + rows_per_step]]
+        return pd.DataFrame({"j": j, "d": dd})
+    return nearest_center
+
+
 def first_rows_as_centers(df: DataFrame, id_col: str, cols: Sequence[str], k: int) -> list[list[float]]:
     """The k rows with the smallest ids (a distributed top-k, k rows to the driver)."""
     rows = df.orderBy(id_col).select(*cols).limit(k).collect()

@@ -204,3 +204,17 @@ def test_lloyd_many_equals_lloyd_per_k(five_groups):
     for k in (2, 4, 6):
         one, _ = KM.lloyd(df, cols, seeds[:k], 4)
         assert np.allclose(np.array(many[k]), np.array(one), rtol=1e-12, atol=1e-12)
+
+
+def test_assign_many_centers_batch_form_equals_expression(five_groups, monkeypatch):
+    cols = ["age", "income", "spending"]
+    df = five_groups.select("id", *[(F.col(c) / F.lit(1000.0)).alias(c) for c in cols])
+    rng = np.random.default_rng(2)
+    centers = [list(map(float, r)) for r in rng.normal([0.04, 700, 0.05], [0.01, 300, 0.02], (40, 3))]
+    centers[7] = list(centers[3])  # a tie: the lower id wins in both forms
+    batch = {r["id"]: (r["cluster"], r["d2"]) for r in KM.assign(df, cols, centers, dist="d2").collect()}
+    monkeypatch.setattr(KM, "EXPR_CENTERS", 10_000)
+    expr = {r["id"]: (r["cluster"], r["d2"]) for r in KM.assign(df, cols, centers, dist="d2").collect()}
+    assert batch.keys() == expr.keys()
+    assert all(batch[i][0] == expr[i][0] and math.isclose(batch[i][1], expr[i][1], rel_tol=1e-12) for i in batch)
+    assert 7 not in {v[0] for v in batch.values()}
