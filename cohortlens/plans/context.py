@@ -69,15 +69,34 @@ def lloyd_labelled(spark: SparkSession, sf_dir: str, k: int = LLOYD_K, iters: in
     return KM.assign(scaled(spark, sf_dir), ZCOLS, lloyd_centers(spark, sf_dir, k, iters))
 
 
+CODE_TABLE_WINDOW_ROWS = 1_000_000  # code tables up to this size are numbered by one window and broadcast
+
+
 def segment_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scaled rows labelled by the category (c_mktsegment) coded 0.. in alphabetical order."""
+    """Scaled rows labelled by the category (c_mktsegment) coded 0.. in ascending order (-1: null).
+
+    The code table is built on Spark: distinct values, numbered by one window when small (checked
+    count), else by the distributed ``dense_index``; it is written to the checkpoint folder and
+    joined back, broadcast only within the checked size."""
+    from cohortlens.operators.clean import dense_index
+    from cohortlens.session import materialize
+
     df = scaled(spark, sf_dir)
-    codes = memo(spark, sf_dir, "segcodes", lambda: sorted(
-        r[0] for r in df.select(ROLES.category).distinct().collect() if r[0] is not None))
-    expr = F.lit(-1)
-    for i, v in reversed(list(enumerate(codes))):
-        expr = F.when(F.col(ROLES.category) == v, F.lit(i)).otherwise(expr)
-    return df.withColumn("cluster", expr.cast("int"))
+
+    def build():
+        cats = df.select(F.col(ROLES.category).alias("_cat")).where(F.col("_cat").isNotNull()).distinct()
+        cats = materialize(cats, "segcats")
+        n = cats.count()
+        if n <= CODE_TABLE_WINDOW_ROWS:
+            from pyspark.sql import Window
+            codes = cats.select("_cat", (F.row_number().over(Window.orderBy("_cat")) - 1).cast("int").alias("_code"))
+        else:
+            codes = dense_index(cats, ["_cat"], name="_code").select("_cat", F.col("_code").cast("int"))
+        return materialize(codes, "segcodes"), n
+    codes, n = memo(spark, sf_dir, "segcodes", build)
+    side = F.broadcast(codes) if n <= CODE_TABLE_WINDOW_ROWS else codes
+    return (df.join(side, df[ROLES.category] == side["_cat"], "left")
+            .withColumn("cluster", F.coalesce(F.col("_code"), F.lit(-1)).cast("int")).drop("_cat", "_code"))
 
 
 # Schema check roles for the raw customer table (IO3/IO4).
