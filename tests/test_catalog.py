@@ -50,3 +50,15 @@ def test_query_matches_oracle_sf0001(spark, con, name):
                 assert x == pytest.approx(y, rel=1e-9, abs=1e-9)
             else:
                 assert x == y
+
+
+def test_flagship_scans_are_pruned(spark):
+    """The flagship reads only the columns it needs, and the null filter on the join key reaches the scan."""
+    df = E.queries()["profile_kmeans"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line or "Scan parquet" in line]
+    text = "\n".join(schemas)
+    assert "c_custkey" in text and "o_totalprice" in text  # the scans and their read schemas are in the plan text
+    assert "o_orderdate" not in text and "o_comment" not in text and "c_address" not in text
+    assert "IsNotNull(o_custkey)" in plan
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan  # no Python on the flagship path
