@@ -88,6 +88,7 @@ def test_exact_quantiles_equal_percentile_with_heavy_ties_and_groups(spark):
         v = 5.0 if (g == "hot" and i % 2 == 0) else float(np.round(rng.normal(0, 10), 3))  # one value holds 1/6 of rows
         rows.append((g, None if i % 97 == 0 else v, float(i % 11)))
     rows.append(("empty", None, None))
+    rows += [(None, float(v), 1.0) for v in (3.0, 1.0, 2.0, 8.0)]  # a null group is a group
     df = spark.createDataFrame(rows, "g string, x double, y double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
     want = {r["g"]: (r["qx"], r["qy"]) for r in df.groupBy("g").agg(
