@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, packing, quality, tokens
+from cohortlens.llm import mixing, packing, pii, quality, tokens
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,17 @@ def query(fn):
     return fn
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (base and added)."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.fit(spark)).drop("text")
+    base = F.filter("pii", lambda x: x["base"])
+    kinds = F.transform("base", lambda x: x["k"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.BASE)]
+    return found.withColumn("base", base).select("doc_id", *counts, F.sha2(pii.as_string(F.col("base")), 256).alias("base_sha256"),
+                                                 pii.as_string(F.col("pii")).alias("spans"))
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
