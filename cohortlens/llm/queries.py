@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, packing, pii, quality, tokens
+from cohortlens.llm import mixing, packing, pii, quality, superminhash, tokens
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept."""
+    found = superminhash.groups(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                        (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, fail_bits."""
