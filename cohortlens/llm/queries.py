@@ -45,9 +45,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, size, source_size, target, taken, position."""
+    """doc_id, size, source_size, target, taken, positions."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken", "position")
+    return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
 @query

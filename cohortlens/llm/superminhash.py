@@ -226,6 +226,16 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one document of each group: the one with the least id, once. Rows with a null id all stay."""
+    found = materialize(groups(df, id_col, text).where("id = component_id").select("id"), "dedup-kept")
+    ids = found.distinct().withColumnRenamed("id", "__kept")
+    out = df.join(ids, df[id_col] == ids["__kept"], "left_semi")
+    if found.groupBy("id").count().where("count > 1").isEmpty():
+        return out.unionByName(df.where(F.col(id_col).isNull()))
+    return out.dropDuplicates([id_col]).unionByName(df.where(F.col(id_col).isNull()))
+
+
 def _components(links: DataFrame) -> DataFrame:
     """(node, component) of every id with a link."""
     links = materialize(links, "dedup-edges")

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortlens.llm import quality
+from cohortlens.llm import mixing, packing, pii, quality, superminhash
 from cohortlens.llm.util import table
 from cohortlens.session import ensure_checkpoint_dir
 
@@ -17,7 +18,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return led.where(quality.passes("__ledger.fail_bits", "v2")).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_stage)]
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return superminhash.keep_one(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; n_chars follows the text. No document goes."""
+    found = pii.find(docs, pii.fit(spark), to="__pii")
+    out = found.withColumn("text", pii.redact(F.col("text"), F.col("__pii")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.size("__pii") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix in training order: a document stands in it as often as it is taken."""
+    plain = docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c in (*mixing.ADDED, "position")})
+    return mixing.curriculum(mixing.mix(plain)).select(*[F.col(p).alias(c) for p, c in zip(plain.columns, docs.columns, strict=True)])
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The slots of all pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(packing.pieces(docs, with_ids=False))
+
+
+STAGES = [("quality_rules", quality_stage), ("near_dedup", near_dedup_stage), ("pii", pii_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
 #: No stage but the first has SQL that is exact; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
