@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, packing, pii, quality, superminhash, tokens
+from cohortlens.llm import mixing, packing, pii, quality, superminhash, tokens, urls
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, bad_rate, bad_bound. Outcomes: the labels of the document with the page's number."""
+    labels = table(spark, sf_dir, "labels")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), outcomes).drop("url")
+
+
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken, positions."""
