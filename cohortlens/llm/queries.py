@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import mixing, packing, pii, quality, superminhash, tokens, urls
+from cohortlens.llm import ann, mixing, packing, pii, quality, superminhash, tokens, urls
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score. Queries: the rows whose vec_id is divisible by 100, against all rows."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 @query
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, host, path, rule, verdict, bad_rate, bad_bound. Outcomes: the labels of the document with the page's number."""
