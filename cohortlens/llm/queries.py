@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, mixing, packing, pii, quality, superminhash, tokens, urls
+from cohortlens.llm import ann, mixing, packing, pii, quality, superminhash, tokens, urls, warc
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,12 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
 
 
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to: pages as ARC archives, converted to WARC and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, fail_bits."""
