@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, mixing, packing, pii, quality, superminhash, tokens, urls, warc
+from cohortlens.llm import ann, mixing, packing, pii, quality, superminhash, tokens, urls, warc, wrapper
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars."""
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, fail_bits."""
