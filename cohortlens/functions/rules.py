@@ -136,9 +136,37 @@ def segment_text(age_band: Column, income_band: Column, spending_band: Column) -
     return F.format_string("%s, %s income, %s spending", age_band, income_band, spending_band)
 
 
+def fixed_text(x: Column, digits: int, grouped: bool = False) -> Column:
+    """EX11: ``digits`` decimals of the binary value, ties to even, as Python's ``.nf`` and ``,.nf`` give them.
+
+    The fraction is scaled to an integer (60 bits: exact from 1/256 on) and rounded in integer arithmetic; Spark's own
+    rounding works on the shortest decimal text of a double, whose ties are not the value's."""
+    two60, ten = F.lit(1 << 60).cast("decimal(20,0)"), 10 ** digits
+
+    def let(value: Column, use) -> Column:  # computes ``value`` once, however often it is used
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def rounded(whole: Column, scaled: Column, down: Column) -> Column:
+        """whole * 10^digits + the fraction's digits, from the fraction times 2^60 * 10^digits and its quotient by 2^60."""
+        rest = (scaled - down.cast("decimal(20,0)") * two60) * 2
+        up = (rest > two60) | ((rest == two60) & ((whole * ten + down) % 2 == 1))
+        return whole * ten + down + F.when(up, 1).otherwise(0)
+
+    def shown(v: Column) -> Column:
+        head = (v - v % ten) / ten
+        head = F.format_number(head, 0) if grouped else head.cast("long").cast("string")
+        return F.concat(head, F.lit("."), F.lpad((v % ten).cast("string"), digits, "0")) if digits else head
+
+    size = F.abs(x)
+    fraction = ((size - F.floor(size)) * F.lit(float(1 << 60))).cast("long").cast("decimal(20,0)") * F.lit(ten).cast("decimal(10,0)")
+    text = let(fraction, lambda s: let(((s - s % two60) / two60).cast("long"), lambda q: let(rounded(F.floor(size).cast("long"), s, q), shown)))
+    return F.when(x.isNull() | F.isnan(x), F.lit("nan")).when(size == F.lit(float("inf")), F.lit("inf")).otherwise(
+        F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), text))
+
+
 def grouped_thousands(x: Column) -> Column:
     """EX11: integer part with thousands separators, rounded half-even like Python's ',.0f'."""
-    return F.format_number(F.bround(x, 0), 0)
+    return fixed_text(x, 0, grouped=True)
 
 
 def capped(x: Column, cap: float = 5.0) -> Column:
@@ -148,7 +176,7 @@ def capped(x: Column, cap: float = 5.0) -> Column:
 
 def capped_label(x: Column, digits: int = 3) -> Column:
     """EX12: text label, 'inf' for an infinite score."""
-    return F.when(x == F.lit(float("inf")), F.lit("inf")).otherwise(F.format_string(f"%.{digits}f", x))
+    return fixed_text(x, digits)
 
 
 def is_primary(priority: Column) -> Column:

@@ -26,14 +26,12 @@ def scatter_series(df: DataFrame, pairs: Sequence[tuple[str, str]], colour: str
     return out
 
 
-def cluster_scatter(labelled: DataFrame, pairs: Sequence[tuple[str, str]], cluster: str = "cluster",
-                    broadcast_rows: int = 1_000_000) -> DataFrame:
+def cluster_scatter(labelled: DataFrame, pairs: Sequence[tuple[str, str]], cluster: str = "cluster") -> DataFrame:
     """CH2: (pair, x, y, cluster name, rows in that cluster). Sizes come from a partial aggregate
-    (k rows) joined back — broadcast when k is checked to be small — instead of a window
+    (k rows) joined back instead of a window
     partitioned by cluster, which would put a cluster holding a third of the rows in one task."""
     sizes = labelled.groupBy(cluster).agg(F.count(F.lit(1)).alias("n_in_cluster"))
-    k = sizes.count()
-    base = labelled.join(F.broadcast(sizes) if k <= broadcast_rows else sizes, cluster).withColumn("cluster_name", cluster_name(F.col(cluster)))
+    base = labelled.join(sizes, cluster).withColumn("cluster_name", cluster_name(F.col(cluster)))
     parts = [base.select(F.lit(f"{x} vs {y}").alias("pair"), F.col(x).cast("double").alias("x"),
                          F.col(y).cast("double").alias("y"), "cluster_name", "n_in_cluster") for x, y in pairs]
     out = parts[0]

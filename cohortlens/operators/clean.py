@@ -6,9 +6,10 @@ by Spark, no driver round trip and no single-partition window.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,9 +89,9 @@ def outlier_report(df: DataFrame, features: Sequence[str], multiplier: float = 3
 
 
 def clip(col: str, lo: float, hi: float):
-    """CL9: limit to [lo, hi]; null stays null (greatest/least alone would skip the null)."""
+    """CL9: limit to [lo, hi]; null and NaN stay missing (greatest/least alone would skip the null and take NaN as largest)."""
     c = F.col(col)
-    return F.when(c.isNull(), c).otherwise(F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
+    return F.when(c.isNull() | F.isnan(c.cast("double")), c).otherwise(F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
 
 
 def truncate_int(col: str):
@@ -113,22 +114,37 @@ def dense_index(df: DataFrame, order: Sequence, name: str = "row_index", start:
     """Distributed 0.. (or start..) numbering in ``order`` — no single-partition window.
 
     Range-partition + sort within partitions, write to the checkpoint folder (pins the ids and
-    survives executor loss), count rows per partition (one small row per partition to the driver), then add the
-    partition's offset to the position inside it (monotonically_increasing_id's low 33 bits).
+    survives executor loss), count rows per partition, then add the partition's offset (one row per
+    partition, ``partitions`` at most, joined back) to the position inside it (monotonically_increasing_id's low 33 bits).
     """
     from cohortlens.session import materialize
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                          .withColumn("_mid", F.monotonically_increasing_id()), "index")
-    counts = ranged.groupBy(F.shiftright("_mid", 33).alias("_p")).count().collect()
-    offsets, acc = {}, start
-    for r in sorted(counts, key=lambda r: r["_p"]):
-        offsets[r["_p"]] = acc
-        acc += r["count"]
-    omap = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]) if offsets else F.create_map()
+    # one row per partition: their running sum is a window over that many rows, joined back
+    part = F.shiftright("_mid", 33)
+    counts = ranged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_p")) - F.col("_n") + F.lit(start)
+    offsets = counts.select("_p", before.alias("_before"))
     pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return ranged.withColumn(name, (omap[F.shiftright("_mid", 33)] + pos).cast("long")).drop("_mid")
+    return ranged.join(F.broadcast(offsets), part == offsets["_p"]).withColumn(name, (F.col("_before") + pos).cast("long")).drop("_mid", "_p", "_before")
+
+
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def on_long_ids(fn):
+    """Decorator for an operator (df, id_col, ...) -> frame with id_col that works on integer ids: ids of any
+    other type are numbered in their order (so the smallest stays the smallest) and put back in the result."""
+    @functools.wraps(fn)
+    def run(df: DataFrame, id_col: str, *args, **kwargs):
+        if df.schema[id_col].dataType.simpleString() in INTEGRAL:
+            return fn(df, id_col, *args, **kwargs)
+        ids = dense_index(df.select(id_col), [id_col], name="_rid")
+        out = fn(df.join(ids, id_col).drop(id_col), "_rid", *args, **kwargs)
+        return out.join(ids, "_rid").select(id_col, *[c for c in out.columns if c != "_rid"])
+    return run
 
 
 def shuffle_reid(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:

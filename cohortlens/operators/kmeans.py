@@ -181,25 +181,29 @@ def lloyd_sql(scaled: str, id_col: str, cols: Sequence[str], k: int, iterations:
 
 def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fit: str = "lloyd",
           iterations: int = 3, seed: int = 42, restarts: int = 10, max_iter: int = 300,
-          silhouette: bool = True) -> DataFrame:
-    """ML3: one row per k (k, wcss, silhouette, davies_bouldin, calinski_harabasz).
+          silhouette: bool | str = True, parallelism: int = 4) -> DataFrame:
+    """ML3: one row per k (k, wcss, silhouette, davies_bouldin, calinski_harabasz, warning).
 
     ``fit='lloyd'``: ML1b from the k rows with the smallest ids (deterministic, oracle-checked);
-    ``fit='library'``: ML1 (k-means|| with restarts). A k whose fit fails is left out (the
-    table is keyed by k, so nothing shifts). ``df`` should be persisted by the caller.
+    ``fit='library'``: ML1 (k-means|| with restarts; ``parallelism`` fits are submitted at a time). A k that
+    the rows do not admit (fewer rows than k) keeps its row, with null scores and a warning; every
+    other error ends the sweep. ``silhouette``: True or "exact", "squared" (linear), or False.
+    ``df`` should be persisted by the caller.
     """
     from cohortlens.operators import metrics as M
 
-    centers = {}
+    from concurrent.futures import ThreadPoolExecutor
+
+    centers, failed = {}, {}
     if fit == "lloyd":  # all k share each iteration's scan; the k seeds are the max(k) smallest ids
         seeds = first_rows_as_centers(df, id_col, cols, max(ks)) if ks else []
         centers = lloyd_many(df, cols, {k: seeds[:k] for k in ks if len(seeds) >= k}, iterations)
     else:
-        for k in ks:
-            try:
-                centers[k] = fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]
-            except Exception:  # noqa: BLE001 — a failing k is skipped, as in the original job
-                continue
+        n = df.count()
+        with ThreadPoolExecutor(parallelism) as pool:
+            fits = pool.map(lambda k: (k, fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]), [k for k in ks if k <= n])
+            centers = dict(fits)
+    failed = {k: f"fewer than {k} rows" for k in ks if k not in centers}
     # every k's labels as one column each: the scores of all k share their scans
     xs = [F.col(c) for c in cols]
     labelled = df.select(id_col, *cols, *[nearest(xs, centers[k])[0].cast("int").alias(f"_c{k}") for k in centers])
@@ -210,7 +214,9 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
                                          many[f"_c{k}"]))) for k in centers}
     sil = {}
     scored = [k for k, (_, sc) in fits.items() if sc["n_labels"] >= 2]
-    if silhouette and scored:
+    if silhouette == "squared":
+        sil = {k: M.silhouette_squared(labelled, cols, f"_c{k}") for k in scored}
+    elif silhouette and scored:
         for r in M.silhouettes_exact(labelled, id_col, cols, [f"_c{k}" for k in scored]).collect():
             sil[int(r["labelling"][2:])] = r["silhouette"]
     rows = []
@@ -219,15 +225,16 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
             s_k, db, ch = -1.0, float("inf"), 0.0
         else:
             s_k, db, ch = sil.get(k), sc["davies_bouldin"], sc["calinski_harabasz"]
-        rows.append((int(k), float(sc["wcss"]), None if s_k is None else float(s_k), float(db), float(ch)))
+        rows.append((int(k), float(sc["wcss"]), None if s_k is None else float(s_k), float(db), float(ch), None))
+    rows += [(int(k), None, None, None, None, why) for k, why in failed.items()]
     return df.sparkSession.createDataFrame(
-        rows, "k INT, wcss DOUBLE, silhouette DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
+        rows, "k INT, wcss DOUBLE, silhouette DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE, warning STRING")
 
 
 def best_k(sweep_df: DataFrame) -> DataFrame:
     """ML4: best k per metric (silhouette max, Davies-Bouldin min, CH max; ties -> smallest k);
     the selected k is the silhouette's. The sweep table has one row per k (bounded by the range)."""
-    return sweep_df.agg(
+    return sweep_df.where("wcss is not null").agg(
         F.max_by("k", F.struct(F.col("silhouette"), -F.col("k"))).alias("best_k_silhouette"),
         F.max_by("k", F.struct(-F.col("davies_bouldin"), -F.col("k"))).alias("best_k_davies_bouldin"),
         F.max_by("k", F.struct(F.col("calinski_harabasz"), -F.col("k"))).alias("best_k_calinski"),

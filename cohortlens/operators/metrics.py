@@ -2,8 +2,7 @@
 sentinels, validity) on a labelled frame ``(id, cluster, features...)``.
 
 Centroid-based scores are aggregates: one ``groupBy(cluster)`` for the centroids (k rows), one
-pass over the rows joined to those k rows. The k-row centroid table is broadcast only when its
-size is known to be small (checked), otherwise it is a shuffled join.
+pass over the rows joined to those k rows; adaptive execution picks the join by the table's bytes.
 
 The exact Euclidean silhouette is quadratic by definition. It is computed by a blocked plan:
 rows are hashed into B blocks of bounded size, every (block, partner block) pair is one
@@ -22,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 INF = float("inf")
-BROADCAST_ROWS = 1_000_000  # centroid tables up to this many rows (x d doubles) are broadcast
 TILE_ROWS = 1024  # rows of a block whose distances to the partner block are held at once
 
 
@@ -38,10 +36,8 @@ def centroids(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> D
 
 def _with_centroid(df: DataFrame, cols: Sequence[str], cluster: str) -> DataFrame:
     cent = centroids(df, cols, cluster)
-    k = cent.count()
-    side = F.broadcast(cent) if k <= BROADCAST_ROWS else cent
     d2 = sum(((F.col(c).cast("double") - F.col(f"_m{i}")) ** 2 for i, c in enumerate(cols)), F.lit(0.0))
-    return df.join(side, F.col(cluster) == F.col("_k")).withColumn("_d2", d2)
+    return df.join(cent, F.col(cluster) == F.col("_k")).withColumn("_d2", d2)
 
 
 def wcss(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
@@ -171,7 +167,8 @@ def silhouettes_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = N
     """
     clusters = list(clusters)
     x = F.col(vector).cast("array<double>") if vector else F.array(*_cols(cols))
-    base = df.select(F.col(id_col).cast("long").alias("id"),
+    id_type = df.schema[id_col].dataType.simpleString()
+    base = df.select(F.col(id_col).alias("id"),
                      F.array(*[F.col(c).cast("long") for c in clusters]).alias("c"), x.alias("x"))
     n = base.count()
     blocks = max(1, math.ceil(n / block_rows))
@@ -181,7 +178,7 @@ def silhouettes_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = N
     # fresh attributes on the right side so the cogroup of two views of one frame resolves
     right = base.select(rep.alias("blk"), F.col("blk").alias("pb"), F.col("id").alias("id"),
                         F.col("c").alias("c"), F.col("x").alias("x"))
-    schema = "lab int, id long, own long, other long, sum_d double, cnt long"
+    schema = f"lab int, id {id_type}, own long, other long, sum_d double, cnt long"
     tiles = (left.groupBy("blk", "pb").cogroup(right.groupBy("blk", "pb"))
              .applyInPandas(_multi_silhouette_kernel(len(clusters)), schema))
     per = tiles.groupBy("lab", "id", "own", "other").agg(F.sum("sum_d").alias("sum_d"), F.sum("cnt").alias("cnt"))

@@ -48,16 +48,24 @@ def mean_of(col: str, roles: C.Roles):
 def profile_aggregate(labelled: DataFrame, roles: C.Roles, cluster: str = "cluster", empty_mode: str = "Mixed") -> DataFrame:
     """AG9 + AG10 + AG8 + CL12: size, share, raw-feature means and modal category per non-noise cluster."""
     total = labelled.select(F.count(F.lit(1))).scalar()
-    return (labelled.where(F.col(cluster) != -1)
-            .groupBy(F.col(cluster).alias("cluster"))
-            .agg(F.count(F.lit(1)).alias("size"),
-                 mean_of(roles.age_feature, roles).alias("avg_age"),
-                 mean_of(roles.income_feature, roles).alias("avg_income"),
-                 mean_of(roles.spending_feature, roles).alias("avg_spending"),
-                 F.coalesce(F.mode(roles.category, deterministic=True), F.lit(empty_mode)).alias("dominant_category"))
+    feats = {"avg_age": roles.age_feature, "avg_income": roles.income_feature, "avg_spending": roles.spending_feature}
+    # First by (cluster, category), one row per value, so that no task holds a cluster's values for the mode.
+    per = labelled.where(F.col(cluster) != -1).groupBy(F.col(cluster).alias("cluster"), F.col(roles.category).alias("_cat")).agg(
+        F.count(F.lit(1)).alias("_n"), *[x for name, f in feats.items() for x in (_total_of(f, roles).alias(f"_s_{name}"), F.count(f).alias(f"_c_{name}"))])
+    by_count = F.when(F.col("_cat").isNotNull(), F.struct(-F.col("_n"), F.col("_cat")))
+    means = [(F.sum(f"_s_{name}").cast("double") / F.sum(f"_c_{name}").cast("double") / F.lit(100.0 if f in roles.money else 1.0)).alias(name)
+             for name, f in feats.items()]
+    return (per.groupBy("cluster")
+            .agg(F.sum("_n").alias("size"), *means, F.coalesce(F.min_by("_cat", by_count), F.lit(empty_mode)).alias("dominant_category"))
             .withColumn("share", F.col("size") * 100.0 / total))
 
 
+def _total_of(col: str, roles: C.Roles):
+    """Sum of a feature; money features (2 decimals) in exact integer cents."""
+    x = F.col(col).cast("double")
+    return F.sum(F.round(x * 100.0).cast("long")) if col in roles.money else F.sum(x)
+
+
 def _band_cols(bands: C.Bands) -> dict:
     cols = R.band_columns(F.col("avg_age"), F.col("avg_income"), F.col("avg_spending"), bands)
     cols["share"] = F.col("share")
@@ -134,8 +142,7 @@ def budget_allocation(spark: SparkSession, insights: DataFrame) -> DataFrame:
 
 
 def label_codes(df: DataFrame, id_col: str, label: str) -> DataFrame:
-    """AG14: labels numbered 0.. by first appearance (smallest id). The label table is small
-    (one row per distinct label) and is numbered with a window over that small table only."""
-    from pyspark.sql import Window
+    """AG14: labels numbered 0.. by first appearance (smallest id), by the distributed numbering."""
+    from cohortlens.operators.clean import dense_index
     firsts = df.groupBy(label).agg(F.min(id_col).alias("first_id"))
-    return firsts.select(label, "first_id", (F.row_number().over(Window.orderBy("first_id")) - 1).cast("int").alias("code"))
+    return dense_index(firsts, ["first_id"], name="code").select(label, "first_id", F.col("code").cast("int"))

@@ -27,7 +27,7 @@ _memo: dict = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str):
-    return (id(spark), sf_dir, what)
+    return (spark.sparkContext.applicationId, sf_dir, what)
 
 
 def memo(spark: SparkSession, sf_dir: str, what: str, fn):
@@ -69,33 +69,19 @@ def lloyd_labelled(spark: SparkSession, sf_dir: str, k: int = LLOYD_K, iters: in
     return KM.assign(scaled(spark, sf_dir), ZCOLS, lloyd_centers(spark, sf_dir, k, iters))
 
 
-CODE_TABLE_WINDOW_ROWS = 1_000_000  # code tables up to this size are numbered by one window and broadcast
-
-
 def segment_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaled rows labelled by the category (c_mktsegment) coded 0.. in ascending order (-1: null).
 
-    The code table is built on Spark: distinct values, numbered by one window when small (checked
-    count), else by the distributed ``dense_index``; it is written to the checkpoint folder and
-    joined back, broadcast only within the checked size."""
+    The code table is built on Spark (distinct values, the distributed ``dense_index``) and joined back."""
     from cohortlens.operators.clean import dense_index
-    from cohortlens.session import materialize
 
     df = scaled(spark, sf_dir)
 
     def build():
         cats = df.select(F.col(ROLES.category).alias("_cat")).where(F.col("_cat").isNotNull()).distinct()
-        cats = materialize(cats, "segcats")
-        n = cats.count()
-        if n <= CODE_TABLE_WINDOW_ROWS:
-            from pyspark.sql import Window
-            codes = cats.select("_cat", (F.row_number().over(Window.orderBy("_cat")) - 1).cast("int").alias("_code"))
-        else:
-            codes = dense_index(cats, ["_cat"], name="_code").select("_cat", F.col("_code").cast("int"))
-        return materialize(codes, "segcodes"), n
-    codes, n = memo(spark, sf_dir, "segcodes", build)
-    side = F.broadcast(codes) if n <= CODE_TABLE_WINDOW_ROWS else codes
-    return (df.join(side, df[ROLES.category] == side["_cat"], "left")
+        return dense_index(cats, ["_cat"], name="_code").select("_cat", F.col("_code").cast("int"))
+    codes = memo(spark, sf_dir, "segcodes", build)
+    return (df.join(codes, df[ROLES.category] == codes["_cat"], "left")
             .withColumn("cluster", F.coalesce(F.col("_code"), F.lit(-1)).cast("int")).drop("_cat", "_code"))
 
 
@@ -119,11 +105,11 @@ def dbscan_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled(spark, sf_dir).join(dbscan_labels(spark, sf_dir), ROLES.id)
 
 
-SWEEP_KS = (2, 3, 4, 5, 6)
+SWEEP_KS = CFG.k_range
 
 
 def lloyd_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML3 with ML1b fits for k = 2..6, cached (one small row per k)."""
+    """ML3 with ML1b fits for k = 2..10, cached (one small row per k)."""
     def build():
         out = KM.sweep(scaled(spark, sf_dir), ROLES.id, ZCOLS, SWEEP_KS, fit="lloyd", iterations=LLOYD_ITERS)
         return out.persist(StorageLevel.MEMORY_AND_DISK)

@@ -213,13 +213,13 @@ def best_algorithm(spark, sf):
 
 @register("algorithm_bars", COMPARISON_SQL + """SELECT algorithm, ROUND(silhouette, 6) AS silhouette,
        ROUND(LEAST(davies_bouldin, 5.0), 6) AS davies_bouldin_capped,
-       CASE WHEN davies_bouldin = CAST('Infinity' AS DOUBLE) THEN 'inf' ELSE printf('%.3f', ROUND(davies_bouldin, 3)) END AS davies_bouldin_label,
+       CASE WHEN davies_bouldin = CAST('Infinity' AS DOUBLE) THEN 'inf' ELSE printf('%.3f', davies_bouldin) END AS davies_bouldin_label,
        ROUND(calinski_harabasz, 6) AS calinski_harabasz FROM cmp""")
 def algorithm_bars(spark, sf):
     """CH5 + EX12: bar-chart data with Davies-Bouldin capped at 5 and an 'inf' label."""
     c = comparison_frame(spark, sf)
     db = F.col("davies_bouldin")
-    label = F.when(db == F.lit(float("inf")), F.lit("inf")).otherwise(F.format_string("%.3f", F.round(db, 3)))
+    label = R.capped_label(db)
     return c.select("algorithm", _r6("silhouette"), F.round(R.capped(db), 6).alias("davies_bouldin_capped"),
                     label.alias("davies_bouldin_label"), _r6("calinski_harabasz"))
 
@@ -240,9 +240,10 @@ def kmeans_fit(spark, sf):
 
 @register("k_sweep")
 def k_sweep(spark, sf):
-    """ML3 with library fits for k = 2..10 (the original sweep), WCSS/DB/CH per k."""
+    """ML3 with library fits for k = 2..10 and all restarts, WCSS, exact silhouette, DB and CH per k."""
     df = X.scaled(spark, sf)
-    return KM.sweep(df, ID, Z, X.CFG.k_range, fit="library", restarts=3, silhouette=False)
+    return X.memo(spark, sf, "ksweep", lambda: KM.sweep(df, ID, Z, X.CFG.k_range, fit="library", seed=X.CFG.seed, restarts=X.CFG.kmeans_restarts,
+                                                      max_iter=X.CFG.kmeans_max_iter).persist())
 
 
 @register("gmm_fit")

@@ -172,30 +172,30 @@ def segment_text(spark, sf):
 @register("formatted_insights", f"""WITH {sql_lloyd_cte()},
 {_insights_sql('labelled')}
 SELECT CAST(cluster AS INTEGER) AS "Cluster", CAST(size AS BIGINT) AS "Size",
-       printf('%.1f%%', ROUND(share, 1)) AS "Market %", printf('%.1f', ROUND(avg_age, 1)) AS "Avg Age",
-       'BDT ' || format('{{:,.0f}}', ROUND(avg_income, 0)) AS "Avg Income", printf('%.1f', ROUND(avg_spending, 1)) AS "Avg Spending",
+       printf('%.1f%%', share) AS "Market %", printf('%.1f', avg_age) AS "Avg Age",
+       'BDT ' || format('{{:,.0f}}', avg_income) AS "Avg Income", printf('%.1f', avg_spending) AS "Avg Spending",
        priority AS "Priority", recommendation AS "Strategy" FROM ins""")
 def formatted_insights(spark, sf):
-    """IO8 + EX11: the insight export with display formatting (values rounded before formatting)."""
+    """IO8 + EX11: the insight export with display formatting (ties to even, as Python formats)."""
     ins = P.cluster_insights(X.lloyd_labelled(spark, sf), X.ROLES, X.BANDS)
     return ins.select(
         F.col("cluster").alias("Cluster"), F.col("size").alias("Size"),
-        F.format_string("%.1f%%", F.round("share", 1)).alias("Market %"),
-        F.format_string("%.1f", F.round("avg_age", 1)).alias("Avg Age"),
+        F.concat(R.fixed_text(F.col("share"), 1), F.lit("%")).alias("Market %"),
+        R.fixed_text(F.col("avg_age"), 1).alias("Avg Age"),
         F.concat(F.lit("BDT "), R.grouped_thousands(F.col("avg_income"))).alias("Avg Income"),
-        F.format_string("%.1f", F.round("avg_spending", 1)).alias("Avg Spending"),
+        R.fixed_text(F.col("avg_spending"), 1).alias("Avg Spending"),
         F.col("priority").alias("Priority"), F.col("recommendation").alias("Strategy"))
 
 
 @register("cluster_sizes", f"""WITH {sql_lloyd_cte()}
 SELECT 'Cluster ' || cluster AS "Cluster", COUNT(*) AS "Customer_Count",
-       printf('%.2f%%', ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM labelled), 2)) AS "Percentage"
+       printf('%.2f%%', COUNT(*) * 100.0 / (SELECT COUNT(*) FROM labelled)) AS "Percentage"
 FROM labelled GROUP BY cluster""")
 def cluster_sizes(spark, sf):
     """IO10 + AG9 + AG11: the cluster-size table."""
     s = P.cluster_sizes(X.lloyd_labelled(spark, sf))
     return s.select(F.format_string("Cluster %d", "cluster").alias("Cluster"), F.col("size").alias("Customer_Count"),
-                    F.format_string("%.2f%%", F.round("share", 2)).alias("Percentage"))
+                    F.concat(R.fixed_text(F.col("share"), 2), F.lit("%")).alias("Percentage"))
 
 
 @register("labelled_rows", f"""WITH {sql_lloyd_cte()}

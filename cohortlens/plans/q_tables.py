@@ -13,14 +13,17 @@ from cohortlens.plans import context as X
 from cohortlens.plans.catalog import CAT, FEATS, ID, register, sql_clean_cte, sql_lloyd_cte, sql_scaled_cte
 from cohortlens.sources import tables as T
 
-NULL_FROM = "2001-01-01"  # orders on/after this date only: leaves customers without any order
-
-
 def _feat_nulls(spark, sf):
-    return T.customer_features(spark, sf, orders_from=NULL_FROM)
+    """Feature table with nulls and NaNs injected by row conditions, over all customers and orders."""
+    f = T.customer_features(spark, sf)
+    return f.select(
+        ID, CAT, F.when(F.col("c_acctbal") < -900, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        "order_count", F.when(F.col("order_count") >= 8, F.col("total_spend")).alias("total_spend"))
 
 
-FEAT_NULLS_SQL = f"feat AS ({T.customer_features_sql(NULL_FROM)})"
+FEAT_NULLS_SQL = (f"base0 AS ({T.customer_features_sql()}),\n"
+                  f"feat AS (SELECT {ID}, {CAT}, CASE WHEN c_acctbal < -900 THEN CAST('NaN' AS DOUBLE) ELSE c_acctbal END AS c_acctbal, "
+                  f"order_count, CASE WHEN order_count >= 8 THEN total_spend END AS total_spend FROM base0)")
 
 
 def _feat_inf(spark, sf):
@@ -47,7 +50,7 @@ def load_customers(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
 
 
-@register("shape_summary", f"WITH {FEAT_NULLS_SQL} SELECT COUNT(*) AS n_rows, 5 AS n_cols FROM feat")
+@register("shape_summary", f"WITH {FEAT_NULLS_SQL} SELECT COUNT(*) AS n_rows, CAST((SELECT len(json_keys(to_json(f))) FROM feat f LIMIT 1) AS INTEGER) AS n_cols FROM feat")
 def shape_summary(spark, sf):
     return T.shape_summary(_feat_nulls(spark, sf))
 
@@ -62,7 +65,7 @@ def null_report(spark, sf):
 
 @register("clean_missing", f"""WITH {FEAT_NULLS_SQL}
 SELECT {ID}, {CAT}, c_acctbal, order_count, ROUND(total_spend, 2) AS total_spend FROM feat
-WHERE c_acctbal IS NOT NULL AND order_count IS NOT NULL AND total_spend IS NOT NULL""")
+WHERE c_acctbal IS NOT NULL AND NOT isnan(c_acctbal) AND order_count IS NOT NULL AND total_spend IS NOT NULL""")
 def clean_missing(spark, sf):
     df = CL.drop_missing(_feat_nulls(spark, sf), FEATS)
     return df.select(ID, CAT, "c_acctbal", "order_count", F.round("total_spend", 2).alias("total_spend"))
@@ -215,7 +218,7 @@ def _corr_sql(digits):
     cells = []
     for a in FEATS:
         for b in FEATS:
-            v = "MAX(1.0)" if a == b else f"CORR({a}, {b})"
+            v = f"CORR({a}, {b})"
             cells.append(f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, ROUND({v}, {digits}) AS corr FROM clean")
     return f"WITH {sql_clean_cte()} " + " UNION ALL ".join(cells)
 

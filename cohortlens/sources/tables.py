@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,10 @@ from pyspark.sql import types as T
 from cohortlens.config import FEATURE_ROLES, Roles
 
 
+class DuplicateIdError(ValueError):
+    """Raised when ids are missing or repeated."""
+
+
 class SchemaError(ValueError):
     """Raised when a table does not carry the columns its roles need."""
 
@@ -21,9 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None) -> DataFrame:
-    """IO1: read a customer table (CSV with header, or parquet). A missing path is a clear error."""
+def role_schema(spark: SparkSession, path: str, roles: Roles) -> T.StructType:
+    """Schema of a CSV file from its header line and the roles: features are doubles, all else strings. Reads one line."""
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    return T.StructType([T.StructField(c, T.DoubleType() if c in roles.features else T.StringType()) for c in header])
+
+
+def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None, roles: Roles | None = None) -> DataFrame:
+    """IO1: read a customer table (CSV with header, or parquet). A missing path is a clear error. A CSV's types
+    come from ``schema`` or ``roles``; only without both are they inferred by a scan."""
     reader = spark.read
+    if schema is None and roles is not None and fmt == "csv":
+        try:
+            schema = role_schema(spark, path, roles)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+                raise FileNotFoundError(f"customer data not found: {path}") from exc
+            raise
     if schema is not None:
         reader = reader.schema(schema)
     try:
@@ -37,17 +56,26 @@ def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.S
 
 
 def read_optional(spark: SparkSession, path: str | None, fmt: str = "csv") -> DataFrame | None:
-    """IO2: read the labelled table if it is there; absent or unreadable -> None."""
+    """IO2: read the labelled table if it is there. No path or nothing at it: None, with a warning. A table
+    that is there but cannot be read is an error."""
     if not path:
         return None
     try:
         df = read_customers(spark, path, fmt)
         df.schema  # resolve now so a bad file fails here
         return df
-    except Exception:  # a failed optional read only warns in the original job
+    except FileNotFoundError as exc:
+        warnings.warn(f"no labelled table, validation is left out: {exc}", stacklevel=2)
         return None
 
 
+def check_ids(df: DataFrame, id_col: str) -> None:
+    """Ids must be there and unique, or joins by id would attach wrong labels."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids")).first()
+    if r["n"] != r["ids"]:
+        raise DuplicateIdError(f"{id_col}: {r['n']} rows, {r['ids']} distinct ids")
+
+
 def check_schema(df: DataFrame, roles: Roles) -> None:
     """IO3 + IO4: required columns present; features numeric (booleans rejected). No job runs."""
     required = [roles.id, roles.category, *roles.features]

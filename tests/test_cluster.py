@@ -115,7 +115,7 @@ def test_ward_exact_equals_naive(spark):
     merges = W.ward_merges(x, np.ones(len(x)))
     assert np.allclose(sorted(m[2] for m in merges), sorted(_naive_ward_heights(x)))
     df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, a double, b double")
-    labels, _, mode = W.ward(df, "id", ["a", "b"], 3, micro=256)
+    labels, _, mode = W.ward(df, "id", ["a", "b"], 3, exact=True)
     assert mode == "exact"
     truth = spark.createDataFrame([(i, str(i // 20)) for i in range(60)], "id long, truth string")
     assert M.adjusted_rand(labels, truth, "id").first()["ari"] == 1.0
