@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.session import materialize
+
 INF = float("inf")
 TILE_ROWS = 1024  # rows of a block whose distances to the partner block are held at once
 
@@ -46,72 +48,59 @@ def wcss(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFr
 
 
 def centroid_scores(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
-    """MT1 + MT3 + MT4 in one row: n_rows, n_labels, wcss, davies_bouldin, calinski_harabasz.
-
-    Two distributed passes, each reducing to k rows (model-sized, like K-Means centers):
-    (1) counts and centroids; (2) with the centroids as a literal lookup, the mean distance and
-    the squared distance sum to the own centroid. The k x k Davies-Bouldin maximum and the
-    Calinski-Harabasz ratio are then arithmetic over those k rows (the global mean is the
-    size-weighted mean of the centroids, so it needs no extra pass).
-    """
+    """MT1 + MT3 + MT4 in one row: n_rows, n_labels, wcss, davies_bouldin, calinski_harabasz."""
     (n, k, w, db, ch), = centroid_scores_many(df, cols, [cluster]).values()
     return df.sparkSession.createDataFrame(
         [(n, k, w, db, ch)], "n_rows LONG, n_labels LONG, wcss DOUBLE, davies_bouldin DOUBLE, calinski_harabasz DOUBLE")
 
 
-def _score_arithmetic(n_k: np.ndarray, m: np.ndarray, s_k: np.ndarray, ss: np.ndarray):
-    n, k = float(n_k.sum()), len(n_k)
-    wcss = float(ss.sum())
-    if k >= 2:
-        g = (m * n_k[:, None]).sum(0) / n
-        between = float((n_k * ((m - g) ** 2).sum(1)).sum())
-        ch = 1.0 if wcss == 0 else between * (n - k) / (wcss * (k - 1))
-        cd = np.sqrt(((m[:, None, :] - m[None, :, :]) ** 2).sum(-1))
-        if np.all(s_k == 0) or np.all(cd == 0):
-            db = 0.0
-        else:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                ratio = np.where(cd > 0, (s_k[:, None] + s_k[None, :]) / np.where(cd > 0, cd, 1.0), 0.0)
-            np.fill_diagonal(ratio, 0.0)
-            db = float(ratio.max(1).mean())
-    else:
-        ch, db = float("nan"), float("nan")
-    return int(n), k, wcss, db, ch
+CENTROID_BLOCK = 1024  # centroids on either side of a Davies-Bouldin tile
+
+
+def _worst_ratio(d: int):
+    """A tile of centroid pairs: for each left centroid the largest (s_i + s_j) / distance; coincident centroids give 0."""
+    def kernel(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"lab": [], "k": [], "r": []})
+        m = [f"m{i}" for i in range(d)]
+        a, b = left[m].to_numpy(), right[m].to_numpy()
+        dist = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(-1))
+        pair = left["s"].to_numpy()[:, None] + right["s"].to_numpy()[None, :]
+        ratio = np.where((dist > 0) & (left["k"].to_numpy()[:, None] != right["k"].to_numpy()[None, :]), pair / np.where(dist > 0, dist, 1.0), 0.0)
+        return pd.DataFrame({"lab": left["lab"], "k": left["k"], "r": ratio.max(axis=1)})
+    return kernel
 
 
 def centroid_scores_many(df: DataFrame, cols: Sequence[str], clusters: Sequence[str]) -> dict:
     """``centroid_scores`` for several label columns of the same rows in the same two passes:
     every row yields one (labelling, cluster) key per label column, exploded map-side before the
-    partial aggregate. Returns {label column: (n_rows, n_labels, wcss, davies_bouldin, calinski_harabasz)}."""
+    partial aggregate. Centroids stay a table: rows meet them by an equi-join, and the Davies-Bouldin
+    maximum runs over tiles of CENTROID_BLOCK centroids, so many labels grow no driver structure.
+    Returns {label column: (n_rows, n_labels, wcss, davies_bouldin, calinski_harabasz)}."""
     clusters = list(clusters)
     d = len(cols)
-    xs = _cols(cols)
     keyed = F.explode(F.array(*[F.struct(F.lit(j).alias("lab"), F.col(c).cast("long").alias("k"))
                                 for j, c in enumerate(clusters)])).alias("_lk")
-    cent = (df.select(keyed, *[x.alias(f"_x{i}") for i, x in enumerate(xs)])
-            .groupBy(F.col("_lk.lab").alias("_lab"), F.col("_lk.k").alias("_k"))
-            .agg(F.count(F.lit(1)).alias("_n"), *[F.avg(f"_x{i}").alias(f"_m{i}") for i in range(d)]).collect())
-    by_lab = {j: sorted((r for r in cent if r["_lab"] == j), key=lambda r: r["_k"]) for j in range(len(clusters))}
-    dists = []
-    for j, c in enumerate(clusters):
-        lookup = F.create_map(*[x for r in by_lab[j] for x in
-                                (F.lit(r["_k"]).cast("long"), F.array(*[F.lit(float(r[f"_m{i}"])) for i in range(d)]))])
-        cj = lookup[F.col(c).cast("long")]
-        d2 = sum(((xs[i] - cj[i]) ** 2 for i in range(d)), F.lit(0.0))
-        dists.append(F.struct(F.lit(j).alias("lab"), F.col(c).cast("long").alias("k"), d2.alias("d2")))
-    per = (df.select(F.explode(F.array(*dists)).alias("_ld"))
-           .groupBy(F.col("_ld.lab").alias("_lab"), F.col("_ld.k").alias("_k"))
-           .agg(F.avg(F.sqrt("_ld.d2")).alias("s"), F.sum("_ld.d2").alias("ss")).collect())
-    per = {(r["_lab"], r["_k"]): (r["s"], r["ss"]) for r in per}
+    rows = df.select(keyed, *[x.alias(f"x{i}") for i, x in enumerate(_cols(cols))]).select("_lk.lab", "_lk.k", *[f"x{i}" for i in range(d)])
+    cent = rows.groupBy("lab", "k").agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(d)])
+    d2 = sum(((F.col(f"x{i}") - F.col(f"m{i}")) ** 2 for i in range(d)), F.lit(0.0))
+    per = rows.join(cent, ["lab", "k"]).withColumn("d2", d2).groupBy("lab", "k").agg(
+        F.first("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(d)], F.avg(F.sqrt("d2")).alias("s"), F.sum("d2").alias("ss"))
+    per = materialize(per, "centroids")
+    total = per.groupBy("lab").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_labels"), F.sum("ss").alias("wcss"),
+                                   *[(F.sum(F.col("n") * F.col(f"m{i}")) / F.sum("n")).alias(f"g{i}") for i in range(d)])
+    off = sum(((F.col(f"m{i}") - F.col(f"g{i}")) ** 2 for i in range(d)), F.lit(0.0))
+    between = per.join(total, "lab").groupBy("lab").agg(F.sum(F.col("n") * off).alias("between"))
+    blocks = max(1, math.ceil(per.count() / CENTROID_BLOCK))
+    side = per.withColumn("a", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    other = side.select("lab", F.col("b").alias("a"), F.col("a").alias("b"), *[F.col(c).alias(c) for c in ("k", "s", *[f"m{i}" for i in range(d)])])
+    worst = side.groupBy("lab", "a", "b").cogroup(other.groupBy("lab", "a", "b")).applyInPandas(_worst_ratio(d), "lab int, k long, r double")
+    db = worst.groupBy("lab", "k").agg(F.max("r").alias("r")).groupBy("lab").agg(F.avg("r").alias("db"))
     out = {}
-    for j, c in enumerate(clusters):
-        rows = by_lab[j]
-        keys = [r["_k"] for r in rows]
-        n_k = np.array([r["_n"] for r in rows], dtype=float)
-        m = np.array([[r[f"_m{i}"] for i in range(d)] for r in rows], dtype=float).reshape(len(rows), d)
-        s_k = np.array([per[(j, kk)][0] for kk in keys], dtype=float)
-        ss = np.array([per[(j, kk)][1] for kk in keys], dtype=float)
-        out[c] = _score_arithmetic(n_k, m, s_k, ss)
+    for r in total.join(between, "lab").join(db, "lab").collect():  # one row per labelling
+        n, k, wcss = int(r["n_rows"]), int(r["n_labels"]), float(r["wcss"])
+        ch = float("nan") if k < 2 else 1.0 if wcss == 0 else r["between"] * (n - k) / (wcss * (k - 1))
+        out[clusters[r["lab"]]] = (n, k, wcss, float(r["db"]) if k >= 2 else float("nan"), ch)
     return out
 
 
