@@ -41,7 +41,6 @@ class SegmentationConfig:
     knn_k: int = 10
     knn_percentile: float = 0.90
     histogram_bins: int = 30
-    dendrogram_sample: int = 100
     outlier_iqr: float = 3.0
     scatter3d_sample: int = 1000
     ward_micro_clusters: int = 256
@@ -86,7 +85,6 @@ INCOME_NAMES = ("Low", "Medium", "High")
 SPENDING_NAMES = ("Low", "Medium", "High")
 
 ALGORITHMS_BATCH = ("KMeans", "Hierarchical", "DBSCAN", "GMM")
-ALGORITHMS_INTERACTIVE = ("K-Means", "Hierarchical", "DBSCAN", "Gaussian Mixture")
 
 # batch marketing strategy
 STRATEGY_RULES = (

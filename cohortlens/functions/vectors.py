@@ -22,15 +22,3 @@ def nearest(cols: Sequence[Column], centers: Sequence[Sequence[float]]) -> tuple
     best = F.array_min(F.array(*[F.struct(sq_dist(cols, c).alias("d"), F.lit(j).alias("j")) for j, c in enumerate(centers)]))
     return best["j"], best["d"]
 
-
-def feature_cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(n).cast("double") for n in names]
-
-
-def vector_cols(vec: str, dim: int) -> list[Column]:
-    """Element columns of an array<float|double> feature vector."""
-    return [F.col(vec)[i].cast("double") for i in range(dim)]
-
-
-def sq_dist_sql(cols: Sequence[str], center: Sequence[str]) -> str:
-    return " + ".join(f"({a} - {b}) * ({a} - {b})" for a, b in zip(cols, center))

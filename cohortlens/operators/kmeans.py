@@ -23,18 +23,22 @@ from cohortlens.functions.vectors import nearest
 EXPR_CENTERS = 32  # up to this many centers the nearest-center search is one codegen expression
 
 
-def assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster",
-           dist: str | None = None) -> DataFrame:
-    """ML1a: nearest center by squared Euclidean distance; ties -> lowest center id.
+def nearest_columns(cols: Sequence[str], centers: Sequence[Sequence[float]]):
+    """(center id, squared distance) columns; ties -> lowest center id.
 
     Few centers: a column expression (whole-stage codegen). Many centers (micro-clusters): the
     expression would outgrow the 64 KB codegen limit, so an Arrow-batched ``pandas_udf`` takes
     only the feature columns and does the batch x centers search in NumPy."""
     if len(centers) <= EXPR_CENTERS:
-        j, d = nearest([F.col(c) for c in cols], centers)
-    else:
-        best = _nearest_udf(np.asarray(centers, dtype=np.float64))(*[F.col(c).cast("double") for c in cols])
-        j, d = best["j"], best["d"]
+        return nearest([F.col(c) for c in cols], centers)
+    best = _nearest_udf(np.asarray(centers, dtype=np.float64))(*[F.col(c).cast("double") for c in cols])
+    return best["j"], best["d"]
+
+
+def assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster",
+           dist: str | None = None) -> DataFrame:
+    """ML1a: nearest center by squared Euclidean distance; ties -> lowest center id."""
+    j, d = nearest_columns(cols, centers)
     df = df.withColumn(out, j.cast("int"))
     return df.withColumn(dist, d) if dist else df
 
@@ -64,7 +68,7 @@ def first_rows_as_centers(df: DataFrame, id_col: str, cols: Sequence[str], k: in
 
 def update_centers(df: DataFrame, cols: Sequence[str], centers: list[list[float]]) -> tuple[list[list[float]], list[int]]:
     """One Lloyd update: mean of the rows assigned to each center; an empty cluster keeps its center."""
-    j, _ = nearest([F.col(c) for c in cols], centers)
+    j, _ = nearest_columns(cols, centers)
     stats = (df.select(j.alias("_c"), *cols).groupBy("_c")
              .agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in cols]).collect())
     new = [list(c) for c in centers]
@@ -81,9 +85,8 @@ def lloyd_many(df: DataFrame, cols: Sequence[str], starts: dict[int, list[list[f
     (k, nearest center) pair per k (exploded map-side, before the partial aggregate), so the
     shuffle carries sum(k) groups per partition; centers come back exactly as ``lloyd`` gives them."""
     centers = {k: [list(c) for c in v] for k, v in starts.items()}
-    xs = [F.col(c) for c in cols]
     for _ in range(iterations):
-        pick = F.array(*[F.struct(F.lit(k).alias("k"), nearest(xs, centers[k])[0].alias("c")) for k in centers])
+        pick = F.array(*[F.struct(F.lit(k).alias("k"), nearest_columns(cols, centers[k])[0].alias("c")) for k in centers])
         stats = (df.select(F.explode(pick).alias("_kc"), *cols)
                  .groupBy(F.col("_kc.k").alias("_k"), F.col("_kc.c").alias("_c"))
                  .agg(*[F.avg(c).alias(c) for c in cols]).collect())
@@ -205,8 +208,7 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
             centers = dict(fits)
     failed = {k: f"fewer than {k} rows" for k in ks if k not in centers}
     # every k's labels as one column each: the scores of all k share their scans
-    xs = [F.col(c) for c in cols]
-    labelled = df.select(id_col, *cols, *[nearest(xs, centers[k])[0].cast("int").alias(f"_c{k}") for k in centers])
+    labelled = df.select(id_col, *cols, *[nearest_columns(cols, centers[k])[0].cast("int").alias(f"_c{k}") for k in centers])
     fits = {}
     if centers:
         many = M.centroid_scores_many(labelled, cols, [f"_c{k}" for k in centers])

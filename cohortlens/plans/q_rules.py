@@ -9,6 +9,7 @@ from cohortlens import config as C
 from cohortlens.functions import rules as R
 from cohortlens.operators import profile as P
 from cohortlens.plans import context as X
+from cohortlens.sources.sinks import labelled_export
 from cohortlens.plans.catalog import (BAND_SQL_COLS, CAT, FEATS, ID, ROUND_PROFILE_SQL, _round_profile, register,
                                       sql_lloyd_cte, sql_profile_agg)
 from cohortlens.sources import tables as T
@@ -203,5 +204,5 @@ SELECT {ID}, {CAT}, c_acctbal, order_count, ROUND(total_spend, 2) AS total_spend
 def labelled_rows(spark, sf):
     """IO7: customers with the chosen algorithm's label as ``Cluster``."""
     lab = X.lloyd_labelled(spark, sf)
-    return lab.select(ID, CAT, "c_acctbal", "order_count", F.round("total_spend", 2).alias("total_spend"),
-                      F.col("cluster").alias("Cluster"))
+    out = labelled_export(X.clean_features(spark, sf), lab, ID)
+    return out.select(ID, CAT, "c_acctbal", "order_count", F.round("total_spend", 2).alias("total_spend"), "Cluster")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clean as CL
+from cohortlens.operators import scale as SC
 from cohortlens.operators import stats as ST
 from cohortlens.plans import context as X
 from cohortlens.plans.catalog import CAT, FEATS, ID, register, sql_clean_cte, sql_lloyd_cte, sql_scaled_cte
@@ -272,3 +273,11 @@ def quantiles(spark, sf):
 def category_mode(spark, sf):
     """AG8: modal market segment per nation (ties -> smallest value)."""
     return ST.mode_by(T.table(spark, sf, "customer"), "c_mktsegment", "c_nationkey")
+
+
+@register("feature_vectors", f"""WITH {sql_clean_cte()}
+SELECT {ID}, {len(FEATS)} AS n_dims, {', '.join(f'ROUND({f}, 2) AS x{i}' for i, f in enumerate(FEATS))} FROM clean""")
+def feature_vectors(spark, sf):
+    """CL7: the features, in order, as one vector column (shown by its elements)."""
+    v = SC.feature_vector(X.clean_features(spark, sf), FEATS)
+    return v.select(ID, F.size("features").alias("n_dims"), *[F.round(F.col("features")[i], 2).alias(f"x{i}") for i in range(len(FEATS))])

@@ -53,7 +53,20 @@ def materialize(df, tag: str = "stage"):
     import uuid
 
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/cohortlens-{tag}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{scratch_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder under the shared checkpoint folder that holds everything this application materialises."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortlens-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's materialised tables. Call it when all results are written: lazy
+    frames that still read them cannot be computed afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
