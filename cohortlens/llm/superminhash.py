@@ -10,7 +10,7 @@
   (1 - 0.8^4)^24 = 3e-6.
 * Links are confirmed on full sets: first of every member of a bucket with the bucket's least member, then,
   within buckets whose members are in more than one group yet, of all other pairs between groups whose
-  sizes and signatures allow the similarity, in bounded blocks. Pairs within a group need no check.
+  sizes and signatures allow the similarity, in bounded blocks that give links alone. Pairs within a group need no check.
   No bucket is capped, and no pair of different groups that shares a bucket stays unchecked. The signature
   test (at least ``LEAST_EQUAL`` of 97 slots) is 5 standard deviations below what a linked pair has.
 * Groups are connected components by alternating large-star and small-star rounds, a distributed union-find.
@@ -124,26 +124,31 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "sig": [r.tobytes() for r in sig]})
 
 
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    same = len(np.intersect1d(a, b, assume_unique=True))
+    return same > 0 and 100 * same >= PERCENT * (len(a) + len(b) - same)
+
+
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted rows (leader, salt, member, is_member, text), a leader before its members: the linked pairs."""
-    leader, own = None, np.zeros(0, _U)
+    leader, own, in_members = None, [], False
     for batch in batches:
         a, b = [], []
         for i, texts in blocks(batch["text"], BLOCK_BYTES):
             rows = batch.iloc[i:i + len(texts)]
             for lead, member, is_member, s in zip(rows["leader"], rows["member"], rows["is_member"], shingle_sets(texts), strict=True):
                 if not is_member:
-                    leader, own = lead, s
-                elif lead == leader:
-                    same = len(np.intersect1d(own, s, assume_unique=True))
-                    if same and 100 * same >= PERCENT * (len(own) + len(s) - same):
-                        a.append(lead)
-                        b.append(member)
+                    own = [*own, s] if lead == leader and not in_members else [s]  # an id may have several texts
+                    leader = lead
+                elif lead == leader and any(_linked(o, s) for o in own):
+                    a.append(lead)
+                    b.append(member)
+                in_members = is_member
         yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (leader, member) that are linked, on the full sets of ``texts`` (id, text), one row per id.
+    """The pairs (leader, member) that are linked, on the full sets of ``texts`` (id, text), one row per text.
 
     A leader's members are dealt to groups of about GROUP_ROWS, each with a copy of the leader; a task streams
     its groups and holds one leader's set at a time."""
@@ -156,22 +161,43 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInPandas(_confirm, "a long, b long")
 
 
-def _likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted rows (key, x, y, block, id, comp, n, sig): pairs of different groups that may be linked, block by block."""
-    def pairs(block, x, y, ids, comp, n, sig) -> list[tuple[int, int]]:
+def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted rows (key, x, y, band, block, id, comp, n, sig, text): links between different groups, block by block.
+
+    A pair is looked at in the first band that it shares, the likeliest first, and only while the rows' groups
+    are not yet joined within the block."""
+    def links(x, y, band, block, ids, comp, n, sig, texts) -> list[tuple[int, int]]:
+        sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts])
+        lanes = np.ascontiguousarray(sig[:, :BANDS * ROWS]).view("<u8")
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        out = []
+        likely = []
         for k, i in enumerate(left):
             other = right[k + 1:] if x == y else right
             other = other[(comp[other] != comp[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
-            out += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in other[(sig[other] == sig[i]).sum(axis=1) >= LEAST_EQUAL]]
+            equal, same = (sig[other] == sig[i]).sum(axis=1), lanes[other] == lanes[i]
+            ok = (equal >= LEAST_EQUAL) & (same.argmax(axis=1) == band) & same.any(axis=1)
+            likely += [(-e, i, j) for e, j in zip(equal[ok], other[ok], strict=True)]
+        group = {c: c for c in comp}
+
+        def find(c):
+            while group[c] != c:
+                group[c] = c = group[group[c]]
+            return c
+
+        out = []
+        for _, i, j in sorted(likely):
+            a, b = find(comp[i]), find(comp[j])
+            if a != b and _linked(sets[i], sets[j]):
+                group[a] = b
+                out.append((ids[i], ids[j]))
         return out
 
     def found(rows: pd.DataFrame, cuts) -> pd.DataFrame:
-        x, y, *arrays = (rows[c].to_numpy() for c in ("x", "y", "block", "id", "comp", "n"))
+        x, y, band, *arrays = (rows[c].to_numpy() for c in ("x", "y", "band", "block", "id", "comp", "n"))
         sig = np.frombuffer(b"".join(rows["sig"]), "<u2").reshape(len(rows), SLOTS)
-        got = [p for a, b in cuts if b - a > 1 for p in pairs(arrays[0][a:b], x[a], y[a], *[v[a:b] for v in arrays[1:]], sig[a:b])]
-        return pd.DataFrame(got, columns=["leader", "member"], dtype="int64")
+        texts = rows["text"].to_numpy()
+        got = [p for a, b in cuts if b - a > 1 for p in links(x[a], y[a], band[a], *[v[a:b] for v in (*arrays, sig, texts)])]
+        return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
 
     rest = None
     for batch in batches:
@@ -191,7 +217,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     nodes = rows.where("n > 0 and id is not null")
     # Equal sets are one class; the least id stands for it.
     classes = materialize(nodes.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "dedup-classes")
-    keys = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("key"))
+    keys = classes.select("id", F.posexplode(F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])).alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n_members"), F.min("id").alias("leader")).where("n_members > 1")
     members = materialize(keys.join(shared, "key"), "dedup-members")
     star = members.where("id != leader").select("leader", F.col("id").alias("member")).distinct()
@@ -201,9 +227,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     equal = F.aggregate(F.sequence(F.lit(0), F.lit(SLOTS - 1)), F.lit(0), lambda acc, i: acc + F.when(
         F.substring(F.col("sig1"), 2 * i + 1, F.lit(2)) == F.substring(F.col("sig2"), 2 * i + 1, F.lit(2)), 1).otherwise(0))
     sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * PERCENT
-    pairs = materialize(both.where(sizes & (equal >= LEAST_EQUAL)).select("leader", "member"), "dedup-pairs")
+    pairs = materialize(both.where(sizes & (equal >= LEAST_EQUAL)).select("leader", "member").distinct(), "dedup-pairs")
     wanted = members.select("id").distinct()
-    texts = materialize(docs.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "dedup-texts")
+    texts = materialize(docs.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]), "dedup-texts")
     reps = rows.join(classes.select("h1", "h2", F.col("id").alias("rep")), ["h1", "h2"], "left").select("id", "n", "rep")
     reps = materialize(reps.withColumn("rep", F.when(F.col("id").isNotNull(), F.col("rep"))), "dedup-reps")
     # An id with several texts joins their classes.
@@ -212,16 +238,16 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     links = materialize(confirm(pairs, texts).unionByName(several), "dedup-links")
     comp = _components(links)
     # Buckets that still hold more than one group: the pairs of others than the leader.
-    grouped = members.join(comp, members["id"] == comp["node"], "left").select("key", "leader", "n_members", "id", F.coalesce("component", "id").alias("comp"))
+    grouped = members.join(comp, members["id"] == comp["node"], "left").select("key", "band", "n_members", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = grouped.where("n_members > 2").groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key")
-    rest = grouped.join(open_keys, "key", "left_semi").join(sig, "id")
+    rest = grouped.join(open_keys, "key", "left_semi").join(sig, "id").join(texts, "id")
     n_blocks = F.ceil(F.col("n_members") / GROUP_ROWS).cast("int")
     rest = rest.withColumn("block", F.pmod(F.hash("id"), n_blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "comp", "n", "sig")
+    rest = rest.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "band", "block", "id", "comp", "n", "sig", "text")
     rest = rest.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
-    more = materialize(rest.mapInPandas(_likely, "leader long, member long").distinct().join(pairs, ["leader", "member"], "left_anti"), "dedup-more")
+    more = materialize(rest.mapInPandas(_close, "a long, b long"), "dedup-more")
     if not more.isEmpty():
-        comp = _components(links.unionByName(confirm(more, texts)))
+        comp = _components(links.unionByName(more))
     out = reps.join(comp, reps["rep"] == comp["node"], "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
 
