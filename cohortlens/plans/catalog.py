@@ -133,3 +133,4 @@ from cohortlens.plans import q_metrics  # noqa: E402,F401
 from cohortlens.plans import q_density  # noqa: E402,F401
 from cohortlens.plans import q_models  # noqa: E402,F401
 from cohortlens.plans import q_io  # noqa: E402,F401
+from cohortlens.plans import q_checks  # noqa: E402,F401
