@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import quality, superminhash, urls
+from cohortlens.llm import mixing, quality, superminhash, urls
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWER = f"translate({{}}, '{urls.UPPER}', '{urls.LOWER}')"
@@ -91,4 +91,20 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 're
   CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to FROM f"""
 
 
-ORACLES = {"op5_url_filter": urls_sql(), "op7_near_dedup": dedup_sql(), "op8_warc": warc_sql(), "op10_quality_rules": quality_sql()}
+def mixing_sql() -> str:
+    weights = ", ".join(str(w) for w in mixing.WEIGHTS)
+    epochs = " + ".join(f"CASE WHEN size > 0 AND place + size / 2.0 + source_size * {e} < target THEN size ELSE 0 END" for e in range(mixing.MAX_EPOCHS))
+    return f"""
+WITH z AS (SELECT doc_id, source, CAST(len({WORDS.format("COALESCE(text, '')")}) AS BIGINT) AS size, md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM z GROUP BY source),
+w AS (SELECT *, [{weights}][rank % {len(mixing.WEIGHTS)} + 1]::DOUBLE AS weight, source_size * {float(mixing.MAX_EPOCHS)}::DOUBLE AS cap FROM s),
+v AS (SELECT *, (SUM(source_size::DOUBLE) OVER () * {mixing.BUDGET}::DOUBLE - (SUM(cap) OVER (ORDER BY cap / weight, rank ROWS UNBOUNDED PRECEDING) - cap))
+        / SUM(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, CASE WHEN level * weight >= cap THEN cap
+        ELSE LEAST(cap, weight * (SELECT level FROM v WHERE level * weight < cap ORDER BY cap / weight, rank LIMIT 1)) END AS target FROM v),
+p AS (SELECT z.*, source_size, target, SUM(size) OVER (PARTITION BY z.source ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) - size AS place
+      FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST({epochs} AS BIGINT) AS taken FROM p"""
+
+
+ORACLES = {"op6_mixing": mixing_sql(), "op5_url_filter": urls_sql(), "op7_near_dedup": dedup_sql(), "op8_warc": warc_sql(), "op10_quality_rules": quality_sql()}

@@ -60,9 +60,9 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, size, source_size, target, taken, positions."""
+    """doc_id, size, source_size, target, taken."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken", "positions")
+    return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query
