@@ -30,6 +30,15 @@ def _key(spark: SparkSession, sf_dir: str, what: str):
     return (spark.sparkContext.applicationId, sf_dir, what)
 
 
+def forget() -> None:
+    """Drop all shared building blocks and what they keep cached."""
+    for value in _memo.values():
+        for df in value if isinstance(value, tuple) else (value,):
+            if isinstance(df, DataFrame):
+                df.unpersist()
+    _memo.clear()
+
+
 def memo(spark: SparkSession, sf_dir: str, what: str, fn):
     k = _key(spark, sf_dir, what)
     if k not in _memo:
