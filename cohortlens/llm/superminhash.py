@@ -37,6 +37,7 @@ SHINGLE, PERCENT = 4, 80
 SLOTS, BANDS, ROWS = 97, 24, 4
 LEAST_EQUAL = 57
 BLOCK_BYTES = 1 << 20  # text handled at once in a task
+BROADCAST_IDS = 1 << 21  # ids (8 bytes each) that may be broadcast to pick texts by
 GROUP_ROWS = 256  # members of one leader, or of one side of a block of pairs, in a group
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -228,7 +229,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         F.substring(F.col("sig1"), 2 * i + 1, F.lit(2)) == F.substring(F.col("sig2"), 2 * i + 1, F.lit(2)), 1).otherwise(0))
     sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * PERCENT
     pairs = materialize(both.where(sizes & (equal >= LEAST_EQUAL)).select("leader", "member").distinct(), "dedup-pairs")
-    wanted = members.select("id").distinct()
+    wanted = materialize(members.select("id").distinct(), "dedup-wanted")
+    if wanted.count() <= BROADCAST_IDS:  # else the texts are shuffled by id
+        wanted = F.broadcast(wanted)
     texts = materialize(docs.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]), "dedup-texts")
     reps = rows.join(classes.select("h1", "h2", F.col("id").alias("rep")), ["h1", "h2"], "left").select("id", "n", "rep")
     reps = materialize(reps.withColumn("rep", F.when(F.col("id").isNotNull(), F.col("rep"))), "dedup-reps")
@@ -254,12 +257,14 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with one document of each group: the one with the least id, once. Rows with a null id all stay."""
-    found = materialize(groups(df, id_col, text).where("id = component_id").select("id"), "dedup-kept")
-    ids = found.distinct().withColumnRenamed("id", "__kept")
-    out = df.join(ids, df[id_col] == ids["__kept"], "left_semi")
-    if found.groupBy("id").count().where("count > 1").isEmpty():
-        return out.unionByName(df.where(F.col(id_col).isNull()))
-    return out.dropDuplicates([id_col]).unionByName(df.where(F.col(id_col).isNull()))
+    found = materialize(groups(df, id_col, text).where("id is not null").select("id", (F.col("id") == F.col("component_id")).alias("kept")), "dedup-found")
+    gone = materialize(found.where("not kept").select(F.col("id").alias("__gone")).distinct(), "dedup-gone")
+    if gone.count() <= BROADCAST_IDS:  # else the texts are shuffled by id
+        gone = F.broadcast(gone)
+    out = df.join(gone, df[id_col] == gone["__gone"], "left_anti")
+    if found.where("kept").groupBy("id").count().where("count > 1").isEmpty():
+        return out
+    return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
 
 
 def _components(links: DataFrame) -> DataFrame:
