@@ -68,7 +68,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
-    found = superminhash.groups(table(spark, sf_dir, "documents"))
+    found = superminhash.groups(table(spark, sf_dir, "documents"), shingle=4)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
                         (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"))
 

@@ -1,6 +1,6 @@
 """Near-duplicate groups: SuperMinHash signatures, banding, verification, grouping.
 
-* A document's set is its distinct 4-word shingles (the whole word sequence if it has fewer words).
+* A document's set is its distinct shingles of ``shingle`` words, four by default (the whole word sequence if it has fewer words).
   Shingles are 64-bit hashes; equal sets form a class, and one member of a class stands for it.
 * SuperMinHash: every element visits the slots in an order of its own (a permutation), the j-th visit
   with value j + a uniform number; a slot keeps the least value's element. The ranks of one element are
@@ -23,6 +23,7 @@ null id are left alone (component null, kept); repeated rows and ties fall to th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -73,17 +74,18 @@ def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix((total[end] - total[first]) * down[first] + (end - first).astype(_U)), first
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], shingle: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     hashes, first = word_hashes(b"\n".join(texts))
     edges = np.searchsorted(first, np.cumsum([0] + [len(t) + 1 for t in texts]))
-    s = hashes[:-3] if len(hashes) > 3 else hashes[:0]
-    for k in range(1, SHINGLE):
-        s = mix(s * _BASE + hashes[k:len(hashes) - SHINGLE + 1 + k])
+    n = max(0, len(hashes) - shingle + 1)
+    s = hashes[:n]
+    for k in range(1, shingle):
+        s = mix(s * _BASE + hashes[k:n + k])
     out = []
     for a, b in zip(edges, edges[1:], strict=False):
-        if b - a >= SHINGLE:
-            out.append(np.unique(s[a:b - SHINGLE + 1]))
+        if b - a >= shingle:
+            out.append(np.unique(s[a:b - shingle + 1]))
         else:
             whole = np.full(min(1, b - a), b - a, dtype=_U)
             for h in hashes[a:b]:
@@ -113,11 +115,11 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return (best & _U(0xFFFF)).astype("<u2")
 
 
-def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _describe(batches: Iterator[pd.DataFrame], shingle: int = SHINGLE) -> Iterator[pd.DataFrame]:
     for batch in batches:
         ids = batch["id"]
         for i, texts in blocks(batch["text"], BLOCK_BYTES):
-            sets = shingle_sets(texts)
+            sets = shingle_sets(texts, shingle)
             sig = signatures(sets)
             with np.errstate(over="ignore"):
                 h = [[int(mix(s + _U(k)).sum(dtype=_U).astype(np.int64)) for s in sets] for k in (1, 2)]
@@ -130,14 +132,14 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     return same > 0 and 100 * same >= PERCENT * (len(a) + len(b) - same)
 
 
-def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _confirm(batches: Iterator[pd.DataFrame], shingle: int = SHINGLE) -> Iterator[pd.DataFrame]:
     """Sorted rows (leader, salt, member, is_member, text), a leader before its members: the linked pairs."""
     leader, own, in_members = None, [], False
     for batch in batches:
         a, b = [], []
         for i, texts in blocks(batch["text"], BLOCK_BYTES):
             rows = batch.iloc[i:i + len(texts)]
-            for lead, member, is_member, s in zip(rows["leader"], rows["member"], rows["is_member"], shingle_sets(texts), strict=True):
+            for lead, member, is_member, s in zip(rows["leader"], rows["member"], rows["is_member"], shingle_sets(texts, shingle), strict=True):
                 if not is_member:
                     own = [*own, s] if lead == leader and not in_members else [s]  # an id may have several texts
                     leader = lead
@@ -148,7 +150,7 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (leader, member) that are linked, on the full sets of ``texts`` (id, text), one row per text.
 
     A leader's members are dealt to groups of about GROUP_ROWS, each with a copy of the leader; a task streams
@@ -159,16 +161,16 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     members = pairs.join(salts, "leader").join(texts, F.col("member") == texts["id"]).select(
         "leader", F.pmod(F.hash("member"), F.col("salts")).alias("salt"), "member", F.lit(True).alias("is_member"), "text")
     rows = leaders.unionByName(members).repartition("leader", "salt").sortWithinPartitions("leader", "salt", "is_member")
-    return rows.mapInPandas(_confirm, "a long, b long")
+    return rows.mapInPandas(partial(_confirm, shingle=shingle), "a long, b long")
 
 
-def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _close(batches: Iterator[pd.DataFrame], shingle: int = SHINGLE) -> Iterator[pd.DataFrame]:
     """Sorted rows (key, x, y, band, block, id, comp, n, sig, text): links between different groups, block by block.
 
     A pair is looked at in the first band that it shares, the likeliest first, and only while the rows' groups
     are not yet joined within the block."""
     def links(x, y, band, block, ids, comp, n, sig, texts) -> list[tuple[int, int]]:
-        sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts])
+        sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts], shingle)
         lanes = np.ascontiguousarray(sig[:, :BANDS * ROWS]).view("<u8")
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
         likely = []
@@ -211,10 +213,10 @@ def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield found(rest, [(0, len(rest))])
 
 
-def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row's id, n_shingles, component_id): one row per row of ``df``."""
+def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(row's id, n_shingles, component_id): one row per row of ``df``. ``shingle``: words of a shingle."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    rows = materialize(docs.mapInPandas(_describe, "id long, n long, h1 long, h2 long, sig binary"), "dedup-rows")
+    rows = materialize(docs.mapInPandas(partial(_describe, shingle=shingle), "id long, n long, h1 long, h2 long, sig binary"), "dedup-rows")
     nodes = rows.where("n > 0 and id is not null")
     # Equal sets are one class; the least id stands for it.
     classes = materialize(nodes.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "dedup-classes")
@@ -238,7 +240,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     # An id with several texts joins their classes.
     several = reps.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).where("a != most").select("id", "a")
     several = reps.join(several, "id").select("a", F.col("rep").alias("b")).where("a != b")
-    links = materialize(confirm(pairs, texts).unionByName(several), "dedup-links")
+    links = materialize(confirm(pairs, texts, shingle).unionByName(several), "dedup-links")
     comp = _components(links)
     # Buckets that still hold more than one group: the pairs of others than the leader.
     grouped = members.join(comp, members["id"] == comp["node"], "left").select("key", "band", "n_members", "id", F.coalesce("component", "id").alias("comp"))
@@ -248,16 +250,16 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     rest = rest.withColumn("block", F.pmod(F.hash("id"), n_blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     rest = rest.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "band", "block", "id", "comp", "n", "sig", "text")
     rest = rest.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
-    more = materialize(rest.mapInPandas(_close, "a long, b long"), "dedup-more")
+    more = materialize(rest.mapInPandas(partial(_close, shingle=shingle), "a long, b long"), "dedup-more")
     if not more.isEmpty():
         comp = _components(links.unionByName(more))
     out = reps.join(comp, reps["rep"] == comp["node"], "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "id").alias("component_id"))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``df`` with one document of each group: the one with the least id, once. Rows with a null id all stay."""
-    found = materialize(groups(df, id_col, text).where("id is not null").select("id", (F.col("id") == F.col("component_id")).alias("kept")), "dedup-found")
+    found = materialize(groups(df, id_col, text, shingle).where("id is not null").select("id", (F.col("id") == F.col("component_id")).alias("kept")), "dedup-found")
     gone = materialize(found.where("not kept").select(F.col("id").alias("__gone")).distinct(), "dedup-gone")
     if gone.count() <= BROADCAST_IDS:  # else the texts are shuffled by id
         gone = F.broadcast(gone)

@@ -1,6 +1,7 @@
 """The pipeline's stages on planted documents, and the registered names."""
 
 import os
+import random
 import sys
 
 import pytest
@@ -38,6 +39,39 @@ def test_stages_in_order(spark, tmp_path):
     assert sorted(set(ids("packing"))) == sorted(set(ids("mixing"))) and len({(r["sequence_id"], r["offset"]) for r in kept["packing"]}) == len(kept["packing"])
 
 
+def five_words(text):
+    w = (text or "").lower().split()
+    return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def test_near_dedup_stage_links_at_five_words(spark):
+    rng = random.Random(5)
+    rows = []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(180)]
+        for changes in range(7):  # 4 scattered changes: linked at four words, not at five
+            own = list(base)
+            for i in range(changes):
+                own[20 + 40 * (i % 4) + 10 * (i // 4)] = f"n{g}x{changes}x{rng.random()}"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(1000, "a b c d"), (1001, "a b c d"), (1002, "a b c e"), (1003, None), (1004, "")]
+    sets = {i: five_words(t) for i, t in rows}
+    least = {i: i for i in sets}
+
+    def find(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if j < i and a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                least[y] = x
+    kept = corpus_pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(i for i in sets if find(i) == i)
+    assert len(kept) > 30 + 4  # a group's documents with many changes stay
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
