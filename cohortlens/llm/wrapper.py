@@ -3,14 +3,16 @@
 1. Every page becomes a tree of its block-level nodes; runs of equal siblings (list items, paragraphs) are one
    repeated node. Navigation, headers outside the article, footers, sidebars, notices, adverts, forms,
    scripts, styles and comment sections are known by tag, role, class or id and never content.
-2. Trees of the same host are aligned with the host's reference page by simple tree matching. Over all
-   distinct pages of a host, a text that stands at the same template node on most pages is constant.
+2. Pages of a host with the same containers outside the article are a layout. A page is aligned by simple tree
+   matching with the reference page of its layout, or of the host's largest one if its own has too few pages;
+   besides, nodes of all the host's pages with the same path of labels are one node. A text that stands at
+   such a node on most of the distinct pages that have the node is constant.
 3. Constant nodes are template, varying slots are content: blocks of the marked article (else of the marked
    main part, else of the whole body) that are not constant. If a large part of an article's
    blocks is constant the page is a near copy of others, not a template, and the article stays whole.
 
 Only trees (tags and text hashes) are shuffled for the induction; a host's pages are dealt to many groups,
-each with a copy of the reference tree, and stream through one at a time.
+each with a copy of its reference tree, and stream through one at a time.
 
 Defined results: null or empty html gives an empty text; a null url has an empty host; a host with fewer than
 ``LEAST_PAGES`` distinct pages has no template; copies of a page count once in the induction and get equal texts; repeated
@@ -35,6 +37,7 @@ from cohortlens.session import materialize
 
 LEAST_PAGES, CONSTANT_SHARE, COPY_SHARE = 5, 0.8, 0.3
 GROUP_PAGES = 512  # pages of a host aligned in one group
+CONTAINERS = {"#", "html", "body", "main", "article", "section", "div", "header", "hgroup", "center"}  # what makes a layout
 MOST_DEPTH = 64  # deeper nodes stand under their ancestor of that depth
 #: Names of HTML.
 RAW = ("script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes", "template", "noscript", "svg", "math", "object", "select", "button")
@@ -70,7 +73,8 @@ def _mark(tag: str, attributes: str) -> tuple[str, bool, bool]:
             words.update(re.split(r"[^a-z0-9]+", value))
     words.discard("")
     outside = tag in OUTSIDE_TAGS or role in OUTSIDE_ROLES or hidden or (bool(words & OUTSIDE_WORDS) and tag not in ("body", "html", "article", "main"))
-    return ".".join([tag, *sorted(w for w in words if not w.isdigit())]), outside, role == "main"
+    named = [] if tag in ("html", "body") else sorted(w for w in words if not w.isdigit())  # theirs vary by page
+    return ".".join([tag, *named]), outside, role == "main"
 
 
 class Page:
@@ -217,27 +221,48 @@ def _numbered(node: list, number: int) -> list[tuple[list, int]]:
     return out
 
 
+def layout(tree: list) -> int:
+    """Of the paths of containers, as a set, down to the article or main part: what the text holds does not count."""
+    paths, todo = set(), [(tree, 0)]
+    while todo:
+        node, above = todo.pop()
+        tag = node[0].split(".")[0]
+        if tag in CONTAINERS:
+            paths.add(path := _hash(f"{above}/{node[0]}"))
+            if tag not in ("article", "main"):
+                todo += [(c, path) for c in node[1]]
+    return _hash(" ".join(map(str, sorted(paths))))
+
+
 def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"host": batch["host"], "k": batch["k"], "tree": [skeleton(Page(h)) for h in batch["html"]]})
+        trees = [skeleton(Page(h)) for h in batch["html"]]
+        yield pd.DataFrame({"host": batch["host"], "k": batch["k"], "layout": [layout(json.loads(t)) for t in trees], "tree": trees})
 
 
 def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted rows (host, salt, is_page, k, tree), the reference first: (host, k, node of the reference, block, hash)."""
-    host, reference = None, None
+    """Sorted rows (host, layout, salt, is_page, k, tree), the reference first: (host, k, node, block, hash).
+
+    ``node`` stands for a node of the reference or for a path of labels; one without text gives block -1."""
+    key, first, reference = None, None, None
     for batch in batches:
         out = []
-        for h, is_page, k, tree in zip(batch["host"], batch["is_page"], batch["k"], batch["tree"], strict=True):
+        for h, lay, is_page, k, tree in zip(batch["host"], batch["layout"], batch["is_page"], batch["k"], batch["tree"], strict=True):
             if not is_page:
-                host, reference = h, json.loads(tree)
-            elif h == host:
+                key, first, reference = (h, lay), k, json.loads(tree)
+            elif (h, lay) == key:
                 own = json.loads(tree)
                 nodes = align(own, reference)
-                todo = [(own, 0)]
+                todo, empty = [(own, 0, 0)], set()
                 while todo:
-                    node, i = todo.pop()
-                    out += [(h, k, nodes[i], block, text) for block, text in node[2] if i in nodes]
-                    todo += _numbered(node, i)
+                    node, i, above = todo.pop()
+                    path = _hash(f"{above}/{node[0]}")
+                    same = [path, _hash(f"{first}:{nodes[i]}")] if i in nodes else [path]
+                    out += [(h, k, at, block, text) for block, text in node[2] for at in same]
+                    if not node[2]:
+                        empty.update(same)
+                    todo += [(c, j, path) for c, j in _numbered(node, i)]
+                out += [(h, k, at, -1, 0) for at in empty]
         yield pd.DataFrame(out, columns=["host", "k", "node", "block", "hash"]).astype({"k": "int64", "node": "int64", "block": "int64", "hash": "int64"})
 
 
@@ -245,18 +270,25 @@ def induce(pages: DataFrame) -> DataFrame:
     """(host, html, k) -> (k, constant): the numbers of the blocks of page content ``k`` that are its host's template.
 
     ``k`` stands for the pair of host and html, so that copies count once."""
-    trees = materialize(pages.where("host != '' and length(html) > 0").select("host", "k", "html").mapInPandas(_trees, "host string, k long, tree string")
+    trees = materialize(pages.where("host != '' and length(html) > 0").select("host", "k", "html").mapInPandas(_trees, "host string, k long, layout long, tree string")
                         .dropDuplicates(["k"]), "wrapper-trees")
-    hosts = trees.groupBy("host").agg(F.count("*").alias("n"), F.min(F.struct("k", "tree")).alias("first")).where(F.col("n") >= LEAST_PAGES)
-    hosts = hosts.select("host", F.ceil(F.col("n") / GROUP_PAGES).cast("int").alias("salts"), "first.tree", "first.k")
-    references = hosts.select("host", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("is_page"), "k", "tree")
-    own = trees.join(hosts.select("host", "salts"), "host").select("host", F.pmod("k", F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("is_page"), "k", "tree")
-    rows = references.unionByName(own).repartition("host", "salt").sortWithinPartitions("host", "salt", "is_page")
+    layouts = trees.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min("k").alias("k"))
+    hosts = layouts.groupBy("host").agg(F.sum("n").alias("pages"), F.min(F.struct(-F.col("n"), "k", "layout")).alias("most")).where(F.col("pages") >= LEAST_PAGES)
+    # Pages of small layouts go with the host's largest one.
+    layouts = layouts.join(hosts, "host").withColumn("goal", F.when(F.col("n") >= LEAST_PAGES, F.col("layout")).otherwise(F.col("most.layout")))
+    layouts = materialize(layouts.select("host", "layout", "goal", "n", F.when(F.col("layout") == F.col("most.layout"), F.col("most.k")).otherwise(F.col("k")).alias("first")), "wrapper-layouts")
+    goals = layouts.groupBy("host", "goal").agg(F.ceil(F.sum("n") / GROUP_PAGES).cast("int").alias("salts"))
+    goals = goals.join(layouts.where("layout = goal").select("host", "goal", "first"), ["host", "goal"])
+    references = goals.join(trees.select("k", "tree"), F.col("first") == F.col("k")).select(
+        "host", F.col("goal").alias("layout"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("is_page"), "k", "tree")
+    own = trees.join(layouts.select("host", "layout", "goal").join(goals.select("host", "goal", "salts"), ["host", "goal"]), ["host", "layout"]).select(
+        "host", F.col("goal").alias("layout"), F.pmod("k", F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("is_page"), "k", "tree")
+    rows = references.unionByName(own).repartition("host", "layout", "salt").sortWithinPartitions("host", "layout", "salt", "is_page")
     blocks = materialize(rows.mapInPandas(_aligned, "host string, k long, node long, block long, hash long"), "wrapper-blocks")
-    texts = blocks.groupBy("host", "node", "hash").agg(F.count_distinct("k").alias("n"))
-    pages_of = hosts.select("host", "salts").join(trees.groupBy("host").count(), "host").select("host", "count")
-    constant = texts.join(pages_of, "host").where(F.col("n") >= CONSTANT_SHARE * F.col("count")).select("host", "node", "hash")
-    return blocks.join(constant, ["host", "node", "hash"]).groupBy("k").agg(F.collect_set("block").alias("constant"))
+    texts = blocks.where("block >= 0").groupBy("host", "node", "hash").agg(F.count_distinct("k").alias("n")).where(F.col("n") >= CONSTANT_SHARE * LEAST_PAGES)
+    having = blocks.groupBy("host", "node").agg(F.count_distinct("k").alias("having")).where(F.col("having") >= LEAST_PAGES)
+    constant = texts.join(having, ["host", "node"]).where(F.col("n") >= CONSTANT_SHARE * F.col("having")).select("host", "node", "hash")
+    return blocks.where("block >= 0").join(constant, ["host", "node", "hash"]).groupBy("k").agg(F.collect_set("block").alias("constant"))
 
 
 def main_text(page: Page, constant: set[int]) -> str:

@@ -57,6 +57,22 @@ def test_induction_removes_constant_nodes(spark):
     assert (got[400], got[401], got[402], got[None]) == ("", "no host", "Alone", "")
 
 
+def test_induction_over_several_layouts(spark):
+    """Two layouts in equal parts, some error pages, body classes that vary by page; nothing is marked."""
+    rows, wanted = [], {}
+    for i in range(24):
+        body = "".join(f"<p>Paragraph {i} number {k} of the story.</p>" for k in range(4))
+        story = f"Story {i}\n" + "\n".join(f"Paragraph {i} number {k} of the story." for k in range(4))
+        a = f"<div class='top'><p>Front page</p></div><div><h2>Story {i}</h2>{body}</div><div><p>All rights reserved</p></div>"
+        b = f"<section><div><h2>Story {i}</h2>{body}</div><div><p>Write to the editor</p></div></section>"
+        extra = "".join(f"<div class='c{chr(97 + i)}{k}'></div>" for k in range(i % 3))  # layouts of few pages
+        rows.append((i, f"http://two.example.com/{i}", f"<body class='slug{chr(97 + i)}' id='x{i}y'>{b if i % 2 else a}{extra}</body>"))
+        wanted[i] = story
+    rows += [(100 + i, f"http://two.example.com/e{i}", f"<body><center>Error {i}</center></body>") for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == wanted | {100 + i: f"Error {i}" for i in range(3)}
+
+
 def test_bundled_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r["page_id"]: r["text"] for r in wrapper.extract(df).collect()}
