@@ -8,8 +8,9 @@
    besides, nodes of all the host's pages with the same path of labels are one node. A text that stands at
    such a node on most of the distinct pages that have the node is constant.
 3. Constant nodes are template, varying slots are content: blocks of the marked article (else of the marked
-   main part, else of the whole body) that are not constant. If a large part of an article's
-   blocks is constant the page is a near copy of others, not a template, and the article stays whole.
+   main part, else of the whole body) that are not constant. If a large part of a page's words
+   (or of a marked article's blocks) is constant, the page is a near copy of others. All near copies of a host count
+   as one page, and the induction is repeated until it finds no more of them; a marked article of that kind stays whole.
 
 Only trees (tags and text hashes) are shuffled for the induction; a host's pages are dealt to many groups,
 each with a copy of its reference tree, and stream through one at a time.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.urls import split_url
 from cohortlens.session import materialize
 
-LEAST_PAGES, CONSTANT_SHARE, COPY_SHARE = 5, 0.8, 0.3
+LEAST_PAGES, CONSTANT_SHARE, COPY_SHARE, COPY_WORDS = 5, 0.8, 0.3, 0.6
 GROUP_PAGES = 512  # pages of a host aligned in one group
 CONTAINERS = {"#", "html", "body", "main", "article", "section", "div", "header", "hgroup", "center"}  # what makes a layout
 MOST_DEPTH = 64  # deeper nodes stand under their ancestor of that depth
@@ -161,10 +162,18 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _own(page: Page) -> dict[int, int]:
+    """block -> words, of the blocks that main_text takes from."""
+    part = max((p for _, p in page.blocks), default=0)
+    return {i: text.count(" ") + 1 for i, (text, p) in enumerate(page.blocks) if p == part}
+
+
 def skeleton(page: Page) -> str:
-    """The tree with numbered nodes and text hashes: [label, children, [[block, hash], ...]]."""
+    """The tree with numbered nodes and text hashes: [label, children, [[block, hash, words if it may be content], ...]]."""
+    own = _own(page)
+
     def plain(node: list) -> list:
-        return [node[0], [plain(c) for c in node[1]], [[b, _hash(page.blocks[b][0])] for b in node[2]]]
+        return [node[0], [plain(c) for c in node[1]], [[b, _hash(page.blocks[b][0]), own.get(b, 0)] for b in node[2]]]
     return json.dumps(plain(page.tree), separators=(",", ":"))
 
 
@@ -236,12 +245,16 @@ def layout(tree: list) -> int:
 
 def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        trees = [skeleton(Page(h)) for h in batch["html"]]
-        yield pd.DataFrame({"host": batch["host"], "k": batch["k"], "layout": [layout(json.loads(t)) for t in trees], "tree": trees})
+        rows = []
+        for page in map(Page, batch["html"]):
+            own = _own(page)
+            rows.append((layout(page.tree), sum(own.values()), len(own), any(p for _, p in page.blocks), skeleton(page)))
+        out = pd.DataFrame(rows, columns=["layout", "words", "own", "marked", "tree"])
+        yield pd.concat([batch[["host", "k"]].reset_index(drop=True), out], axis=1)
 
 
 def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted rows (host, layout, salt, is_page, k, tree), the reference first: (host, k, node, block, hash).
+    """Sorted rows (host, layout, salt, is_page, k, tree), the reference first: (host, k, node, block, hash, words).
 
     ``node`` stands for a node of the reference or for a path of labels; one without text gives block -1."""
     key, first, reference = None, None, None
@@ -258,19 +271,19 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     node, i, above = todo.pop()
                     path = _hash(f"{above}/{node[0]}")
                     same = [path, _hash(f"{first}:{nodes[i]}")] if i in nodes else [path]
-                    out += [(h, k, at, block, text) for block, text in node[2] for at in same]
+                    out += [(h, k, at, block, text, words) for block, text, words in node[2] for at in same]
                     if not node[2]:
                         empty.update(same)
                     todo += [(c, j, path) for c, j in _numbered(node, i)]
-                out += [(h, k, at, -1, 0) for at in empty]
-        yield pd.DataFrame(out, columns=["host", "k", "node", "block", "hash"]).astype({"k": "int64", "node": "int64", "block": "int64", "hash": "int64"})
+                out += [(h, k, at, -1, 0, 0) for at in empty]
+        yield pd.DataFrame(out, columns=["host", "k", "node", "block", "hash", "words"]).astype({c: "int64" for c in ("k", "node", "block", "hash", "words")})
 
 
 def induce(pages: DataFrame) -> DataFrame:
     """(host, html, k) -> (k, constant): the numbers of the blocks of page content ``k`` that are its host's template.
 
     ``k`` stands for the pair of host and html, so that copies count once."""
-    trees = materialize(pages.where("host != '' and length(html) > 0").select("host", "k", "html").mapInPandas(_trees, "host string, k long, layout long, tree string")
+    trees = materialize(pages.where("host != '' and length(html) > 0").select("host", "k", "html").mapInPandas(_trees, "host string, k long, layout long, words long, own long, marked boolean, tree string")
                         .dropDuplicates(["k"]), "wrapper-trees")
     layouts = trees.groupBy("host", "layout").agg(F.count("*").alias("n"), F.min("k").alias("k"))
     hosts = layouts.groupBy("host").agg(F.sum("n").alias("pages"), F.min(F.struct(-F.col("n"), "k", "layout")).alias("most")).where(F.col("pages") >= LEAST_PAGES)
@@ -284,11 +297,26 @@ def induce(pages: DataFrame) -> DataFrame:
     own = trees.join(layouts.select("host", "layout", "goal").join(goals.select("host", "goal", "salts"), ["host", "goal"]), ["host", "layout"]).select(
         "host", F.col("goal").alias("layout"), F.pmod("k", F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("is_page"), "k", "tree")
     rows = references.unionByName(own).repartition("host", "layout", "salt").sortWithinPartitions("host", "layout", "salt", "is_page")
-    blocks = materialize(rows.mapInPandas(_aligned, "host string, k long, node long, block long, hash long"), "wrapper-blocks")
-    texts = blocks.where("block >= 0").groupBy("host", "node", "hash").agg(F.count_distinct("k").alias("n")).where(F.col("n") >= CONSTANT_SHARE * LEAST_PAGES)
-    having = blocks.groupBy("host", "node").agg(F.count_distinct("k").alias("having")).where(F.col("having") >= LEAST_PAGES)
-    constant = texts.join(having, ["host", "node"]).where(F.col("n") >= CONSTANT_SHARE * F.col("having")).select("host", "node", "hash")
-    return blocks.where("block >= 0").join(constant, ["host", "node", "hash"]).groupBy("k").agg(F.collect_set("block").alias("constant"))
+    blocks = materialize(rows.mapInPandas(_aligned, "host string, k long, node long, block long, hash long, words long"), "wrapper-blocks")
+    copies = None
+    while True:  # each round but the last finds more near copies
+        units = blocks.withColumn("copy", F.lit(False))
+        if copies is not None:
+            units = blocks.join(copies.withColumn("copy", F.lit(True)), "k", "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
+        n = F.count_distinct(F.when(~F.col("copy"), F.col("k"))) + F.max(F.col("copy").cast("int"))
+        texts = units.where("block >= 0").groupBy("host", "node", "hash").agg(n.alias("n")).where(F.col("n") >= CONSTANT_SHARE * LEAST_PAGES)
+        having = units.groupBy("host", "node").agg(n.alias("having")).where(F.col("having") >= LEAST_PAGES)
+        constant = texts.join(having, ["host", "node"]).where(F.col("n") >= CONSTANT_SHARE * F.col("having")).select("host", "node", "hash")
+        found = blocks.where("block >= 0").join(constant, ["host", "node", "hash"]).groupBy("k").agg(F.collect_set(F.struct("block", "words")).alias("found"))
+        found = materialize(found, "wrapper-constant")
+        same = F.aggregate("found", F.lit(0).cast("long"), lambda acc, x: acc + x["words"])
+        n_same = F.size(F.filter("found", lambda x: x["words"] > 0))
+        more = found.join(trees.select("k", F.col("words").alias("all"), "own", "marked"), "k").where(
+            (F.col("all") > 0) & ((same >= COPY_WORDS * F.col("all")) | (F.col("marked") & (n_same > COPY_SHARE * F.col("own"))))).select("k")
+        more = materialize(more if copies is None else more.join(copies, "k", "left_anti"), "wrapper-copies")
+        if more.isEmpty():
+            return found.select("k", F.col("found.block").alias("constant"))
+        copies = more if copies is None else copies.unionByName(more)
 
 
 def main_text(page: Page, constant: set[int]) -> str:

@@ -73,6 +73,28 @@ def test_induction_over_several_layouts(spark):
     assert got == wanted | {100 + i: f"Error {i}" for i in range(3)}
 
 
+def test_near_copies_without_marks(spark):
+    """Pages of which nearly all are near copies keep their shared paragraphs; what other pages have too is template."""
+    shared = [f"Shared paragraph number {k} of the notice that was copied." for k in range(4)]
+    rows, wanted = [], {}
+
+    def add(n, host, blocks, foot=""):
+        rows.append((n, f"http://{host}.example.com/{n}", "<body><div>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</div>{foot}</body>"))
+        wanted[n] = "\n".join(blocks)
+    for i in range(12):
+        add(i, "unmarked", [*shared, f"Only page {i} says so."])
+        add(100 + i, "whole", shared if i < 10 else [f"Text {i}."], f"<hr><img src='{i}'>")  # all blocks are shared
+    foot = "<section><p>All rights reserved</p></section>"
+    for i in range(120):
+        add(200 + i, "mixed", [*shared, f"Copy {i}."], foot)
+    for i in range(24):  # near copies of another text, found once the first ones count as one page
+        add(400 + i, "mixed", [f"Another text, of which copies stand here too, part {k}." for k in range(4)] + [f"Other {i}."], foot)
+    for i in range(5):
+        add(500 + i, "mixed", [f"Page {i} has paragraph {k} of its own." for k in range(4)], foot)
+    out = wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert {r["page_id"]: r["text"] for r in out} == wanted
+
+
 def test_bundled_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r["page_id"]: r["text"] for r in wrapper.extract(df).collect()}
