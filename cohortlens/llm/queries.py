@@ -65,6 +65,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def curriculum_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, size, position: the mix of op6 in training order, a row for each time that a document is taken."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.curriculum(mixing.mix(docs, keep_text=False)).select("doc_id", "source", "size", "position")
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""

@@ -1,5 +1,6 @@
 """Mixing against the contract's own procedure."""
 
+import hashlib
 import re
 
 import pytest
@@ -59,5 +60,31 @@ def test_curriculum_order_and_schedule(spark):
     assert first["a"] > 0.55 and abs(first["b"] - 0.5) < 0.02 and first["c"] < 0.45  # fades out, even, comes in
 
 
+def test_registered_order_has_every_position(spark, tmp_path):
+    """curriculum_order against the schedule, integrated and inverted by bisection."""
+    from cohortlens.llm.queries import QUERIES
+
+    data = [(i, "w " * (1 + i % 13), "abc"[min(i % 5, 2)]) for i in range(600)]
+    spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in QUERIES["curriculum_order"](spark, str(tmp_path)).select("position", "doc_id", "size").collect()]
+    assert [p for p, *_ in got] == sorted(p for p, *_ in got)
+    sizes = {s: sum(1 + i % 13 for i, _, t in data if t == s) for s in "abc"}
+    goals, wanted = brute_targets(sizes), []
+    for s, slope in zip("abc", (-0.5, 0.0, 0.5), strict=True):
+        stream = sorted((hashlib.md5(str(i).encode()).hexdigest(), i, 1 + i % 13) for i, _, t in data if t == s)
+        at = 0
+        for _, i, n in stream * 2:
+            if at + n / 2 < goals[s]:
+                low, high = 0.0, 1.0
+                for _ in range(60):
+                    u = (low + high) / 2
+                    low, high = (u, high) if goals[s] * (slope * u * u + (1 - slope) * u) < at else (low, u)
+                wanted.append((i, n, low))
+            at += n
+    mine, theirs = sorted((i, p, n) for p, i, n in got), sorted((i, p, n) for i, n, p in wanted)
+    assert [(i, n) for i, _, n in mine] == [(i, n) for i, _, n in theirs]
+    assert all(abs(a[1] - b[1]) < 1e-5 for a, b in zip(mine, theirs, strict=True))
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
