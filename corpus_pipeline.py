@@ -44,7 +44,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [("quality_rules", quality_stage), ("near_dedup", near_dedup_stage), ("pii", pii_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
-#: No stage but the first has SQL that is exact; see tests/llm/test_pipeline.py.
+#: The tokenizer and the fitted models have no exact SQL; tests/llm/test_llm_pipeline.py holds run() against a brute force of all stages.
 ORACLE_SQL = None
 
 

@@ -1,8 +1,12 @@
 """The pipeline's stages on planted documents, and the registered names."""
 
+import hashlib
 import os
 import random
+import re
+import struct
 import sys
+import zlib
 
 import pytest
 
@@ -72,6 +76,69 @@ def test_near_dedup_stage_links_at_five_words(spark):
     assert len(kept) > 30 + 4  # a group's documents with many changes stay
 
 
+def test_run_equals_brute_force(spark, tmp_path):
+    """All five stages by hand: what passes, groups, redaction, takes of each document, pieces of each take, whole sequences."""
+    from cohortlens.llm import tokens
+
+    rows, n = [], 0
+    for g in range(12):
+        for changes in range(6):  # near copies, some beyond 80 % at five words
+            words = prose(g, 1500 if g == 0 else 180).split()
+            for i in range(changes if g else 100 * changes):
+                words[20 + 40 * (i % 4) + 10 * (i // 4) if g else 3 + 13 * (i % 110)] = f"n{g}x{changes}x{i}"
+            rows.append((n, " ".join(words) + f" mail me{g}@example.com", "en", f"s{g % 3}", 5, n))
+            n += 1
+    rows += [(200, "### *** %%% " * 30, "en", "s0", 5, 0), (201, None, "en", None, None, 0), (202, "", "en", None, 0, 0), rows[9], (None, prose(999), "en", "s1", 1, 0)]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    good = {r[0]: r for r in rows if r[0] is not None and r[0] < 200}
+    least = {i: i for i in good}
+
+    def find(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+    sets = {i: five_words(r[1]) for i, r in good.items()}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if j < i and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                least[y] = x
+    kept = [r for i, r in good.items() if find(i) == i] + [rows[-1]]
+    assert 12 < len(kept) < len(good)
+    streams = {}
+    for i, t, _, s, *_ in kept:
+        t = re.sub(r"\S+@\S+", "[EMAIL]", t)
+        streams.setdefault(s, []).append((hashlib.md5(b"" if i is None else str(i).encode()).hexdigest(), i, t, len(t.split())))
+    sizes = {s: sum(x[3] for x in v) for s, v in streams.items()}
+    left, goals, todo = 1.5 * sum(sizes.values()), {}, dict(zip(sorted(sizes), (5, 2, 1), strict=True))
+    while todo:
+        full = [s for s in todo if left * todo[s] / sum(todo.values()) >= 2 * sizes[s]]
+        for s in full:
+            goals[s] = 2.0 * sizes[s]
+        if not full:
+            goals |= {s: left * w / sum(todo.values()) for s, w in todo.items()}
+            break
+        left -= sum(goals[s] for s in full)
+        todo = {s: w for s, w in todo.items() if s not in full}
+    encoder, wanted = tokens.encoder(tokens.default_tokenizer()), []
+    for s, stream in streams.items():
+        at = 0
+        for _, i, t, size in sorted(stream) * 2:
+            if at + size / 2 < goals[s]:
+                ids = [*map(int, encoder.ids(t)), 0]
+                edges = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+                wanted += [(-1 if i is None else i, k, a, b - a, zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b]))) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+            at += size
+    assert max(w[1] for w in wanted) > 0
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == sorted(wanted)
+    ends = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert sorted(ends) == list(range(len(ends))) and max(ends.values()) <= 2048
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
