@@ -42,9 +42,15 @@ OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$"
 #: Generators of further candidates: (kind, pattern, what a text needs for the pattern to be tried).
 GENERATORS = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z0-9-]{1,63}+){1,8}+", r"[\[(](?:at|AT)[\])]"),
-    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
+    # Version 6: eight groups, or :: for some of them, with seven groups at most.
+    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
+           r"|(?<![0-9A-Za-z:])(?!(?:[0-9A-Fa-f]{0,4}:){8}[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?+::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?+(?<=[0-9A-Fa-f]:{0,2})(?![0-9A-Za-z:])",
+     r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:|[0-9A-Fa-f]::|::[0-9A-Fa-f]"),
     ("card", PATTERN["card"], r"[0-9](?:[\x20-]?[0-9]){11}"),
-    ("phone", r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])", r"[0-9]{3}[\x20.-][0-9]{4}"),
+    # National forms: 3-3-4, or a trunk 0 and 9 to 11 digits in all, in groups.
+    ("phone", r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])"
+              r"|(?<![0-9A-Za-z+.-])(?=\(?0(?:[)\x20./-]{0,2}[0-9]){8,10}(?![0-9A-Za-z-]))(?:\(0[0-9]{1,4}\)[\x20/-]?|0[0-9]{1,4}[\x20./-])[0-9]{2,8}(?:[\x20.-][0-9]{2,6}){0,3}(?![0-9A-Za-z-])",
+     r"[0-9]{3}[\x20.-][0-9]{4}|0[0-9]{1,4}[)\x20./-]"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![0-9A-Za-z])", r"[A-Z]{2}[0-9]{2}"),
 )
@@ -57,12 +63,17 @@ TEMPLATES = (
     ("email", 1, "contact me: ", "jo.doe##[at]example.com", " thanks"), ("email", 1, "write to ", "info (at) mail#.example.org", "."),
     ("email", 1, "see ", "anna#[at]site[dot]net", " or"), ("email", 0, "matrix ", "a[at]b.c", "[i] = 0"), ("email", 0, "x = ", "v#[at]f.g", "(y)"),
     ("ip", 1, "host ", "20##:xxxx:xxxx:xxxx:xxxx:xxxx:xxxx:xxxx", " is"), ("ip", 1, "address ", "fe80:0:0:0:xxxx:xxxx:xxxx:xxxx", ","),
-    ("ip", 0, "hash ", "xx:xx:xx:xx:xx:xx:xx:xx", ":xx"), ("ip", 0, "ratio ", "#:#:#:#:#:#:#:#", " of"),
+    ("ip", 1, "host ", "2001:db8::#", " is"), ("ip", 1, "server ", "20##:xxxx::xxxx:#", "."), ("ip", 1, "address ", "fe80::xxxx:xxxx:xxxx:xxxx", ","),
+    ("ip", 1, "the ", "2###:xxxx:xxxx::#", " and"), ("ip", 1, "login from ", "::#", " at"), ("ip", 0, "call ", "a::b", "(c)"), ("ip", 0, "type ", "Bad::Cafe", " of"),
+    ("ip", 0, "the ", "ace::add", "()"), ("ip", 0, "see ", "::dead", " x"), ("ip", 0, "hash ", "xx:xx:xx:xx:xx:xx:xx:xx", ":xx"), ("ip", 0, "ratio ", "#:#:#:#:#:#:#:#", " of"),
     ("card", 1, "my card is ", "4### #### #### ####", " exp"), ("card", 1, "visa payment ", "5###-####-####-####", "."), ("card", 1, "credit card: ", "################", " cvv"),
     ("card", 0, "number ", "################", " of"), ("card", 0, "order ", "##############", ","), ("card", 0, "the ", "####################", " and"),
     ("card", 0, "id ", "#############", " in"), ("card", 0, "codes ", "## ## ## ## ## ## ##", " x"), ("card", 0, "", "2###-##-## ##-##-##", " log"),
     ("phone", 1, "call ", "(###) ###-####", " now"), ("phone", 1, "phone: ", "###-###-####", "."), ("phone", 1, "tel ", "###.###.####", ","),
-    ("phone", 1, "the ", "(###) ###-####", " and"), ("phone", 1, "of ", "###-###-####", " or"), ("phone", 0, "sum ", "### ### ####", " ### units"),
+    ("phone", 1, "the ", "(###) ###-####", " and"), ("phone", 1, "of ", "###-###-####", " or"), ("phone", 1, "tel ", "020 #### ####", "."), ("phone", 1, "call ", "0# ## ## ## ##", " now"),
+    ("phone", 1, "phone: ", "0###-#######", ","), ("phone", 1, "mobile ", "0#### ######", " or"), ("phone", 1, "fax ", "(0##) ########", "."), ("phone", 1, "the ", "0###/#######", " and"),
+    ("phone", 0, "on ", "0#.##.#### 1#", ":##"), ("phone", 0, "part ", "0##.###.###", ".#"), ("phone", 0, "rows ", "0# ## ## ## ##", " ## ##"),
+    ("phone", 0, "sum ", "### ### ####", " ### units"),
     ("phone", 0, "pages 1## ", "### ### ####", " 2##"), ("phone", 0, "part ", "###.###.####", ".#"),
     ("ssn", 1, "ssn ", "###-##-####", "."), ("ssn", 1, "social security ", "###-##-####", " of"), ("ssn", 0, "part ", "###-##-####", "/##"),
     ("ssn", 0, "isbn ## ", "###-##-####", " ##"), ("iban", 1, "iban ", "XX## #### #### #### ####", "."), ("iban", 1, "bank account ", "XX####################", " at"),

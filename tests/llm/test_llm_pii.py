@@ -51,6 +51,15 @@ def test_base_spans_equal_plain_patterns(spark, model):
         assert [(x["start"], x["k"], x["end"]) for x in r["pii"] if x["base"]] == brute(r["text"]), r["text"]
 
 
+def test_compressed_addresses_and_national_phones(spark, model):
+    planted = {"host 2001:db8::1 is": ("ip", "2001:db8::1"), "address fe80::a1b2:c3d4:12:9, and": ("ip", "fe80::a1b2:c3d4:12:9"),
+               "tel 020 7946 0958.": ("phone", "020 7946 0958"), "call 01 23 45 67 89 now": ("phone", "01 23 45 67 89"), "phone: 0171-1234567, or": ("phone", "0171-1234567")}
+    clean = ["call a::b(c)", "use std::abs and foo::bad here", "a :: b", "1::2::3", "on 01.02.2024 10:30"]
+    df = spark.createDataFrame([(t,) for t in [*planted, *clean]], "text string")
+    got = {r["text"]: [(pii.KINDS[x["k"]], r["text"][x["start"]:x["end"]]) for x in r["pii"]] for r in pii.find(df, model).collect()}
+    assert got == {t: [p] for t, p in planted.items()} | {t: [] for t in clean}
+
+
 def test_added_spans(spark, model):
     planted = {"call me on (123) 456-7890 now": "phone", "write to jo.doe[at]example.com thanks": "email", "her ssn 123-45-6789.": "ssn",
                "my iban DE44 5001 0517 5407 3249 31.": "iban"}
