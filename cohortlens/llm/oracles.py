@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import mixing, quality, superminhash, urls
+from cohortlens.llm import fim, lexical, mixing, pivots, quality, superminhash, urls
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWER = f"translate({{}}, '{urls.UPPER}', '{urls.LOWER}')"
@@ -107,4 +107,44 @@ p AS (SELECT z.*, source_size, target, SUM(size) OVER (PARTITION BY z.source ORD
 SELECT doc_id, size, source_size, target, CAST({epochs} AS BIGINT) AS taken FROM p"""
 
 
-ORACLES = {"op6_mixing": mixing_sql(), "op5_url_filter": urls_sql(), "op7_near_dedup": dedup_sql(), "op8_warc": warc_sql(), "op10_quality_rules": quality_sql()}
+def lexical_sql() -> str:
+    terms = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(LOWER.format("COALESCE(text, '')"))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS ws FROM documents),
+t AS (SELECT r, doc_id, unnest(ws) AS term, CAST(len(ws) AS BIGINT) AS n FROM d),
+c AS (SELECT r, doc_id, term, n, CAST(COUNT(*) AS BIGINT) AS tf FROM t GROUP BY ALL),
+all_d AS (SELECT CAST(COUNT(*) AS BIGINT) AS nn, CAST(SUM(len(ws)) AS BIGINT) AS ll FROM d WHERE len(ws) > 0),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * MAX(nn) + 2 AS DOUBLE) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM c, all_d GROUP BY term),
+i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({terms}) AS term FROM benchmark) x),
+s AS (SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+      FROM i JOIN w USING (term) JOIN c USING (term), all_d GROUP BY item_id, r, doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= {lexical.K}"""
+
+
+def topk_sql() -> str:
+    return f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({pivots.SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.e, x.e) AS BIGINT) AS score FROM v q JOIN v x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= {pivots.K}"""
+
+
+def fim_sql() -> str:
+    p, s, m = fim.PREFIX, fim.SUFFIX, fim.MIDDLE
+    part = lambda k: f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)"
+    return f"""
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, sha256('{fim.SEED}:' || doc_id) AS h FROM documents),
+x AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, {part(0)} AS h1, {part(1)} AS h2, {part(2)} AS h3, {part(3)} AS h4 FROM d),
+y AS (SELECT *, LEAST(h1 % (n + 1), h2 % (n + 1)) AS a, GREATEST(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '{p}') OR contains(t, '{s}') OR contains(t, '{m}') OR h3 % 100 >= {fim.PLAIN_FROM} THEN 'plain'
+             WHEN h4 % 100 < {fim.SPM_BELOW} THEN 'spm' ELSE 'psm' END AS form FROM x),
+z AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM y)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{p}' || pre || '{s}' || suf || '{m}' || mid ELSE '{s}' || suf || '{p}' || pre || '{m}' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM z"""
+
+
+ORACLES = {"op6_mixing": mixing_sql(), "op5_url_filter": urls_sql(), "op7_near_dedup": dedup_sql(), "op8_warc": warc_sql(), "op10_quality_rules": quality_sql(),
+           "op11_lexical": lexical_sql(), "op12_exact_topk": topk_sql(), "op13_fill_in_middle": fim_sql()}

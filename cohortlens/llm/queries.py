@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import ann, mixing, oracles, packing, pii, quality, superminhash, tokens, urls, warc, wrapper
+from cohortlens.llm import ann, fim, lexical, mixing, oracles, packing, pii, pivots, quality, superminhash, tokens, urls, warc, wrapper
 from cohortlens.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     bits = "ledger.fail_bits"
     return led.select("doc_id", *[f"ledger.{m}" for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                       (~quality.passes(bits, "base")).alias("base_failed"), quality.passes(bits, "v2").alias("kept"), F.col(bits))
+
+
+@query
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, rank, doc_id, score: the ten best of all documents for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score. Queries: the rows whose vec_id is divisible by 100, against all rows."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pivots.search(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256 (of the text rebuilt from output and form)."""
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output = F.col("fim.output")
+    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(output, 256).alias("output_sha256"),
+                       F.sha2(fim.restore(output, F.col("fim.form")), 256).alias("restored_sha256"))
