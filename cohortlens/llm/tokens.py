@@ -53,6 +53,8 @@ class Encoder:
 
     A byte-level BPE ``.json`` runs in tiktoken's core over the vocabulary of that very file, whose ids
     are in merge order (checked when it is read): the same ids as the tokenizers library, several times faster.
+    The core's pattern matcher has a bounded stack, which a very long run of white space exceeds; such a text goes
+    to the tokenizers library itself.
     """
 
     def __init__(self, path: str):
@@ -71,7 +73,7 @@ class Encoder:
             ranks, special = self._ranks(spec)
             core = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.stable = not any(regex.search(r"[\s\p{N}]", s) for s in special)
-            self.ids = lambda text: core.encode_to_numpy(text, allowed_special="all")
+            self.ids = lambda text: self._or_library(core, path, text)
             size = max([*ranks.values(), *special.values()]) + 1
             self.n_bytes = np.zeros(size, dtype=np.int64)
             for word, i in ranks.items():
@@ -79,13 +81,16 @@ class Encoder:
             for word, i in special.items():
                 self.n_bytes[i] = len(word.encode())
         else:
-            from tokenizers import Tokenizer
-
-            tok = Tokenizer.from_file(path)
-            tok.no_truncation()
-            tok.no_padding()
+            tok = library(path)
             self.ids = lambda text: np.asarray(tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
+    @staticmethod
+    def _or_library(core, path: str, text: str) -> np.ndarray:
+        try:
+            return core.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # the matcher's stack
+            return np.asarray(library(path).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
     @staticmethod
     def _byte_level(spec: dict) -> bool:
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
@@ -105,6 +110,17 @@ class Encoder:
         return {bytes(char[c] for c in w): i for w, i in spec["model"]["vocab"].items() if w not in special}, special
 
 
+@lru_cache(maxsize=4)
+def library(path: str):
+    """The tokenizers library's own tokenizer, without truncation and padding; one per Python worker."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One per Python worker."""

@@ -8,6 +8,7 @@ import pytest
 
 tokens = pytest.importorskip("cohortlens.llm.tokens")
 packing = pytest.importorskip("cohortlens.llm.packing")
+queries = pytest.importorskip("cohortlens.llm.queries")
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +101,21 @@ def test_pack(spark, library):
     out = out.sort_values(["sequence_id", "offset"])
     assert (out.offset == (out.offset + out.length).groupby(out.sequence_id).shift(1).fillna(0)).all()
     assert out.sequence_id.nunique() <= 1.1 * -(-wanted // 64) + 1
+
+
+@pytest.mark.parametrize("white", [" ", "\n", "\t", " \n", " ", "　"])
+def test_very_long_white_space(white):
+    """The fast core's matcher has a bounded stack; such texts equal the library's ids too."""
+    enc, own = tokens.encoder(tokens.default_tokenizer()), tokens.library(tokens.default_tokenizer())
+    for text in (white * (1_000_000 // len(white)), "a" + white * (500_000 // len(white)) + "b c", "word " * 10 + white * 300_000):
+        assert enc.ids(text).tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_white_space_through_the_queries(spark, tmp_path):
+    texts = {1: " " * 2_000_000, 2: "\n" * 2_000_000, 3: "\t" * 2_000_000, 4: "word " * 100 + " " * 1_000_000 + "\n" * 1_000_000 + " end of it", 5: "short"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    own = tokens.library(tokens.default_tokenizer())
+    n = {i: len(own.encode(t, add_special_tokens=False).ids) for i, t in texts.items()}
+    assert {r["doc_id"]: r["n_tokens"] for r in queries.op3_token_counts(spark, str(tmp_path)).collect()} == n
+    packed = queries.op2_best_fit_packing(spark, str(tmp_path)).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in packed} == {i: k + 1 for i, k in n.items()}
