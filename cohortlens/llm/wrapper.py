@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,31 +50,51 @@ BLOCK = {"html", "head", "body", "address", "article", "aside", "blockquote", "c
 #: A start tag ends an open element of the second kind (up to the third as its limit).
 ENDS = {"li": ("li", {"ul", "ol", "menu"}), "dd": ("dd dt", {"dl"}), "dt": ("dd dt", {"dl"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
         "tr": ("tr", {"table"}), "option": ("option", {"select"})}
-#: What marks a part that is not the article.
+#: What marks a part that is not the article. Words stand for whole class names or ids; a part of a hyphenated one
+#: counts as its first part (``PREFIXES``) or its last (``SUFFIXES``), unless another part denies it (``DENIALS``).
 OUTSIDE_TAGS = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "search"}
 OUTSIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-OUTSIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies", "consent",
-                 "gdpr", "notice", "notices", "popup", "modal", "newsletter", "subscribe", "sidebar", "widget", "menu", "nav", "navbar", "navigation",
-                 "breadcrumb", "breadcrumbs", "footer", "masthead", "comments", "comment", "commentlist", "respond", "disqus", "share", "sharing",
-                 "social", "related", "recommended", "pagination", "login", "signup", "toolbar", "skip"}
+COMMENT_WORDS = {"comments", "comment", "commentlist", "comment-list", "comments-area", "reader-comments", "user-comments", "respond", "disqus", "replies"}
+ADVERT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "ad-slot", "ad-banner", "ad-box", "ad-unit",
+                "ad-container", "ad-wrapper", "ad-label"}
+OUTSIDE_WORDS = COMMENT_WORDS | ADVERT_WORDS | {
+    "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "newsletter", "subscribe", "sidebar", "widget", "menu", "nav",
+    "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "share", "sharing", "social", "related", "recommended", "pagination",
+    "login", "signup", "toolbar", "skip", "skip-link", "related-posts", "related-articles", "related-stories", "related-links", "share-buttons", "share-links",
+    "share-bar", "social-links", "social-media", "social-share"}
+PREFIXES = {"advert", "adverts", "advertisement", "cookie", "cookies", "gdpr", "sidebar", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs",
+            "footer", "masthead", "comments", "commentlist", "disqus", "newsletter", "popup", "pagination", "toolbar"}
+SUFFIXES = PREFIXES | {"ad", "ads", "advertising", "banner", "consent", "notice", "modal", "widget"}
+DENIALS = {"has", "have", "no", "non", "not", "without", "with", "is", "below", "above", "before", "after", "hide", "show"}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+
+
+def _is_mark(word: str) -> bool:
+    """Whether a class name or id tells a part that is not the article."""
+    if word in OUTSIDE_WORDS:
+        return True
+    parts = re.split(r"[-_]+", word)
+    return len(parts) > 1 and not DENIALS & set(parts) and (parts[0] in PREFIXES or parts[-1] in SUFFIXES)
 
 
 @lru_cache(maxsize=4096)
 def _mark(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(label in the tree, outside the article, marked as the main part) of a start tag."""
-    words, role, hidden = set(), "", False
+    """(label in the tree, outside the article, marked as the main part) of a start tag. Attributes are read one after
+    another, so that nothing within a value counts as one; of equal names the first holds."""
+    seen: dict[str, str] = {}
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        if name.lower() == "role":
-            role = value
-        elif name.lower() == "hidden":
-            hidden = True
-        else:
-            words.update(re.split(r"[^a-z0-9]+", value))
-    words.discard("")
-    outside = tag in OUTSIDE_TAGS or role in OUTSIDE_ROLES or hidden or (bool(words & OUTSIDE_WORDS) and tag not in ("body", "html", "article", "main"))
+        seen.setdefault(name.lower(), "".join(values))
+    marks = [w for name in ("class", "id") for w in seen.get(name, "").lower().split()]
+    role = seen.get("role", "").strip().lower()
+    if tag in ("html", "body", "main"):
+        outside = False
+    elif tag == "article":  # also what readers and advertisers write may stand in one
+        outside = any(w in COMMENT_WORDS or w in ADVERT_WORDS for w in marks)
+    else:
+        outside = any(map(_is_mark, marks))
+    outside = outside or tag in OUTSIDE_TAGS or role in OUTSIDE_ROLES or "hidden" in seen
+    words = {w for m in marks for w in re.split(r"[^a-z0-9]+", m)} - {""}
     named = [] if tag in ("html", "body") else sorted(w for w in words if not w.isdigit())  # theirs vary by page
     return ".".join([tag, *named]), outside, role == "main"
 
@@ -87,13 +108,17 @@ class Page:
         self.tree: list = ["#", [], []]
         stack = [("#", self.tree, False, 0)]  # tag, node, outside, part
         pieces: list[str] = []
+        unseen: list = []  # of an inline element that is outside the article: its tag, how often it is open, size of the stack
+
+        def add(text: str) -> None:
+            if not unseen:  # references do not go on over a tag
+                pieces.append(entities.unescape(text) if "&" in text else text)
 
         def flush() -> None:
             if pieces:
                 _, node, outside, part = stack[-1]
                 if not outside:
-                    whole = "".join(pieces)
-                    whole = " ".join((entities.unescape(whole) if "&" in whole else whole).split())
+                    whole = " ".join("".join(pieces).split())
                     if whole:
                         node[2].append(len(self.blocks))
                         self.blocks.append((whole, part))
@@ -103,10 +128,10 @@ class Page:
         while at < n:
             m = TOKEN.search(text, at)
             if m is None:
-                pieces.append(text[at:])
+                add(text[at:])
                 break
             if m.start() > at:
-                pieces.append(text[at:m.start()])
+                add(text[at:m.start()])
             at = m.end()
             tag = (m[2] or m[5] or "").lower()
             if not tag:
@@ -120,6 +145,13 @@ class Page:
             if tag == "br":
                 pieces.append(" ")
             if tag not in BLOCK:
+                if unseen:
+                    if tag == unseen[0]:
+                        unseen[1] += -1 if end else 1
+                        if not unseen[1]:
+                            unseen.clear()
+                elif not end and tag not in VOID and attributes and not attributes.rstrip().endswith("/") and _mark(tag, attributes)[1]:
+                    unseen[:] = [tag, 1, len(stack)]
                 continue
             flush()
             if tag in VOID:
@@ -129,6 +161,8 @@ class Page:
                     if stack[i][0] == tag:
                         del stack[i:]
                         break
+                if unseen and len(stack) < unseen[2]:  # its block has ended
+                    unseen.clear()
                 continue
             if any(s[0] == "p" for s in stack[-3:]):  # a block ends an open paragraph
                 for i in range(len(stack) - 1, 0, -1):
@@ -145,7 +179,9 @@ class Page:
                         break
             label, outside, is_main = _mark(tag, attributes)
             _, parent, above, part = stack[-1]
-            outside = above or outside or (tag == "header" and part < 2)
+            if unseen and len(stack) < unseen[2]:
+                unseen.clear()
+            outside = above or outside or bool(unseen) or (tag == "header" and part < 2)
             part = max(part, 2 if tag == "article" else 1 if tag == "main" or is_main else 0)
             if outside or len(stack) > MOST_DEPTH:
                 node = parent
@@ -177,56 +213,152 @@ def skeleton(page: Page) -> str:
     return json.dumps(plain(page.tree), separators=(",", ":"))
 
 
-def _size(node: list) -> int:
-    return 1 + sum(map(_size, node[1]))
+class _Shapes:
+    """Numbers for the distinct shapes of trees: (label, shapes of the children, nodes)."""
+
+    def __init__(self):
+        self.number: dict[tuple, int] = {}
+        self.of: list[tuple[str, tuple[int, ...], int]] = []
+
+    def add(self, tree: list) -> int:
+        """The shape of a tree; children before parents, without recursion."""
+        done: list[int] = []
+        todo = [(tree, False)]
+        while todo:
+            node, ready = todo.pop()
+            if not ready:
+                todo.append((node, True))
+                todo += [(c, False) for c in reversed(node[1])]
+                continue
+            n = len(node[1])
+            own = tuple(done[len(done) - n:])
+            del done[len(done) - n:]
+            key = (node[0], own)
+            if key not in self.number:
+                self.number[key] = len(self.of)
+                self.of.append((node[0], own, 1 + sum(self.of[c][2] for c in own)))
+            done.append(self.number[key])
+        return done[0]
 
 
 def align(a: list, b: list) -> dict[int, int]:
     """Simple tree matching of tree ``a`` with tree ``b``: node number of a (preorder) -> node number of b, so that
-    labels are equal, order and ancestry are kept, and the number of matched nodes is the largest."""
-    scores: dict[tuple[int, int], tuple[int, list]] = {}
+    labels are equal, order and ancestry are kept, and the number of matched nodes is the largest.
+
+    Subtrees of the same shape are compared once. Of two lists of children the common beginning and end match as they
+    are (never worse than any other match of theirs); the rest takes one vector step a child."""
+    shapes = _Shapes()
+    first, second = shapes.add(a), shapes.add(b)
+    known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
-    def match(x: list, i: int, y: list, j: int) -> int:
-        if x[0] != y[0]:
+    def match(x: int, y: int) -> int:
+        """The most nodes that match, roots included."""
+        if shapes.of[x][0] != shapes.of[y][0]:
             return 0
-        if (i, j) in scores:
-            return scores[i, j][0]
-        xs, ys = _numbered(x, i), _numbered(y, j)
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for p, (c, k) in enumerate(xs):
-            row, above = best[p + 1], best[p]
-            for q, (d, m) in enumerate(ys):
-                w = above[q] + match(c, k, d, m)
-                row[q + 1] = max(w, above[q + 1], row[q])
-        pairs, p, q = [], len(xs), len(ys)
-        while p and q:
-            w = match(xs[p - 1][0], xs[p - 1][1], ys[q - 1][0], ys[q - 1][1])
-            if w and best[p][q] == best[p - 1][q - 1] + w:
-                pairs.append((xs[p - 1], ys[q - 1]))
-                p, q = p - 1, q - 1
-            elif best[p][q] == best[p - 1][q]:
-                p -= 1
-            else:
-                q -= 1
-        scores[i, j] = (1 + best[-1][-1], pairs)
-        return scores[i, j][0]
+        if x == y:
+            return shapes.of[x][2]
+        if (x, y) not in known:
+            pairs = children(shapes.of[x][1], shapes.of[y][1])
+            known[x, y] = 1 + sum(match(shapes.of[x][1][i], shapes.of[y][1][j]) for i, j in pairs), pairs
+        return known[x, y][0]
+
+    def children(xs: tuple[int, ...], ys: tuple[int, ...]) -> list[tuple[int, int]]:
+        head = 0
+        while head < min(len(xs), len(ys)) and xs[head] == ys[head]:
+            head += 1
+        tail = 0
+        while tail < min(len(xs), len(ys)) - head and xs[-1 - tail] == ys[-1 - tail]:
+            tail += 1
+        ends = [(i, i) for i in range(head)] + [(len(xs) - k, len(ys) - k) for k in range(tail, 0, -1)]
+        xs, ys = xs[head:len(xs) - tail], ys[head:len(ys) - tail]
+        if xs and ys:
+            right, column = np.unique(np.array(ys), return_inverse=True)
+            left, row = np.unique(np.array(xs), return_inverse=True)
+            weights = np.array([[match(int(x), int(y)) for y in right] for x in left], dtype=np.int64)[:, column]
+            ends += [(head + i, head + j) for i, j in _best_pairs(weights, row.tolist(), 0, 0)]
+        return sorted(ends)
 
-    def collect(i: int, j: int) -> None:
+    out: dict[int, int] = {}
+    if not match(first, second):
+        return out
+    todo = [(first, 0, second, 0)]
+    while todo:
+        x, i, y, j = todo.pop()
         out[i] = j
-        for (_, k), (_, m) in scores[i, j][1]:
-            collect(k, m)
+        xs, ys = shapes.of[x][1], shapes.of[y][1]
+        at, to = _starts(shapes, xs, i), _starts(shapes, ys, j)
+        pairs = zip(range(len(xs)), range(len(xs)), strict=True) if x == y else known[x, y][1]
+        todo += [(xs[p], at[p], ys[q], to[q]) for p, q in pairs if match(xs[p], ys[q])]
+    return out
 
-    out: dict[int, int] = {}
-    if match(a, 0, b, 0):
-        collect(0, 0)
+
+def _starts(shapes: _Shapes, children: tuple[int, ...], number: int) -> list[int]:
+    """The preorder numbers of the children of node ``number``."""
+    out, at = [], number + 1
+    for c in children:
+        out.append(at)
+        at += shapes.of[c][2]
     return out
 
 
-def _numbered(node: list, number: int) -> list[tuple[list, int]]:
+MOST_CELLS = 1 << 20  # of a table of scores that is held whole
+
+
+def _best_pairs(weights: np.ndarray, rows: list[int], top: int, left: int) -> list[tuple[int, int]]:
+    """The pairs (row, column) in rising order with the largest total of ``weights[rows[row]][column]``. A table over
+    MOST_CELLS is cut in two at the column through which a best path goes (Hirschberg's method), so memory is bounded."""
+    n, m = len(rows), weights.shape[1]
+
+    def forward(ws: np.ndarray, order: list[int], keep: list | None = None) -> np.ndarray:
+        last = np.zeros(m + 1, dtype=np.int64)
+        for r in order:
+            new = last.copy()
+            np.maximum.accumulate(np.maximum(last[1:], last[:-1] + ws[r]), out=new[1:])
+            last = new
+            if keep is not None:
+                keep.append(last)
+        return last
+
+    if not n or not m:
+        return []
+    if n > 1 and n * m > MOST_CELLS:
+        half = n // 2
+        up, down = forward(weights, rows[:half]), forward(weights[:, ::-1], rows[:half - 1:-1])
+        cut = int((up + down[::-1]).argmax())
+        return _best_pairs(weights[:, :cut], rows[:half], top, left) + _best_pairs(weights[:, cut:], rows[half:], top + half, left + cut)
+    best = [np.zeros(m + 1, dtype=np.int64)]
+    forward(weights, rows, best)
+    out, p, q = [], n, m
+    while p and q:
+        w = weights[rows[p - 1]][q - 1]
+        if w and best[p][q] == best[p - 1][q - 1] + w:
+            out.append((top + p - 1, left + q - 1))
+            p, q = p - 1, q - 1
+        elif best[p][q] == best[p - 1][q]:
+            p -= 1
+        else:
+            q -= 1
+    return out[::-1]
+
+
+def _numbered(node: list, number: int, sizes: dict[int, int]) -> list[tuple[list, int]]:
     out, at = [], number + 1
     for c in node[1]:
         out.append((c, at))
-        at += _size(c)
+        at += sizes[id(c)]
+    return out
+
+
+def _sizes(tree: list) -> dict[int, int]:
+    """Nodes of every subtree, by the identity of its root."""
+    order, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += node[1]
+    out: dict[int, int] = {}
+    for node in reversed(order):
+        out[id(node)] = 1 + sum(out[id(c)] for c in node[1])
     return out
 
 
@@ -266,7 +398,7 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             elif (h, lay) == key:
                 own = json.loads(tree)
                 nodes = align(own, reference)
-                todo, empty = [(own, 0, 0)], set()
+                todo, empty, sizes = [(own, 0, 0)], set(), _sizes(own)
                 while todo:
                     node, i, above = todo.pop()
                     path = _hash(f"{above}/{node[0]}")
@@ -274,7 +406,7 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     out += [(h, k, at, block, text, words) for block, text, words in node[2] for at in same]
                     if not node[2]:
                         empty.update(same)
-                    todo += [(c, j, path) for c, j in _numbered(node, i)]
+                    todo += [(c, j, path) for c, j in _numbered(node, i, sizes)]
                 out += [(h, k, at, -1, 0, 0) for at in empty]
         yield pd.DataFrame(out, columns=["host", "k", "node", "block", "hash", "words"]).astype({c: "int64" for c in ("k", "node", "block", "hash", "words")})
 

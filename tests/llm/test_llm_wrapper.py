@@ -1,7 +1,9 @@
 """Main text: planted layouts, the bundled pages, template induction."""
 
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -106,3 +108,72 @@ def test_bundled_pages(spark):
 
 def test_empty_table(spark):
     assert wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_marks_are_whole_names_in_their_own_attributes():
+    body = "<p>First words.</p><p>Second words.</p>"
+    for wrap in ('<div class="content has-sidebar">', '<div class="no-sidebar">', '<div title="the hidden truth">', "<div data-x='class=ad'>", '<div title=" id=footer ">',
+                 '<div class="advice">', '<section id="related-work">', '<div class="share-price">', '<div data-role="navigation">', '<div class="below-navbar">'):
+        close = "</" + wrap[1:].split()[0] + ">"
+        assert text(f"<article>{wrap}{body}{close}</article>") == "First words.\nSecond words.", wrap
+        assert text(f"{wrap}<article>{body}</article>{close}") == "First words.\nSecond words.", wrap
+    for wrap in ('<div class="site-nav">', "<div class=sidebar-left>", '<div class="x Cookie-Notice">', '<section id="comments">', '<div class="comment-list">', '<div hidden>',
+                 '<div role="Navigation ">', '<div class="top_ad">', '<div class="related-posts">', '<article class="comment">', '<article class="story promo">'):
+        close = "</" + wrap[1:].split()[0].rstrip(">") + ">"
+        assert text(f"<article>{body}{wrap}<p>Not this.</p>{close}</article>") == "First words.\nSecond words.", wrap
+    assert text('<article class="comment"><p>Reader.</p></article><article><p>Story.</p></article><article class="comment"><p>Other.</p></article>') == "Story."
+    assert text('<body class="comment nav"><main id="menu"><p>Story.</p></main></body>') == "Story."
+
+
+def test_inline_marks():
+    assert text('<article><p>One <span class="advert">Buy <b>now</b> <span>here</span>!</span>two.</p><p>Three</p></article>') == "One two.\nThree"
+    assert text('<article><p>One <span class="advert">never closed</p><p>Two</p></article>') == "One\nTwo"
+    assert text('<article><a class="ad"><div>Buy</div><p>it</p></a><p>Two</p></article>') == "Two"
+    assert text('<article><p>x<img class="ad">y<br class="ad">z</p></article>') == "xy z"
+
+
+def test_references_end_at_tags():
+    assert text("<p>AT&<b>amp;</b> T&amp;<i>lt;</i> &am<!-- x -->p; a&amp;b</p>") == "AT&amp; T&lt; &amp; a&b"
+
+
+def plain_align(a, b):
+    """The most matched nodes, by the textbook recursion."""
+    if a[0] != b[0]:
+        return 0
+    best = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+    for p, c in enumerate(a[1]):
+        for q, d in enumerate(b[1]):
+            best[p + 1][q + 1] = max(best[p][q] + plain_align(c, d), best[p][q + 1], best[p + 1][q])
+    return 1 + best[-1][-1]
+
+
+@pytest.mark.parametrize("most_cells", [1 << 20, 3])
+def test_align_is_optimal(monkeypatch, most_cells):
+    rng = random.Random(5)
+    monkeypatch.setattr(wrapper, "MOST_CELLS", most_cells)
+
+    def tree(depth):
+        return [rng.choice("xy") if depth < 4 else "#", [tree(depth - 1) for _ in range(rng.randint(0, 5))] if depth else [], []]
+
+    def flat(t, parent, out):
+        out.append((t[0], parent))
+        me = len(out) - 1
+        for c in t[1]:
+            flat(c, me, out)
+        return out
+
+    for _ in range(150):
+        a, b = tree(4), tree(4)
+        got = wrapper.align(a, b)
+        fa, fb = flat(a, -1, []), flat(b, -1, [])
+        assert len(got) == plain_align(a, b)
+        assert all(fa[i][0] == fb[j][0] and (i == 0 or got[fa[i][1]] == fb[j][1]) for i, j in got.items())
+        pairs = sorted(got.items())
+        assert all(x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+
+
+def test_align_of_long_pages_is_fast():
+    page = lambda n, k: wrapper.Page("<article>" + "".join(f"<h2>t{i}</h2><p>words {i}</p>" + ("<ul><li>x</li></ul>" if i % k == 0 else "") for i in range(n)) + "</article>").tree
+    start = time.time()
+    assert len(wrapper.align(page(5000, 7), page(5000, 5))) > 10_000
+    assert time.time() - start < 4
