@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import ann, fim, lexical, mixing, oracles, packing, pii, pivots, quality, superminhash, tokens, urls, warc, wrapper
-from cohortlens.llm.util import table
+from cohortlens.llm.util import bounded_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: The other queries (checksums, tokenizers, fitted models, hash orders, parsers) are held against brute force in tests/llm.
@@ -16,8 +17,13 @@ ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query

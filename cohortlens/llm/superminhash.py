@@ -10,7 +10,8 @@
   (1 - 0.8^4)^24 = 3e-6.
 * Links are confirmed on full sets: first of every member of a bucket with the bucket's least member, then,
   within buckets whose members are in more than one group yet, of all other pairs between groups whose
-  sizes and signatures allow the similarity, in bounded blocks that give links alone. Pairs within a group need no check.
+  sizes and signatures allow the similarity, in bounded blocks that give links alone: first over signatures, which tell the rows that
+  take part in such a pair; only their texts are moved. Pairs within a group need no check.
   No bucket is capped, and no pair of different groups that shares a bucket stays unchecked. The signature
   test (at least ``LEAST_EQUAL`` of 97 slots) is 5 standard deviations below what a linked pair has.
 * Groups are connected components by alternating large-star and small-star rounds, a distributed union-find.
@@ -22,6 +23,7 @@ null id are left alone (component null, kept); repeated rows and ties fall to th
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,11 +39,12 @@ from cohortlens.session import materialize
 SHINGLE, PERCENT = 4, 80
 SLOTS, BANDS, ROWS = 97, 24, 4
 LEAST_EQUAL = 57
-BLOCK_BYTES = 1 << 20  # text handled at once in a task
+BLOCK_BYTES = 1 << 18  # text handled at once in a task; NumPy takes about 80 bytes a byte of it
 BROADCAST_IDS = 1 << 21  # ids (8 bytes each) that may be broadcast to pick texts by
 GROUP_ROWS = 256  # members of one leader, or of one side of a block of pairs, in a group
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
+_WHITE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
@@ -55,17 +58,34 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((int(_BASE), pow(int(_BASE), -1, 1 << 64))):
-            a = np.full(n, b, dtype=_U)
-            a[0] = 1
-            _powers[k] = np.cumprod(a)
-    return _powers
+    """Powers of the base and of its inverse modulo 2^64. Kept up to twice the usual block; more only for a huge word."""
+    if len(_powers[0]) >= n:
+        return _powers
+    new = []
+    for b in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+        a = np.full(n, b, dtype=_U)
+        a[0] = 1
+        new.append(np.cumprod(a))
+    if n <= 2 * BLOCK_BYTES:
+        _powers[:] = new
+    return new
 
 
 def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of every word, A-Z as a-z: a polynomial over its bytes from one running sum over the text."""
+    """(hash, start) of every word, A-Z as a-z. A long text is handled in pieces, cut at white space."""
+    parts, at = [], 0
+    while True:
+        cut = _WHITE.search(text, at + BLOCK_BYTES) if len(text) - at > BLOCK_BYTES else None
+        end = cut.start() if cut else len(text)
+        hashes, first = _word_hashes(text[at:end])
+        parts.append((hashes, first + at))
+        at = end
+        if at >= len(text):
+            return np.concatenate([h for h, _ in parts]), np.concatenate([f for _, f in parts])
+
+
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A polynomial over each word's bytes from one running sum over the text."""
     a = np.frombuffer(text.lower(), dtype=np.uint8)
     edge = np.diff(np.concatenate(([0], (~_SPACE[a]).astype(np.int8), [0])))
     first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -164,53 +184,70 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataF
     return rows.mapInPandas(partial(_confirm, shingle=shingle), "a long, b long")
 
 
+def _likely(x, y, band, block, comp, n, sig) -> list[tuple[int, int, int]]:
+    """(- equal slots, i, j) of the pairs between groups in one block of pairs that sizes and signatures allow. A pair
+    belongs to the first band that it shares."""
+    lanes = np.ascontiguousarray(sig[:, :BANDS * ROWS]).view("<u8")
+    left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    out = []
+    for k, i in enumerate(left):
+        other = right[k + 1:] if x == y else right
+        other = other[(comp[other] != comp[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
+        equal, same = (sig[other] == sig[i]).sum(axis=1), lanes[other] == lanes[i]
+        ok = (equal >= LEAST_EQUAL) & (same.argmax(axis=1) == band) & same.any(axis=1)
+        out += [(-e, i, j) for e, j in zip(equal[ok], other[ok], strict=True)]
+    return out
+
+
+def _blocks_of_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The groups of rows sorted by (key, x, y), with two rows at least."""
+    rest = None
+    for batch in batches:
+        rest = pd.concat([rest, batch], ignore_index=True) if rest is not None else batch
+        where = rest[["key", "x", "y"]].to_numpy()
+        cuts = [0, *(np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b - a > 1:
+                yield rest.iloc[a:b]
+        rest = rest.iloc[cuts[-1]:].reset_index(drop=True)  # its group may go on in the next batch
+    if rest is not None and len(rest) > 1:
+        yield rest
+
+
+def _pairs_of(rows: pd.DataFrame) -> list[tuple[int, int, int]]:
+    sig = np.frombuffer(b"".join(rows["sig"]), "<u2").reshape(len(rows), SLOTS)
+    x, y, band = (rows[c].iloc[0] for c in ("x", "y", "band"))
+    return _likely(x, y, band, *[rows[c].to_numpy() for c in ("block", "comp", "n")], sig)
+
+
+def _involved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each block of pairs, the rows that are in a likely pair between groups."""
+    for rows in _blocks_of_pairs(batches):
+        found = sorted({i for _, *pair in _pairs_of(rows) for i in pair})
+        if found:
+            yield rows.iloc[found]
+
+
 def _close(batches: Iterator[pd.DataFrame], shingle: int = SHINGLE) -> Iterator[pd.DataFrame]:
-    """Sorted rows (key, x, y, band, block, id, comp, n, sig, text): links between different groups, block by block.
-
-    A pair is looked at in the first band that it shares, the likeliest first, and only while the rows' groups
-    are not yet joined within the block."""
-    def links(x, y, band, block, ids, comp, n, sig, texts) -> list[tuple[int, int]]:
-        sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in texts], shingle)
-        lanes = np.ascontiguousarray(sig[:, :BANDS * ROWS]).view("<u8")
-        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-        likely = []
-        for k, i in enumerate(left):
-            other = right[k + 1:] if x == y else right
-            other = other[(comp[other] != comp[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
-            equal, same = (sig[other] == sig[i]).sum(axis=1), lanes[other] == lanes[i]
-            ok = (equal >= LEAST_EQUAL) & (same.argmax(axis=1) == band) & same.any(axis=1)
-            likely += [(-e, i, j) for e, j in zip(equal[ok], other[ok], strict=True)]
+    """Sorted rows (key, x, y, band, block, id, comp, n, sig, text): links between different groups, block by block,
+    the likeliest pairs first, and only while the rows' groups are not yet joined within the block."""
+    for rows in _blocks_of_pairs(batches):
+        ids, comp = rows["id"].to_numpy(), rows["comp"].to_numpy()
+        sets = [s for _, texts in blocks(rows["text"], BLOCK_BYTES) for s in shingle_sets(texts, shingle)]
         group = {c: c for c in comp}
 
-        def find(c):
+        def find(c, group=group):
             while group[c] != c:
                 group[c] = c = group[group[c]]
             return c
 
         out = []
-        for _, i, j in sorted(likely):
+        for _, i, j in sorted(_pairs_of(rows)):
             a, b = find(comp[i]), find(comp[j])
             if a != b and _linked(sets[i], sets[j]):
                 group[a] = b
                 out.append((ids[i], ids[j]))
-        return out
-
-    def found(rows: pd.DataFrame, cuts) -> pd.DataFrame:
-        x, y, band, *arrays = (rows[c].to_numpy() for c in ("x", "y", "band", "block", "id", "comp", "n"))
-        sig = np.frombuffer(b"".join(rows["sig"]), "<u2").reshape(len(rows), SLOTS)
-        texts = rows["text"].to_numpy()
-        got = [p for a, b in cuts if b - a > 1 for p in links(x[a], y[a], band[a], *[v[a:b] for v in (*arrays, sig, texts)])]
-        return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
-
-    rest = None
-    for batch in batches:
-        rest = pd.concat([rest, batch], ignore_index=True) if rest is not None else batch
-        where = rest[["key", "x", "y"]].to_numpy()
-        cuts = [0, *(np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1)]
-        yield found(rest, zip(cuts, cuts[1:], strict=False))
-        rest = rest.iloc[cuts[-1]:].reset_index(drop=True)  # its group may go on in the next batch
-    if rest is not None and len(rest):
-        yield found(rest, [(0, len(rest))])
+        yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -245,12 +282,13 @@ def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: i
     # Buckets that still hold more than one group: the pairs of others than the leader.
     grouped = members.join(comp, members["id"] == comp["node"], "left").select("key", "band", "n_members", "id", F.coalesce("component", "id").alias("comp"))
     open_keys = grouped.where("n_members > 2").groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key")
-    rest = grouped.join(open_keys, "key", "left_semi").join(sig, "id").join(texts, "id")
+    rest = grouped.join(open_keys, "key", "left_semi").join(sig, "id")
     n_blocks = F.ceil(F.col("n_members") / GROUP_ROWS).cast("int")
     rest = rest.withColumn("block", F.pmod(F.hash("id"), n_blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "band", "block", "id", "comp", "n", "sig", "text")
-    rest = rest.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
-    more = materialize(rest.mapInPandas(partial(_close, shingle=shingle), "a long, b long"), "dedup-more")
+    rest = rest.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "band", "block", "id", "comp", "n", "sig")
+    dealt = lambda df: df.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
+    involved = materialize(dealt(rest).mapInPandas(_involved, rest.schema), "dedup-involved")
+    more = materialize(dealt(involved.join(texts, "id")).mapInPandas(partial(_close, shingle=shingle), "a long, b long"), "dedup-more")
     if not more.isEmpty():
         comp = _components(links.unionByName(more))
     out = reps.join(comp, reps["rep"] == comp["node"], "left")

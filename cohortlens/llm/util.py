@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 WHITE = b" \t\n\x0b\x0c\r"  # the white space of [^\x20\x09-\x0D]+, which is also what bytes.split() splits on
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Arrow batches of texts are bounded by bytes too, unless the session has a bound of its own."""
+    if BATCH_BYTES not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(BATCH_BYTES, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -98,6 +98,18 @@ def test_blocks_find_what_stars_miss(spark):
     frame["key"] = frame["band"]
     got = pd.concat(list(smh._close(iter([frame[:2], frame[2:]]))))  # a group goes on in the next batch
     assert got.values.tolist() == [[1, 2]]
+    rest = pd.concat(list(smh._involved(iter([frame[:2].drop(columns="text"), frame[2:].drop(columns="text")]))))
+    assert rest[["key", "id"]].values.tolist() == [[band, 1], [band, 2]]  # only their texts are moved
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(["a", "Bc", "def\t", "é", "x" * 900], k=k)).encode() for k in (1, 50, 4000)] + [b"", b" " * 5000, b"y" * 9000]
+    whole = smh.shingle_sets(texts)
+    monkeypatch.setattr(smh, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(smh, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, smh.shingle_sets(texts), strict=True))
+    assert len(smh._powers[0]) <= 600  # a huge word's powers are not kept
 
 
 def test_signature_estimates_similarity():
