@@ -1,4 +1,4 @@
-"""K-Means: assignment (ML1a), Lloyd from given centers (ML1b), library fit with restarts (ML1),
+"""K-Means: assignment (ML1a), Lloyd from given centers (ML1b), fits with restarts (ML1),
 convergence flag (ML2), k-sweep (ML3) and best k (ML4).
 
 Centers are model-sized (k x d numbers): like Spark ML's own K-Means, each iteration runs one
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.vectors import nearest
+from cohortlens.operators.kmeans_many import fit_many
 
 
 EXPR_CENTERS = 32  # up to this many centers the nearest-center search is one codegen expression
@@ -123,35 +124,31 @@ def canonical_order(centers: Sequence[Sequence[float]]) -> list[int]:
     return mapping
 
 
-def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, restarts: int = 10,
-               max_iter: int = 300, tol: float = 1e-4) -> dict:
-    """ML1 + ML2: ``pyspark.ml`` K-Means (k-means||) over several seeds; keeps the least cost.
+def _ordered(fit: dict) -> dict:
+    """A fit with its centers in canonical order."""
+    centers = fit["centers"]
+    return {**fit, "centers": [c for _, c in sorted(zip(canonical_order(centers), centers, strict=True))]}
 
-    Returns centers renumbered canonically (ascending), training cost, iterations and a
-    converged flag (numIter < maxIter).
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
 
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_features").transform(df.select(*cols))
-    vec = vec.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
+def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 42, restarts: int = 10, max_iter: int = 300,
+                    tol: float = 1e-4, id_col: str | None = None) -> dict[int, dict]:
+    """ML1 + ML2 for several k: all restarts of all k in the same scans; of each k the fit of least cost."""
+    vec = df.select(*([id_col] if id_col else []), *cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for r in range(restarts):
-            model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="_features").fit(vec)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0] - 1e-12:
-                best = (cost, model)
+        fits = fit_many(vec, cols, [(k, seed + r) for k in ks for r in range(restarts)], id_col, max_iter, tol)
     finally:
         vec.unpersist()
-    cost, model = best
-    centers = [list(map(float, c)) for c in model.clusterCenters()]
-    mapping = canonical_order(centers)
-    ordered = [None] * len(centers)
-    for old, new in enumerate(mapping):
-        ordered[new] = centers[old]
-    n_iter = model.summary.numIter
-    return {"centers": ordered, "inertia": float(cost), "n_iter": int(n_iter), "converged": n_iter < max_iter, "k": k}
+    return {k: _ordered(min((f for (own, _), f in fits.items() if own == k), key=lambda f: f["inertia"])) for k in ks}
+
+
+def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, restarts: int = 10,
+               max_iter: int = 300, tol: float = 1e-4, id_col: str | None = None) -> dict:
+    """ML1 + ML2: K-Means (k-means|| starts) over several seeds; keeps the least cost.
+
+    Returns centers renumbered canonically (ascending), inertia, iterations and a converged flag
+    (false if the centers still moved after ``max_iter``).
+    """
+    return fit_kmeans_many(df, cols, [k], seed, restarts, max_iter, tol, id_col)[k]
 
 
 def lloyd_sql(scaled: str, id_col: str, cols: Sequence[str], k: int, iterations: int, prefix: str = "") -> str:
@@ -184,28 +181,26 @@ def lloyd_sql(scaled: str, id_col: str, cols: Sequence[str], k: int, iterations:
 
 def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fit: str = "lloyd",
           iterations: int = 3, seed: int = 42, restarts: int = 10, max_iter: int = 300,
-          silhouette: bool | str = True, parallelism: int = 4) -> DataFrame:
+          silhouette: bool | str = True) -> DataFrame:
     """ML3: one row per k (k, wcss, silhouette, davies_bouldin, calinski_harabasz, warning).
 
     ``fit='lloyd'``: ML1b from the k rows with the smallest ids (deterministic, oracle-checked);
-    ``fit='library'``: ML1 (k-means|| with restarts; ``parallelism`` fits are submitted at a time). A k that
+    ``fit='library'``: ML1 (k-means|| with restarts, all of all k in the same scans). A k that
     the rows do not admit (fewer rows than k) keeps its row, with null scores and a warning; every
-    other error ends the sweep. ``silhouette``: True or "exact", "squared" (linear), or False.
+    other error ends the sweep. ``silhouette``: True or "exact", "sampled", "squared" (linear), or False.
     ``df`` should be persisted by the caller.
     """
     from cohortlens.operators import metrics as M
 
-    from concurrent.futures import ThreadPoolExecutor
-
     centers, failed = {}, {}
     if fit == "lloyd":  # all k share each iteration's scan; the k seeds are the max(k) smallest ids
         seeds = first_rows_as_centers(df, id_col, cols, max(ks)) if ks else []
         centers = lloyd_many(df, cols, {k: seeds[:k] for k in ks if len(seeds) >= k}, iterations)
     else:
         n = df.count()
-        with ThreadPoolExecutor(parallelism) as pool:
-            fits = pool.map(lambda k: (k, fit_kmeans(df, cols, k, seed=seed, restarts=restarts, max_iter=max_iter)["centers"]), [k for k in ks if k <= n])
-            centers = dict(fits)
+        wanted = [k for k in ks if k <= n]
+        fits = fit_kmeans_many(df, cols, wanted, seed, restarts, max_iter, id_col=id_col) if wanted else {}
+        centers = {k: f["centers"] for k, f in fits.items()}
     failed = {k: f"fewer than {k} rows" for k in ks if k not in centers}
     # every k's labels as one column each: the scores of all k share their scans
     labelled = df.select(id_col, *cols, *[nearest_columns(cols, centers[k])[0].cast("int").alias(f"_c{k}") for k in centers])
@@ -218,6 +213,8 @@ def sweep(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], fi
     scored = [k for k, (_, sc) in fits.items() if sc["n_labels"] >= 2]
     if silhouette == "squared":
         sil = {k: M.silhouette_squared(labelled, cols, f"_c{k}") for k in scored}
+    elif silhouette == "sampled":
+        sil = {k: M.silhouette_sampled(labelled, id_col, cols, f"_c{k}").first()["silhouette"] for k in scored}
     elif silhouette and scored:
         for r in M.silhouettes_exact(labelled, id_col, cols, [f"_c{k}" for k in scored]).collect():
             sil[int(r["labelling"][2:])] = r["silhouette"]

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.session import materialize
@@ -184,11 +184,120 @@ def silhouettes_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = N
             .select(names[F.col("lab")].alias("labelling"), "silhouette", "n_rows", F.lit("exact").alias("mode")))
 
 
+DIRECT_BLOCKS = 4
+PRUNE_NUMBERS = 1 << 21  # numbers of a centroid table that tasks may hold; beyond it no cluster is left out
+
+
+def _labelled_vectors(df: DataFrame, id_col: str, cols: Sequence[str] | None, cluster: str, vector: str | None) -> DataFrame:
+    x = F.col(vector).cast("array<double>") if vector else F.array(*_cols(cols))
+    return df.select(F.col(id_col).alias("id"), F.col(cluster).cast("long").alias("c"), x.alias("x"))
+
+
+def _needed_clusters(labels: np.ndarray, centers: np.ndarray, spread: np.ndarray):
+    """For rows (x, c): the labels of the own cluster and of those that may have the least mean distance.
+
+    The mean distance of a row to a cluster is at least its distance g to the centroid and at most sqrt(g^2 + spread), spread
+    being the cluster's mean squared distance to its centroid. Clusters whose least value is above the best largest one are out."""
+    step = max(1, (1 << 21) // max(1, len(labels)))
+
+    @F.pandas_udf("array<long>")
+    def needed(x: pd.Series, c: pd.Series) -> pd.Series:
+        out = []
+        for lo in range(0, len(x), step):
+            part, own = np.stack(x.iloc[lo:lo + step].to_numpy()).astype(np.float64), c.iloc[lo:lo + step].to_numpy()
+            g2 = np.zeros((len(part), len(labels)))
+            for i in range(part.shape[1]):
+                g2 += (part[:, i, None] - centers[None, :, i]) ** 2
+            mine = own[:, None] == labels[None, :]
+            least = np.where(mine, np.inf, np.sqrt(g2 + spread)).min(axis=1, initial=np.inf)
+            keep = mine | (np.sqrt(g2) <= least[:, None] * (1 + 1e-9) + 1e-12)
+            out += [labels[k] for k in keep]
+        return pd.Series(out)
+    return needed
+
+
+def _distance_sums(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """The summed distances of every left row to the rows of one block of a cluster."""
+    if left.empty or right.empty:
+        return pd.DataFrame({"id": [], "own": [], "other": [], "sum_d": []})
+    a, b = np.stack(left["x"].to_numpy()).astype(np.float64), np.stack(right["x"].to_numpy()).astype(np.float64)
+    nb, sums = (b * b).sum(axis=1)[None, :], np.empty(len(a))
+    for lo in range(0, len(a), TILE_ROWS):
+        part = a[lo:lo + TILE_ROWS]
+        d2 = (part * part).sum(axis=1)[:, None] + nb - 2.0 * (part @ b.T)
+        sums[lo:lo + TILE_ROWS] = np.sqrt(np.maximum(d2, 0.0)).sum(axis=1)
+    return pd.DataFrame({"id": left["id"], "own": left["own"], "other": key[0], "sum_d": sums})
+
+
+def silhouette_pairs(rows: DataFrame, asked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """For rows (id, c, x): the clusters that each asked row (all rows by default) must meet, as (id, own, x, other), and the
+    cluster sizes (c, n). Written tables."""
+    d = rows.select(F.size("x")).first()
+    d = d[0] if d else 0
+    size = F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v)
+    per = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.avg(size).alias("q"), *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(d)])
+    per = materialize(per, "silhouette-centroids")
+    asked = rows if asked is None else asked
+    if per.count() * (d + 1) <= PRUNE_NUMBERS:
+        table = per.orderBy("c").toPandas()
+        center, q = table[[f"m{i}" for i in range(d)]].to_numpy(), table["q"].to_numpy()
+        spread = np.maximum(q - (center * center).sum(axis=1), 0) + 1e-9 * q  # never too small
+        others = F.explode(_needed_clusters(table["c"].to_numpy(dtype=np.int64), center, spread)("x", "c")).alias("other")
+        met = asked.select("id", F.col("c").alias("own"), "x", others)
+    else:
+        met = asked.select("id", F.col("c").alias("own"), "x").crossJoin(per.select(F.col("c").alias("other")))
+    return materialize(met, "silhouette-pairs"), per.select("c", "n")
+
+
+def silhouette_rows(rows: DataFrame, asked: DataFrame | None = None, block_rows: int = 4096) -> DataFrame:
+    """(id, own, s): the silhouette of the asked rows among ``rows`` (id, c, x).
+
+    A row meets its own cluster and the clusters that may be its nearest (``silhouette_pairs``). Clusters and the rows that
+    meet them are cut into blocks of about ``block_rows``; a task holds one pair of blocks and emits one sum a row."""
+    met, sizes = silhouette_pairs(rows, asked)
+    blocks = sizes.join(met.groupBy("other").agg(F.count(F.lit(1)).alias("m")), F.col("c") == F.col("other")).select(
+        F.col("c").alias("other"), F.ceil(F.col("n") / block_rows).cast("int").alias("nb"), F.ceil(F.col("m") / block_rows).cast("int").alias("mb"))
+    dealt = lambda b: F.pmod(F.xxhash64("id"), F.col(b)).cast("int")
+    every = lambda b: F.explode(F.sequence(F.lit(0), F.col(b) - 1))
+    left = met.join(blocks, "other").withColumn("a", dealt("mb")).withColumn("b", every("nb")).select("other", "a", "b", "id", "own", "x")
+    right = rows.withColumnRenamed("c", "other").join(blocks, "other").withColumn("b", dealt("nb")).withColumn("a", every("mb")).select("other", "a", "b", "x")
+    id_type = rows.schema["id"].dataType.simpleString()
+    tiles = left.groupBy("other", "a", "b").cogroup(right.groupBy("other", "a", "b")).applyInPandas(_distance_sums, f"id {id_type}, own long, other long, sum_d double")
+    per = tiles.groupBy("id", "own", "other").agg(F.sum("sum_d").alias("sum_d")).join(sizes, F.col("other") == F.col("c"))
+    mine = F.col("own") == F.col("other")
+    one = per.groupBy("id", "own").agg(F.max(F.when(mine, F.col("sum_d"))).alias("own_sum"), F.max(F.when(mine, F.col("n"))).alias("own_n"),
+                                       F.min(F.when(~mine, F.col("sum_d") / F.col("n"))).alias("b"))
+    a, b = F.col("own_sum") / (F.col("own_n") - 1), F.col("b")
+    s = F.when((F.col("own_n") <= 1) | b.isNull() | (F.greatest(a, b) == 0), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    return one.select("id", "own", s.alias("s"))
+
+
 def silhouette_exact(df: DataFrame, id_col: str, cols: Sequence[str] | None = None, cluster: str = "cluster",
                      vector: str | None = None, block_rows: int = 4096) -> DataFrame:
-    """MT2 (exact, Euclidean): mean silhouette over all rows; noise (-1) counts as a cluster.
-    Returns one row (silhouette, n_rows, mode); see ``silhouettes_exact``."""
-    return silhouettes_exact(df, id_col, cols, [cluster], vector, block_rows).drop("labelling")
+    """MT2 (exact, Euclidean): mean silhouette over all rows; noise (-1) counts as a cluster. One row (silhouette, n_rows,
+    mode). Clusters that cannot be a row's nearest are proven so by their centroids and not compared (``silhouette_pairs``).
+    Tables of at most DIRECT_BLOCKS blocks, whose pairs cost less than that proof's jobs, are compared in full: the same value."""
+    if df.count() <= DIRECT_BLOCKS * block_rows:
+        return silhouettes_exact(df, id_col, cols, [cluster], vector, block_rows).drop("labelling")
+    rows = materialize(_labelled_vectors(df, id_col, cols, cluster, vector), "silhouette-rows")
+    return silhouette_rows(rows, block_rows=block_rows).agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n_rows")).withColumn("mode", F.lit("exact"))
+
+
+def silhouette_sampled(df: DataFrame, id_col: str, cols: Sequence[str] | None = None, cluster: str = "cluster", vector: str | None = None,
+                       per_cluster: int = 1000, seed: int = 42, block_rows: int = 4096) -> DataFrame:
+    """MT2 (``sampled`` mode, asked for by name): the exact silhouettes, among all rows, of ``per_cluster`` rows of each cluster
+    (by hash of seed and id), weighted by cluster sizes. One row (silhouette, n_rows, mode, n_sampled, standard_error)."""
+    rows = materialize(_labelled_vectors(df, id_col, cols, cluster, vector), "silhouette-rows")
+    order = F.row_number().over(Window.partitionBy("c").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
+    asked = materialize(rows.withColumn("__r", order).where(F.col("__r") <= per_cluster).drop("__r"), "silhouette-sample")
+    sizes = rows.groupBy(F.col("c").alias("own")).agg(F.count(F.lit(1)).alias("n"))
+    strata = silhouette_rows(rows, asked, block_rows).groupBy("own").agg(
+        F.count(F.lit(1)).alias("m"), F.avg("s").alias("mean"), F.coalesce(F.var_samp("s"), F.lit(0.0)).alias("v")).join(sizes, "own")
+    total = F.sum("n").alias("n_rows")
+    error = F.sum(F.col("n") * F.col("n") * F.when(F.col("m") > 1, F.col("v")).otherwise(0.0) / F.col("m") * (1 - F.col("m") / F.col("n")))
+    return strata.agg(total, F.sum(F.col("n") * F.col("mean")).alias("__s"), F.sum("m").alias("n_sampled"), error.alias("__e")).select(
+        (F.col("__s") / F.col("n_rows")).alias("silhouette"), "n_rows", F.lit("sampled").alias("mode"), "n_sampled",
+        (F.sqrt("__e") / F.col("n_rows")).alias("standard_error"))
 
 
 def silhouette_squared(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> float:
@@ -206,22 +315,32 @@ def adjusted_rand(labels: DataFrame, truth: DataFrame, id_col: str, cluster: str
     """MT5: ARI of a labelling against a truth table, matched by id (never by position).
 
     Contingency = groupBy(truth, cluster).count on the id join; marginals and the pair counts
-    are aggregates over that (labels x clusters)-sized table. Doubles avoid LONG overflow of n^4.
+    are aggregates over that (labels x clusters)-sized table. Pair counts and their products are exact
+    integers of 38 digits, which hold n^4 up to n = 2 * 10^9.
     """
     j = labels.select(id_col, cluster).join(truth.select(id_col, truth_col), id_col)
-    cont = j.groupBy(truth_col, cluster).agg(F.count(F.lit(1)).cast("double").alias("nij"))
+    return ari_of_contingency(j.groupBy(truth_col, cluster).agg(F.count(F.lit(1)).alias("nij")), cluster, truth_col)
+
+
+def ari_of_contingency(cont: DataFrame, cluster: str = "cluster", truth_col: str = "truth") -> DataFrame:
+    """(n_matched, ari) of a table (truth, cluster, nij)."""
+    whole = lambda c: c.cast("decimal(38,0)")
+    cont = cont.withColumn("nij", whole(F.col("nij")))
     a = cont.groupBy(truth_col).agg(F.sum("nij").alias("ai"))
     b = cont.groupBy(cluster).agg(F.sum("nij").alias("bj"))
-    sum_a2 = a.select(F.sum(F.col("ai") * F.col("ai"))).scalar()
-    sum_b2 = b.select(F.sum(F.col("bj") * F.col("bj"))).scalar()
-    tot = cont.agg(F.sum("nij").alias("n"), F.sum(F.col("nij") * F.col("nij")).alias("s2"))
+    square = lambda c: whole(F.sum(whole(whole(F.col(c)) * whole(F.col(c)))))
+    sum_a2 = a.select(square("ai")).scalar()
+    sum_b2 = b.select(square("bj")).scalar()
+    tot = cont.agg(whole(F.sum("nij")).alias("n"), square("nij").alias("s2"))
     out = tot.select("n", "s2", sum_a2.alias("a2"), sum_b2.alias("b2"))
-    tp = F.col("s2") - F.col("n")
-    fp = F.col("b2") - F.col("s2")
-    fn = F.col("a2") - F.col("s2")
-    tn = F.col("n") * F.col("n") - fp - fn - F.col("s2")
-    ari = F.when((fn == 0) & (fp == 0), F.lit(1.0)).otherwise(
-        2.0 * (tp * tn - fn * fp) / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)))
+    tp = whole(F.col("s2") - F.col("n"))
+    fp = whole(F.col("b2") - F.col("s2"))
+    fn = whole(F.col("a2") - F.col("s2"))
+    tn = whole(whole(F.col("n") * F.col("n")) - fp - fn - F.col("s2"))
+    times = lambda x, y: whole(whole(x) * whole(y))
+    above = whole(times(tp, tn) - times(fn, fp)).cast("double")
+    below = whole(times(tp + fn, fn + tn) + times(tp + fp, fp + tn)).cast("double")
+    ari = F.when((fn == 0) & (fp == 0), F.lit(1.0)).otherwise(2.0 * above / below)
     return out.select(F.col("n").cast("long").alias("n_matched"), ari.alias("ari"))
 
 

@@ -45,19 +45,24 @@ def mean_of(col: str, roles: C.Roles):
     return F.avg(F.col(col).cast("double"))
 
 
-def profile_aggregate(labelled: DataFrame, roles: C.Roles, cluster: str = "cluster", empty_mode: str = "Mixed") -> DataFrame:
-    """AG9 + AG10 + AG8 + CL12: size, share, raw-feature means and modal category per non-noise cluster."""
-    total = labelled.select(F.count(F.lit(1))).scalar()
+def profile_aggregate(labelled: DataFrame, roles: C.Roles, cluster: str = "cluster", empty_mode: str = "Mixed", by: str | None = None) -> DataFrame:
+    """AG9 + AG10 + AG8 + CL12: size, share, raw-feature means and modal category per non-noise cluster, of each
+    labelling named in column ``by`` if there are several."""
     feats = {"avg_age": roles.age_feature, "avg_income": roles.income_feature, "avg_spending": roles.spending_feature}
     # First by (cluster, category), one row per value, so that no task holds a cluster's values for the mode.
-    per = labelled.where(F.col(cluster) != -1).groupBy(F.col(cluster).alias("cluster"), F.col(roles.category).alias("_cat")).agg(
+    keys = ([F.col(by)] if by else []) + [F.col(cluster).alias("cluster")]
+    rows = labelled if by else labelled.where(F.col(cluster) != -1)
+    per = rows.groupBy(*keys, F.col(roles.category).alias("_cat")).agg(
         F.count(F.lit(1)).alias("_n"), *[x for name, f in feats.items() for x in (_total_of(f, roles).alias(f"_s_{name}"), F.count(f).alias(f"_c_{name}"))])
     by_count = F.when(F.col("_cat").isNotNull(), F.struct(-F.col("_n"), F.col("_cat")))
     means = [(F.sum(f"_s_{name}").cast("double") / F.sum(f"_c_{name}").cast("double") / F.lit(100.0 if f in roles.money else 1.0)).alias(name)
              for name, f in feats.items()]
-    return (per.groupBy("cluster")
-            .agg(F.sum("_n").alias("size"), *means, F.coalesce(F.min_by("_cat", by_count), F.lit(empty_mode)).alias("dominant_category"))
-            .withColumn("share", F.col("size") * 100.0 / total))
+    out = per.groupBy(*([by] if by else []), "cluster").agg(
+        F.sum("_n").alias("size"), *means, F.coalesce(F.min_by("_cat", by_count), F.lit(empty_mode)).alias("dominant_category"))
+    if not by:
+        return out.withColumn("share", F.col("size") * 100.0 / labelled.select(F.count(F.lit(1))).scalar())
+    totals = out.groupBy(by).agg(F.sum("size").alias("_total"))  # noise included
+    return out.where("cluster <> -1").join(totals, by).withColumn("share", F.col("size") * 100.0 / F.col("_total")).drop("_total")
 
 
 def _total_of(col: str, roles: C.Roles):
@@ -72,12 +77,17 @@ def _band_cols(bands: C.Bands) -> dict:
     return cols
 
 
-def cluster_profiles(labelled: DataFrame, roles: C.Roles, bands: C.Bands, cluster: str = "cluster") -> DataFrame:
+def cluster_profiles_many(labelled: DataFrame, roles: C.Roles, bands: C.Bands, by: str = "algorithm") -> DataFrame:
+    """PR1 for several labellings of the same rows (one row per row and labelling, named in ``by``) in one aggregate."""
+    return cluster_profiles(labelled, roles, bands, by=by)
+
+
+def cluster_profiles(labelled: DataFrame, roles: C.Roles, bands: C.Bands, cluster: str = "cluster", by: str | None = None) -> DataFrame:
     """PR1 (batch): bands of the cluster means, strategy (EX4) and product list (EX6)."""
-    agg = profile_aggregate(labelled, roles, cluster, "Mixed")
+    agg = profile_aggregate(labelled, roles, cluster, "Mixed", by)
     b = _band_cols(bands)
     return agg.select(
-        "cluster", "size", "share", "avg_age", "avg_income", "avg_spending", "dominant_category",
+        *([by] if by else []), "cluster", "size", "share", "avg_age", "avg_income", "avg_spending", "dominant_category",
         b["age"].alias("age_band"), b["income"].alias("income_band"), b["spending"].alias("spending_band"),
     ).select("*", *_rules_batch())
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import rules as R
 from cohortlens.operators import gmm as G
 from cohortlens.operators import kmeans as KM
+from cohortlens.operators import kmeans_many as KMM
 from cohortlens.operators import metrics as M
 from cohortlens.operators import ward as W
 from cohortlens.plans import context as X
@@ -123,6 +124,75 @@ def gmm_bic_aic(spark, sf):
                       F.round(aic, 4).alias("aic"), F.lit(_P_DIAG).alias("n_parameters"))
 
 
+# --- ML9: three full-covariance EM steps from the Lloyd labels -----------------------------------
+
+EM_STEPS = 3
+
+
+def _em_sql() -> str:
+    """Unrolled EM for three features; the inverse of a covariance by cofactors."""
+    from cohortlens.plans.catalog import sql_lloyd_cte
+
+    z, reg = Z, G.REGULARISATION
+    pairs = [(i, j) for i in range(3) for j in range(i, 3)]
+    first = ", ".join([f"AVG({c}) AS m{i}" for i, c in enumerate(z)] + [f"COVAR_POP({z[i]}, {z[j]}){f' + {reg}' if i == j else ''} AS c{i}{j}" for i, j in pairs])
+    parts = [sql_lloyd_cte(), f"p0 AS (SELECT cluster AS k, COUNT(*) * 1.0 / (SELECT COUNT(*) FROM labelled) AS w, {first} FROM labelled GROUP BY cluster)"]
+    for t in range(EM_STEPS):
+        parts.append(f"""q{t} AS (SELECT *, c11 * c22 - c12 * c12 AS a00, c02 * c12 - c01 * c22 AS a01, c01 * c12 - c02 * c11 AS a02,
+  c00 * c22 - c02 * c02 AS a11, c01 * c02 - c00 * c12 AS a12, c00 * c11 - c01 * c01 AS a22 FROM p{t}),
+i{t} AS (SELECT *, c00 * a00 + c01 * a01 + c02 * a02 AS det FROM q{t})""")
+        y = [f"(l.{c} - i.m{i})" for i, c in enumerate(z)]
+        quad = " + ".join(f"{'' if i == j else '2 * '}i.a{i}{j} * {y[i]} * {y[j]}" for i, j in pairs)
+        parts.append(f"""g{t} AS (SELECT l.{ID}, i.k, {", ".join(f"l.{c}" for c in z)}, LN(i.w) - 0.5 * (3 * LN(2 * PI()) + LN(i.det) + ({quad}) / i.det) AS lg FROM labelled l, i{t} i),
+x{t} AS (SELECT {ID}, MAX(lg) AS m FROM g{t} GROUP BY {ID}),
+l{t} AS (SELECT g.{ID}, MAX(m) + LN(SUM(EXP(lg - m))) AS ll FROM g{t} g JOIN x{t} x ON g.{ID} = x.{ID} GROUP BY g.{ID}),
+r{t} AS (SELECT g.*, ll, EXP(lg - ll) AS r FROM g{t} g JOIN l{t} l ON g.{ID} = l.{ID}),
+h{t} AS (SELECT r.*, SUM(r) OVER (PARTITION BY k) AS nk, {", ".join(f"SUM(r * {c}) OVER (PARTITION BY k) / SUM(r) OVER (PARTITION BY k) AS u{i}" for i, c in enumerate(z))} FROM r{t} r)""")
+        cov = ", ".join(f"SUM(r * ({z[i]} - u{i}) * ({z[j]} - u{j})) / MAX(nk){f' + {reg}' if i == j else ''} AS c{i}{j}" for i, j in pairs)
+        parts.append(f"p{t + 1} AS (SELECT k, MAX(nk) / COUNT(*) AS w, {', '.join(f'MAX(u{i}) AS m{i}' for i in range(3))}, {cov} FROM h{t} GROUP BY k)")
+    values = ", ".join([f"ROUND({c}, 6) AS {c}" for c in ["w", *[f"m{i}" for i in range(3)], *[f"c{i}{j}" for i, j in pairs]]])
+    return "WITH " + ",\n".join(parts) + f"\nSELECT CAST(k AS INTEGER) AS component, {values}, (SELECT ROUND(AVG(ll), 6) FROM l{EM_STEPS - 1}) AS mean_log_likelihood FROM p{EM_STEPS}"
+
+
+@register("gmm_em3", _em_sql())
+def gmm_em3(spark, sf):
+    """ML9: the parameters after three EM steps from the Lloyd labels, and the mean log-likelihood of the third E-step."""
+    lab = X.lloyd_labelled(spark, sf)
+    fit = G.em(lab, Z, *G.full_parameters(lab, Z), max_iter=EM_STEPS, tol=0.0)
+    rows = [(c, *[round(float(v), 6) for v in (fit["weights"][c], *fit["means"][c], *[fit["covs"][c][i][j] for i in range(3) for j in range(i, 3)], fit["mean_log_likelihood"])])
+            for c in range(fit["k"])]
+    names = ["w", *[f"m{i}" for i in range(3)], *[f"c{i}{j}" for i in range(3) for j in range(i, 3)], "mean_log_likelihood"]
+    return spark.createDataFrame(rows, "component int, " + ", ".join(f"{n} double" for n in names))
+
+
+# --- ML1: k-means|| rounds with fixed seeds --------------------------------------------------------
+
+INIT_SEEDS, INIT_WANTED, INIT_ROUNDS = (42, 43), 10, 2
+
+
+def _rounds_sql() -> str:
+    """For each seed: the first row, then the rows that each round draws."""
+    draw = lambda s, t: f"CAST('0x' || substr(md5('{s}:{t}:' || {ID}), 1, 8) AS BIGINT) / 4294967296.0"
+    parts, out = [sql_scaled_cte()], []
+    for s in INIT_SEEDS:
+        zs = ", ".join(Z)
+        parts.append(f"s{s}_0 AS (SELECT 0 AS round, {ID}, {zs} FROM scaled ORDER BY {draw(s, 0)}, CAST({ID} AS VARCHAR) LIMIT 1)")
+        for t in range(1, INIT_ROUNDS + 1):
+            d2 = " + ".join(f"(l.{c} - c.{c}) * (l.{c} - c.{c})" for c in Z)
+            parts.append(f"d{s}_{t} AS (SELECT l.{ID}, {', '.join(f'l.{c}' for c in Z)}, MIN({d2}) AS d FROM scaled l, s{s}_{t - 1} c GROUP BY ALL)")
+            parts.append(f"s{s}_{t} AS (SELECT * FROM s{s}_{t - 1} UNION ALL SELECT {t} AS round, {ID}, {zs} FROM d{s}_{t} "
+                         f"WHERE {draw(s, t)} * (SELECT SUM(d) FROM d{s}_{t}) < {INIT_WANTED} * d)")
+        out.append(f"SELECT {s} AS seed, round, CAST({ID} AS VARCHAR) AS row_id FROM s{s}_{INIT_ROUNDS}")
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(out)
+
+
+@register("kmeans_parallel_rounds", _rounds_sql())
+def kmeans_parallel_rounds(spark, sf):
+    """ML1: the candidates that two k-means|| rounds draw for two seeds at once."""
+    got = KMM.candidates(X.scaled(spark, sf), Z, INIT_SEEDS, F.col(ID), INIT_WANTED, INIT_ROUNDS)
+    return spark.createDataFrame([(s, r, key) for s, own in got.items() for r, key, _ in own], "seed int, round int, row_id string")
+
+
 # --- MT10 / MT11 / CH5 over three label sets ---------------------------------------------------
 
 RUN_ORDER = (("KMeans", 0), ("DBSCAN", 1), ("Segments", 2))
@@ -224,14 +294,14 @@ def algorithm_bars(spark, sf):
                     label.alias("davies_bouldin_label"), _r6("calinski_harabasz"))
 
 
-# --- library fits (nondeterministic across seeds/partitioning: rows-only checks) ----------------
+# --- whole fits (their number of steps follows the data: rows-only checks and q_checks) -------------
 
 @register("kmeans_fit")
 def kmeans_fit(spark, sf):
     """ML1 + ML2: k-means|| with 10 restarts (seed 42..51), least cost kept; canonical labels."""
     df = X.scaled(spark, sf)
-    fit = X.memo(spark, sf, "kmfit", lambda: KM.fit_kmeans(df, Z, X.LLOYD_K, seed=X.CFG.seed,
-                                                           restarts=X.CFG.kmeans_restarts, max_iter=X.CFG.kmeans_max_iter))
+    fit = X.memo(spark, sf, "kmfit", lambda: KM.fit_kmeans(df, Z, X.LLOYD_K, seed=X.CFG.seed, restarts=X.CFG.kmeans_restarts,
+                                                           max_iter=X.CFG.kmeans_max_iter, id_col=ID))
     lab = KM.assign(df, Z, fit["centers"])
     return lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).select(
         "cluster", "size", F.lit(fit["inertia"]).alias("inertia"), F.lit(fit["n_iter"]).alias("n_iter"),
@@ -251,7 +321,7 @@ def gmm_fit(spark, sf):
     """ML9 + ML9a + MT8: full-covariance mixture, then labels, log-likelihood, BIC and AIC
     recomputed by one E-step pass over the final parameters."""
     df = X.scaled(spark, sf)
-    fit = X.memo(spark, sf, "gmmfit", lambda: G.fit_gmm(df, Z, X.LLOYD_K, seed=X.CFG.seed, max_iter=X.CFG.gmm_max_iter))
+    fit = X.memo(spark, sf, "gmmfit", lambda: G.fit_gmm(df, Z, X.LLOYD_K, seed=X.CFG.seed, max_iter=X.CFG.gmm_max_iter, id_col=ID))
     e = G.e_step(df, Z, fit["weights"], fit["means"], fit["covs"])
     agg = e.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("log_likelihood").alias("ll"))
     total = e.select(F.sum("log_likelihood")).scalar()

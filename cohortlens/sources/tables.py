@@ -6,11 +6,12 @@ import os
 import warnings
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.config import FEATURE_ROLES, Roles
+from cohortlens.session import materialize
 
 
 class DuplicateIdError(ValueError):
@@ -26,35 +27,88 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def role_schema(spark: SparkSession, path: str, roles: Roles) -> T.StructType:
-    """Schema of a CSV file from its header line and the roles: features are doubles, all else strings. Reads one line."""
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    return T.StructType([T.StructField(c, T.DoubleType() if c in roles.features else T.StringType()) for c in header])
+#: Texts that stand for a missing number in a CSV file.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+#: What counts as a number (a trailing type letter, as in ``1d``, does not).
+NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$|^[+-]?([iI]nf|INF)([iI]nity|INITY)?$"
+CORRUPT = "__row"
 
 
-def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None, roles: Roles | None = None) -> DataFrame:
-    """IO1: read a customer table (CSV with header, or parquet). A missing path is a clear error. A CSV's types
-    come from ``schema`` or ``roles``; only without both are they inferred by a scan."""
-    reader = spark.read
-    if schema is None and roles is not None and fmt == "csv":
-        try:
-            schema = role_schema(spark, path, roles)
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-                raise FileNotFoundError(f"customer data not found: {path}") from exc
-            raise
-    if schema is not None:
-        reader = reader.schema(schema)
+def _found(path: str, read):
+    """``read()``, where a missing path is a clear error."""
     try:
-        if fmt == "csv":
-            return reader.option("header", True).option("inferSchema", schema is None).csv(path)
-        return reader.format(fmt).load(path)
+        return read()
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"customer data not found: {path}") from exc
         raise
 
 
+def parse_features(raw: DataFrame, roles: Roles) -> DataFrame:
+    """``raw`` (all columns text) with its features as doubles and ``reasons``: why a row is no customer row. A missing marker is
+    a null, any other text that is no number is a reason, and so is a row that does not fit the header."""
+    features = [c for c in raw.columns if c in roles.features]
+    text = {c: F.trim(F.col(f"`{c}`")) for c in features}
+    present = {c: text[c].isNotNull() & ~text[c].isin(*MISSING) for c in features}
+    bad = [F.when(present[c] & ~text[c].rlike(NUMBER), F.concat(F.lit(f"{c}: not a number: "), F.substring(text[c], 1, 80))) for c in features]
+    if CORRUPT in raw.columns:
+        bad.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("row does not fit the header")))
+    number = {c: F.when(present[c] & text[c].rlike(NUMBER), text[c].try_cast("double")) for c in features}
+    cols = [number[c].alias(c) if c in number else F.col(f"`{c}`") for c in raw.columns]
+    return raw.select(*cols, F.array_compact(F.array(*bad)).alias("reasons"))
+
+
+def read_csv_checked(spark: SparkSession, path: str, roles: Roles, rejects: str | None = None) -> DataFrame:
+    """IO1 + IO4 for CSV: features are parsed in one pass, which writes the parsed table to the scratch folder and counts, per
+    feature, what does not parse.
+
+    Text in a feature is a ``SchemaError``. With ``rejects``, a folder, such rows go there (Parquet: the row's columns as text and
+    ``reasons``) and the rest is returned. Header lines of all files must name the same columns in the same order."""
+    header = _found(path, lambda: spark.read.option("header", True).option("inferSchema", False).csv(path).columns)
+    missing = [c for c in (roles.id, roles.category, *roles.features) if c not in header]
+    if missing:
+        raise SchemaError(f"missing required columns: {missing}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
+    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    # The text of the features stays beside the numbers for the rejects.
+    own = [c for c in header if c in roles.features]
+    kept = raw.withColumn("__text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in header])))
+    seen = Observation()
+    starts = lambda c: F.exists("reasons", lambda r: r.startswith(f"{c}: "))
+    counts = [F.count_if(starts(c)).alias(f"n{i}") for i, c in enumerate(own)]
+    parsed = parse_features(kept, roles).observe(seen, F.count_if(F.size("reasons") > 0).alias("rows"), *counts)
+    try:
+        parsed = materialize(parsed, "customers")
+    except Exception as exc:
+        if "CSV header" in str(exc):
+            raise SchemaError(f"files of {path} have different header lines") from exc
+        raise
+    found = seen.get
+    if found["rows"]:
+        bad = {c: found[f"n{i}"] for i, c in enumerate(own) if found[f"n{i}"]}
+        if rejects is None:
+            one = parsed.where(F.size("reasons") > 0).select("reasons").first()["reasons"]
+            raise SchemaError(f"features must be numeric: {found['rows']} rows do not parse, by feature {bad}, for example {one}")
+        row = F.from_json("__text", T.StructType(schema.fields[:-1])).alias("r")
+        parsed.where(F.size("reasons") > 0).select(row, "reasons").select("r.*", "reasons").write.mode("overwrite").parquet(rejects)
+    return parsed.where(F.size("reasons") == 0).drop("reasons", "__text", CORRUPT)
+
+
+def read_customers(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None, roles: Roles | None = None,
+                   rejects: str | None = None) -> DataFrame:
+    """IO1: read a customer table (CSV with header, or parquet). A missing path is a clear error. A CSV's types
+    come from ``schema``, or from ``roles`` with every value checked (``read_csv_checked``); only without both are they inferred by a scan."""
+    if schema is None and roles is not None and fmt == "csv":
+        return read_csv_checked(spark, path, roles, rejects)
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    if fmt == "csv":
+        return _found(path, lambda: reader.option("header", True).option("inferSchema", schema is None).csv(path))
+    return _found(path, lambda: reader.format(fmt).load(path))
+
+
 def read_optional(spark: SparkSession, path: str | None, fmt: str = "csv") -> DataFrame | None:
     """IO2: read the labelled table if it is there. No path or nothing at it: None, with a warning. A table
     that is there but cannot be read is an error."""

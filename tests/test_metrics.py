@@ -117,3 +117,41 @@ def test_noise_filtered_fallback_mt7(spark):
     own = spark.createDataFrame([(i, i if i < 61 else -1) for i in range(len(pts))], "id long, cluster int")
     s = WF.score(df, own, "id", ["a", "b"])
     assert s["silhouette"] == -1.0 and s["warning"].startswith("scores failed") and not s["is_valid"]
+
+
+def test_pruned_silhouette_skips_far_clusters(spark):
+    """200 clusters: the same value as all pairs, from a small part of the (row, cluster) pairs."""
+    rng = np.random.default_rng(3)
+    rows = [(c * 15 + i, c if (c + i) % 50 else -1, float(c % 20 * 10 + rng.normal()), float(c // 20 * 10 + rng.normal())) for c in range(200) for i in range(15)]
+    df = spark.createDataFrame(rows, "id long, cluster int, x double, y double")
+    every = M.silhouettes_exact(df, "id", ["x", "y"], ["cluster"]).first()["silhouette"]
+    for block in (4096, 64):
+        assert M.silhouette_exact(df, "id", ["x", "y"], block_rows=block).first()["silhouette"] == pytest.approx(every, abs=1e-9)
+    met, sizes = M.silhouette_pairs(M._labelled_vectors(df, "id", ["x", "y"], "cluster", None))
+    assert sizes.count() == 201 and met.count() < 0.05 * 201 * len(rows)
+
+
+def test_sampled_silhouette_is_within_its_error(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i % 3), float(i % 3 * 2 + rng.normal()), float(rng.normal())) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, cluster int, x double, y double")
+    exact = M.silhouette_exact(df, "id", ["x", "y"]).first()["silhouette"]
+    for seed in range(3):
+        r = M.silhouette_sampled(df, "id", ["x", "y"], per_cluster=150, seed=seed).first()
+        assert r["mode"] == "sampled" and r["n_sampled"] == 450 and r["n_rows"] == 3000
+        assert 0 < r["standard_error"] < 0.05 and abs(r["silhouette"] - exact) < 3 * r["standard_error"]
+
+
+def test_ari_of_a_billion_rows(spark):
+    """Pair counts beyond the integers of a double: equal to Python's."""
+    table = {("a", 0): 400_000_003, ("a", 1): 7, ("b", 0): 11, ("b", 1): 300_000_019, ("c", 1): 299_999_960}
+    cont = spark.createDataFrame([(t, c, n) for (t, c), n in table.items()], "truth string, cluster int, nij long")
+    n, s2 = sum(table.values()), sum(v * v for v in table.values())
+    a2 = sum(sum(v for (t, _), v in table.items() if t == x) ** 2 for x in "abc")
+    b2 = sum(sum(v for (_, c), v in table.items() if c == x) ** 2 for x in (0, 1))
+    tp, fp, fn = s2 - n, b2 - s2, a2 - s2
+    tn = n * n - fp - fn - s2
+    from fractions import Fraction
+    expected = Fraction(2 * (tp * tn - fn * fp), (tp + fn) * (fn + tn) + (tp + fp) * (fp + tn))
+    got = M.ari_of_contingency(cont).first()
+    assert got["n_matched"] == n and got["ari"] == pytest.approx(float(expected), rel=1e-15)
