@@ -17,13 +17,18 @@ ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(fn):
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+def text_query(fn):
+    """A query that hands whole texts to Python."""
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         bounded_batches(spark)
         return fn(spark, sf_dir)
 
-    QUERIES[fn.__name__] = run
-    return run
+    return query(run)
 
 
 @query
@@ -37,13 +42,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  pii.as_string(F.col("pii")).alias("spans"))
 
 
-@query
+@text_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), with_ids=False))
 
 
-@query
+@text_query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit."""
     return tokens.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -78,7 +83,7 @@ def curriculum_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.curriculum(mixing.mix(docs, keep_text=False)).select("doc_id", "source", "size", "position")
 
 
-@query
+@text_query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     found = superminhash.groups(table(spark, sf_dir, "documents"), shingle=4)
@@ -92,13 +97,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
-@query
+@text_query
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, url, text, n_chars."""
     return wrapper.extract(table(spark, sf_dir, "pages"))
 
 
-@query
+@text_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, fail_bits."""
     led = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -107,7 +112,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (~quality.passes(bits, "base")).alias("base_failed"), quality.passes(bits, "v2").alias("kept"), F.col(bits))
 
 
-@query
+@text_query
 def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """item_id, rank, doc_id, score: the ten best of all documents for each benchmark item."""
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -120,7 +125,7 @@ def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.search(rows, rows.where("vec_id % 100 = 0"))
 
 
-@query
+@text_query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256 (of the text rebuilt from output and form)."""
     made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
