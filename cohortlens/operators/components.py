@@ -3,7 +3,7 @@
 
 Each round is two shuffles of the edge table; the number of rounds is O(log^2 n). The edge
 table is checkpointed every round into the session's checkpoint folder, so lineage stays short
-and a lost executor only repeats the current round.
+and a lost executor only repeats the current round. A hub's edges are split over salted sub-hubs.
 """
 
 from __future__ import annotations
@@ -19,19 +19,41 @@ def _undirected(e: DataFrame) -> DataFrame:
     return both.where(F.col("a") != F.col("b")).distinct()
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    mins = e.groupBy("a").agg(F.min("b").alias("mb"))
+WHOLE_EDGES = 1 << 16  # up to so many edges any task may hold all
+HUB_SHARE = 1000  # a task gets about one in so many edges of a hub
+
+
+def _minima(e: DataFrame) -> DataFrame:
+    return e.groupBy("a").agg(F.min("b").alias("mb"), F.count(F.lit(1)).alias("degree"))
+
+
+def with_minimum(e: DataFrame, n_edges: int) -> DataFrame:
+    """Every edge (a, b) with ``mb``, the least neighbour of a.
+
+    The least neighbours come from map-side combined minima. A hub's edges do not meet in one task: they are dealt to
+    sub-hubs (a, salt) by their other end, and each sub-hub has a copy of the hub's minimum. Hubs have more than one in
+    HUB_SHARE of the edges, so there are fewer than HUB_SHARE of them, and they are broadcast."""
+    mins = _minima(e)
+    if n_edges <= WHOLE_EDGES:
+        return e.join(mins.drop("degree"), "a")
+    chunk = max(1, n_edges // HUB_SHARE)
+    salts = F.ceil(F.col("degree") / chunk).cast("int")
+    hubs = mins.where(F.col("degree") > chunk).select("a", salts.alias("salts"))
+    dealt = e.join(F.broadcast(hubs), "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    return dealt.join(mins.select("a", "mb", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")), ["a", "salt"]).drop("salt")
+
+
+def _large_star(e: DataFrame, n_edges: int) -> DataFrame:
     m = F.least(F.col("a"), F.col("mb"))
-    out = e.join(mins, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), m.alias("b"))
+    out = with_minimum(e, n_edges).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), m.alias("b"))
     return _undirected(out)
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, n_edges: int) -> DataFrame:
     smaller = e.where(F.col("b") < F.col("a"))
-    mins = smaller.groupBy("a").agg(F.min("b").alias("mb"))
     m = F.least(F.col("a"), F.col("mb"))
-    leaves = smaller.join(mins, "a").select(F.col("b").alias("a"), m.alias("b"))
-    centre = mins.select(F.col("a"), m.alias("b"))
+    leaves = with_minimum(smaller, n_edges).select(F.col("b").alias("a"), m.alias("b"))
+    centre = _minima(smaller).select(F.col("a"), m.alias("b"))
     return _undirected(leaves.unionByName(centre))
 
 
@@ -54,7 +76,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     e = materialize(e, "cc-edges")
     sig = _signature(e)
     for _ in range(max_rounds):
-        nxt = materialize(_small_star(_large_star(e)), "cc-round")  # one computation, lineage cut
+        nxt = materialize(_small_star(_large_star(e, sig[0]), sig[0]), "cc-round")  # one computation, lineage cut
         new_sig = _signature(nxt)
         e = nxt
         if new_sig == sig:

@@ -13,6 +13,7 @@ from cohortlens.operators import kmeans as KM
 from cohortlens.operators import kmeans_many as KMM
 from cohortlens.operators import metrics as M
 from cohortlens.operators import ward as W
+from cohortlens.operators import ward_rounds as WR
 from cohortlens.plans import context as X
 from cohortlens.plans.catalog import CAT, ID, register, sql_scaled_cte
 from cohortlens.plans.q_density import dbscan_sql
@@ -345,3 +346,34 @@ def ward_merges(spark, sf):
     _, merges, _ = X.memo(spark, sf, "ward", lambda: W.ward(X.scaled(spark, sf), ID, Z, X.LLOYD_K,
                                                            micro=X.CFG.ward_micro_clusters, seed=X.CFG.seed))
     return W.merge_table(spark, merges)
+
+
+# --- ML5 / ML6: exact Ward over the nations ---------------------------------------------------------
+
+NATIONS = """SELECT c_nationkey AS id, AVG(c_acctbal) / 100.0 AS x0, COUNT(*) / 10.0 AS x1 FROM customer GROUP BY c_nationkey"""
+
+
+def _ward_sql(n: int = 25) -> str:
+    """Sequential Ward by the Lance-Williams recurrence, one pair a step, unrolled."""
+    pair = "2.0 * p.n * q.n / (p.n + q.n) * ((p.x0 - q.x0) * (p.x0 - q.x0) + (p.x1 - q.x1) * (p.x1 - q.x1))"
+    parts = [f"pts AS MATERIALIZED ({NATIONS})", "s0 AS MATERIALIZED (SELECT id, CAST(1 AS BIGINT) AS n FROM pts)",
+             f"d0 AS MATERIALIZED (SELECT p.id AS i, q.id AS j, {pair} AS d FROM (SELECT *, 1 AS n FROM pts) p, (SELECT *, 1 AS n FROM pts) q WHERE p.id < q.id)"]
+    for t in range(n - 1):
+        parts += [f"m{t} AS MATERIALIZED (SELECT i AS a, j AS b, d, (SELECT n FROM s{t} WHERE id = i) AS na, (SELECT n FROM s{t} WHERE id = j) AS nb FROM d{t} ORDER BY d, i, j LIMIT 1)",
+                  f"s{t + 1} AS MATERIALIZED (SELECT id, CASE WHEN id = m.a THEN na + nb ELSE n END AS n FROM s{t}, m{t} m WHERE id <> m.b)",
+                  f"u{t} AS MATERIALIZED (SELECT s.id, m.a, ((s.n + na) * ea.d + (s.n + nb) * eb.d - s.n * m.d) / (s.n + na + nb) AS d FROM s{t} s, m{t} m, d{t} ea, d{t} eb "
+                  f"WHERE s.id <> m.a AND s.id <> m.b AND ea.i = LEAST(s.id, m.a) AND ea.j = GREATEST(s.id, m.a) AND eb.i = LEAST(s.id, m.b) AND eb.j = GREATEST(s.id, m.b))",
+                  f"d{t + 1} AS MATERIALIZED (SELECT e.i, e.j, e.d FROM d{t} e, m{t} m WHERE e.i NOT IN (m.a, m.b) AND e.j NOT IN (m.a, m.b) "
+                  f"UNION ALL SELECT LEAST(id, a), GREATEST(id, a), d FROM u{t})"]
+    rows = " UNION ALL ".join(f"SELECT {t} AS step, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, ROUND(SQRT(d), 6) AS height, na + nb AS size FROM m{t}" for t in range(n - 1))
+    return "WITH " + ",\n".join(parts) + "\n" + rows
+
+
+@register("ward_nations", _ward_sql())
+def ward_nations(spark, sf):
+    """ML5 + ML6: the merges of exact Ward over the nations' mean balance and number of customers, by reciprocal rounds."""
+    points = T.table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("long").alias("id")).agg(
+        (F.avg("c_acctbal") / 100.0).alias("x0"), (F.count(F.lit(1)) / 10.0).alias("x1"))
+    merges = WR.merge_rounds(points, 2, local_rows=4)
+    step = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("height", "size", "a", "b")) - 1  # 24 rows
+    return merges.select(step.alias("step"), "a", "b", F.round("height", 6).alias("height"), "size")

@@ -93,13 +93,29 @@ def test_exact_quantiles_equal_percentile_with_heavy_ties_and_groups(spark):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
     want = {r["g"]: (r["qx"], r["qy"]) for r in df.groupBy("g").agg(
         F.percentile("x", probs).alias("qx"), F.percentile("y", probs).alias("qy")).collect()}
-    for rounds in (3, 1):  # bracketed, and the unbounded last round alone
-        got = {(r["g"], r["feature"]): r["q"] for r in exact_quantiles(df, ["x", "y"], probs, by="g", max_rounds=rounds).collect()}
-        for g, (qx, qy) in want.items():
-            if qx is None:
-                assert got[(g, "x")] is None
-                continue
-            assert got[(g, "x")] == list(qx) and got[(g, "y")] == list(qy)
+    out = exact_quantiles(df, ["x", "y"], probs, by="g")
+    assert "Window" not in out._jdf.queryExecution().toString()
+    got = {(r["g"], r["feature"]): r["q"] for r in out.collect()}
+    for g, (qx, qy) in want.items():
+        if qx is None:
+            assert got[(g, "x")] == [None] * len(probs)
+            continue
+        assert got[(g, "x")] == list(qx) and got[(g, "y")] == list(qy)
     whole = {r["feature"]: r["q"] for r in exact_quantiles(df, ["x"], probs).collect()}
     assert whole["x"] == list(df.agg(F.percentile("x", probs)).first()[0])
     assert ST.quantiles(df, "x", [0.5], by="g").where("g = 'empty'").first()["p50"] is None
+
+
+def test_images_have_the_order_and_bits_of_doubles(spark):
+    import struct
+
+    from cohortlens.operators.quantile import image, value
+
+    rng = np.random.default_rng(1)
+    xs = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf, 1.0, *rng.lognormal(0, 200, 200)]
+    xs += [y for e in range(-1074, 1024, 7) for y in (2.0 ** e, float(np.nextafter(2.0 ** e, 0)), float(np.nextafter(2.0 ** e, math.inf)))]
+    xs = [float(s * x) for x in xs for s in (1, -1)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for r in df.select("x", image(F.col("x")).alias("v"), value(image(F.col("x"))).alias("y")).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["x"])))[0]
+        assert r["v"] == (-bits if r["x"] < 0 else bits) and r["y"] == r["x"]

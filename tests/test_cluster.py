@@ -218,3 +218,104 @@ def test_assign_many_centers_batch_form_equals_expression(five_groups, monkeypat
     assert batch.keys() == expr.keys()
     assert all(batch[i][0] == expr[i][0] and math.isclose(batch[i][1], expr[i][1], rel_tol=1e-12) for i in batch)
     assert 7 not in {v[0] for v in batch.values()}
+
+
+def _cloud(spark, x):
+    return spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, x0 double, x1 double")
+
+
+def test_adaptive_cells_visits_grow_linearly(spark):
+    """One far row and one dense spot: the pairs (row, foreign cell) stay in proportion to the rows, and so do the cells."""
+    from cohortlens.operators import kdtree as KD
+
+    rng = np.random.default_rng(8)
+    per_row = []
+    for n in (1000, 4000):
+        x = np.vstack([rng.uniform(0, 1, size=(n, 2)), rng.normal(0.5, 1e-6, size=(n, 2)), np.full((n, 2), 0.25), [[1e7, -1e7]]])
+        found, visits = KD.k_distances(_cloud(spark, x), 2, 5, leaf_rows=64)
+        got = {r["id"]: r["kdist"] for r in found.collect()}
+        step = max(1, len(x) // 300)
+        for i in [*range(0, len(x), step), len(x) - 1]:
+            assert got[i] == pytest.approx(np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[4], rel=1e-9, abs=1e-15)
+        per_row.append(visits.count() / len(x))
+    assert per_row[1] < 1.5 * per_row[0] and per_row[1] < 3
+
+
+def test_star_of_100000_leaves_is_dealt_to_many_tasks(spark):
+    from cohortlens.operators import components as CC
+
+    n = 100_000
+    ids = spark.range(n).select((F.col("id") * 7919 % 1_000_003).alias("a")).where("a <> 500000")
+    edges = ids.select("a", F.lit(500_000).cast("long").alias("b"))
+    both = CC._undirected(edges)
+    total = both.count()
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = CC.with_minimum(both, total).groupBy(F.spark_partition_id()).count()
+        assert dealt.agg(F.max("count")).first()[0] <= total / 50
+    finally:
+        for key, v in (("spark.sql.shuffle.partitions", "8"), ("spark.sql.adaptive.enabled", "true"), ("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))):
+            spark.conf.set(key, v)
+    comp = CC.connected_components(ids.select(F.col("a").alias("node")).unionByName(spark.range(1).select(F.lit(500_000).cast("long").alias("node"))), edges)
+    assert [tuple(r) for r in comp.groupBy("component").count().collect()] == [(0, comp.count())]
+
+
+def test_boxes_settle_two_dense_cells(spark):
+    """Chunk pairs whose rows are compared do not grow with the square of the chunks; the labels are those of a scan."""
+    rng = np.random.default_rng(9)
+    for n in (500, 2000):
+        x = np.vstack([rng.uniform([0, 0], [0.6, 0.6], size=(n, 2)), rng.uniform([0.75, 0], [1.3, 0.6], size=(n, 2)), np.full((n, 2), 0.3), [[9.0, 9.0]]])
+        df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, x double, y double")
+        pts, cells = DB._cells(df, "id", ["x", "y"], 1.0, 50)
+        boxes = DB.chunk_boxes(pts, 2)
+        assert boxes.count() > n / 25 and pts.groupBy("cell", "chunk").count().agg(F.max("count")).first()[0] < 120
+        pairs = DB._cell_pairs(cells, 2, 1.0)
+        dense = pairs.where("n_a >= 5 and n_b >= 5")
+        proven = DB.certified_links(dense, boxes, 2, 1.0)
+        assert dense.count() > 0
+        open_pairs = pairs.join(proven, ["cell_a", "cell_b"], "left_anti")
+        assert DB._chunk_pairs(open_pairs, boxes, 2, 1.0).count() <= 2 * boxes.count()
+    got = {r["id"]: r["cluster"] for r in DB.dbscan(df, "id", ["x", "y"], 1.0, 5, chunk_rows=50).collect()}
+    assert [got[i] for i in range(len(x))] == list(_naive_dbscan(x, 1.0, 5))
+
+
+@pytest.mark.parametrize("d,chunk_rows", [(12, 1024), (64, 40), (6, 25)])
+def test_density_clusters_in_many_dimensions(spark, monkeypatch, d, chunk_rows):
+    from cohortlens.operators import dbscan_metric as DM
+
+    monkeypatch.setattr(DM, "ROWS_PER_PIVOT", 60)
+    rng = np.random.default_rng(d)
+    centers = rng.normal(size=(6, d)) * 2
+    x = np.vstack([*[c + 0.25 * rng.normal(size=(80, d)) for c in centers], rng.normal(size=(60, d)) * 3, np.repeat(centers[:1], 150, axis=0)])
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, v array<double>").repartition(5)
+    eps = 0.25 * float(np.sqrt(2 * d)) * 0.9
+    out = {r["id"]: r["cluster"] for r in DB.dbscan_vectors(df, "id", "v", eps, 6, chunk_rows).collect()}
+    expected = _naive_dbscan(x, eps, 6)
+    assert len(set(expected)) > 3
+    assert [out[i] for i in range(len(x))] == list(expected)
+    if d == 6:  # as columns, through the same entry as the grid
+        cols = [f"c{i}" for i in range(d)]
+        wide = df.select("id", *[F.col("v")[i].alias(c) for i, c in enumerate(cols)])
+        assert {r["id"]: r["cluster"] for r in DB.dbscan(wide, "id", cols, eps, 6).collect()} == out
+        _, visits = DM.dbscan_metric(df.select("id", F.col("v").alias("x")), eps, 6)
+        assert visits.select("id", "cell").distinct().count() < 0.6 * len(x) * 11
+
+
+def test_ward_rounds_equal_naive(spark):
+    from cohortlens.operators import ward_rounds as WR
+
+    rng = np.random.default_rng(12)
+    x = np.vstack([*[c + 0.3 * rng.normal(size=(60, 2)) for c in ([0, 0], [3, 1], [-2, 4])], rng.uniform(-20, 20, size=(20, 2))])
+    merges = W.ward_merges(x, np.ones(len(x)))
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, a double, b double").repartition(3)
+    labels, table = WR.ward_labels(df, "id", ["a", "b"], 5, local_rows=10, leaf_rows=16)
+    got = sorted((r["height"], r["size"]) for r in table.collect())
+    assert len(got) == len(x) - 1 and np.allclose(got, sorted((m[2], m[3]) for m in merges))
+    same = {}
+    for r in labels.collect():
+        same.setdefault(r["cluster"], set()).add(r["id"])
+    groups = W.cut(merges, len(x), 5)
+    assert {frozenset(v) for v in same.values()} == {frozenset(np.flatnonzero(groups == g).tolist()) for g in set(groups)}
