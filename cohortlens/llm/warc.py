@@ -5,11 +5,13 @@ writer's line separator is the format's record end ("\\n" in ARC, a blank line p
 Readers go by declared lengths alone, since payloads may hold any separator: they stream a file through
 a buffered gzip reader, so a task holds one compressed file and one record.
 
-Conversion: an ARC file starts with a version block whose definition line names the fields of all header
-lines that follow. Each record's header line and declared length give url, address, 14-digit date and
-body; from these come the WARC record id (from archive and offset), ISO date, type, block and payload
-digests (base32 SHA-1). Of records with equal payloads the one with the largest page id is a
-``response``, the others are ``revisit`` records that refer to it.
+Conversion: an ARC file, compressed or not, starts with a version block whose definition line names the fields of all header
+lines that follow; it becomes a ``warcinfo`` record. Each record's header line, read from its right end (a url may hold
+spaces), and declared length give url, address, 14-digit date, type and body; from these come the WARC record id (from
+archive and number), ISO date, type, block and payload digests (base32 SHA-1). A body with an HTTP head (its lines may end in
+bare line feeds) is a ``response``, any other (``dns:`` records, say) a ``resource`` of the type that the line tells. Of records with
+equal payloads the one with the largest page id stays, the others are ``revisit`` records that refer to it. Bodies are bytes
+from end to end, in any encoding or none.
 
 Defined results: null html is an empty payload; a null url is written as ``-``; white space in a url is percent-encoded
 in header lines; a null page id stays null and counts as smallest; repeated rows are records of their own (ties go to one
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.session import ensure_checkpoint_dir, materialize
+from cohortlens.session import materialize, scratch_folder
 
 DATE, ADDRESS = "20240101000000", "0.0.0.0"
 BATCH_BYTES = 4 << 20
@@ -42,6 +44,8 @@ FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 RECORD_END = "\r\n\r\n"
+HEAD_END = re.compile(rb"\n\r?\n")
+INFO, HTTP = "filedesc://", "application/http; msgtype=response"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -83,28 +87,66 @@ def write_arc(pages: DataFrame, path: str, version: int | None = None, id_col: s
     rows.mapInPandas(_arc_records(version), "value string").write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
-def arc_records(content: bytes, name: str) -> Iterator[tuple[str, str, str, bytes, bytes]]:
-    """(record id, url, 14-digit date, protocol head, payload) of every record of an ARC file after its version block."""
-    with io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)), 1 << 20) as f:
+def _opened(content: bytes) -> io.BufferedReader:
+    """A buffered stream of an archive, compressed (as a whole or record by record) or plain."""
+    raw = io.BytesIO(content)
+    return io.BufferedReader(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw, 1 << 20)
+
+
+def _text(field: bytes) -> str:
+    """A header field as text; bytes that are no UTF-8, and white space and controls, are percent-encoded."""
+    try:
+        out = field.decode("utf-8")
+    except UnicodeDecodeError:
+        out = "".join(chr(b) if b < 128 else f"%{b:02X}" for b in field)
+    return re.sub(r"[\s\x00-\x20\x7f]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), out)
+
+
+def head_end(block: bytes) -> int:
+    """Where the HTTP head of a block ends; 0 if it has none."""
+    if not block.startswith(b"HTTP/"):
+        return 0
+    found = HEAD_END.search(block)
+    return found.end() if found else len(block)
+
+
+def record_id(name: str, k: int | str) -> str:
+    return str(uuid.UUID(bytes=hashlib.md5(f"{name}#{k}".encode()).digest()))
+
+
+def arc_entries(content: bytes, name: str) -> Iterator[tuple[str, dict[str, str], bytes, bytes]]:
+    """(record id, header fields, HTTP head, payload) of every record of an ARC file. The version block comes first, with
+    its version and definition line as payload."""
+    with _opened(content) as f:
         line = f.readline().split()
         body = f.read(int(line[-1])).split(b"\n")
-        names = body[1].decode().split()
-        if int(body[0].split()[0]) not in FIELDS or names != FIELDS[int(body[0].split()[0])].split():
+        version, names = int(body[0].split()[0]), body[1].decode("ascii", "replace").split()
+        if version not in FIELDS or names != FIELDS[version].split():
             raise ValueError(f"{name}: unknown ARC version block {body[:2]}")
-        f.read(1)
+        yield record_id(name, "info"), {"URL": _text(line[0]), "IP-address": _text(line[1]), "Archive-date": _text(line[2]), "Content-type": "application/warc-fields"}, b"", (
+            f"format: WARC File Format 1.1\r\nconverted-from: ARC version {version}\r\narc-fields: {' '.join(names)}\r\n".encode())
         k = 0
         while header := f.readline():
-            fields = dict(zip(names, header.decode().rstrip("\n").split(" "), strict=True))
+            if not header.strip():  # the end of a record
+                continue
+            fields = dict(zip(names, map(_text, header.rstrip(b"\r\n").rsplit(b" ", len(names) - 1)), strict=True))
             block = f.read(int(fields["Archive-length"]))
-            if len(block) != int(fields["Archive-length"]) or f.read(1) != b"\n":
+            if len(block) != int(fields["Archive-length"]):
                 raise ValueError(f"{name}: record {k} does not have its declared length")
-            end = block.index(b"\r\n\r\n") + 4 if block.startswith(b"HTTP/") else 0
-            yield str(uuid.UUID(bytes=hashlib.md5(f"{name}#{k}".encode()).digest())), fields["URL"], fields["Archive-date"], block[:end], block[end:]
+            end = head_end(block)
+            yield record_id(name, k), fields, block[:end], block[end:]
             k += 1
 
 
+def arc_records(content: bytes, name: str) -> Iterator[tuple[str, str, str, bytes, bytes]]:
+    """(record id, url, 14-digit date, HTTP head, payload) of every record after the version block."""
+    for rec, fields, head, payload in arc_entries(content, name):
+        if not fields["URL"].startswith(INFO):
+            yield rec, fields["URL"], fields["Archive-date"], head, payload
+
+
 def _page_id(head: bytes) -> int | None:
-    found = re.search(rb"\r\nX-Page-Id: (-?\d+)\r\n", head)
+    found = re.search(rb"\nX-Page-Id: (-?\d+)\r?\n", head)
     return int(found[1]) if found else None
 
 
@@ -116,7 +158,7 @@ def _read(records, columns: list[str]):
                 out, size = [], 0
                 for row in records(content, os.path.basename(path)):
                     out.append(row)
-                    size += sum(len(x) for x in row if isinstance(x, str))
+                    size += sum(len(x) for x in row if isinstance(x, (str, bytes)))
                     if size >= BATCH_BYTES or len(out) >= 8192:
                         yield _frame(out, columns)
                         out, size = [], 0
@@ -139,38 +181,42 @@ def _arc_index(content: bytes, name: str):
 
 
 def _arc_full(content: bytes, name: str):
-    for rec, url, date, head, payload in arc_records(content, name):
-        iso = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
-        yield rec, url, iso, head.decode(), payload.decode("utf-8", "surrogatepass"), digest(payload), digest(head + payload), digest(head)
+    for rec, fields, head, payload in arc_entries(content, name):
+        d, info = fields["Archive-date"], fields["URL"].startswith(INFO)
+        iso = f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+        kind, mime = ("warcinfo", fields["Content-type"]) if info else ("response", HTTP) if head else ("resource", fields["Content-type"])
+        about = [f"WARC-Record-ID: <urn:uuid:{rec}>", f"WARC-Date: {iso}"]
+        about += [f"WARC-Filename: {fields['URL'].removeprefix(INFO)}"] if info else [
+            f"WARC-Target-URI: {fields['URL']}", f"WARC-IP-Address: {fields['IP-address']}", f"WARC-Payload-Digest: sha1:{digest(payload)}"]
+        yield rec, kind, "\r\n".join([*about, f"Content-Type: {mime}"]), head, payload, digest(head + payload), digest(head)
 
 
 def convert(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0) -> None:
-    """The ARC files at ``arc`` as WARC files at ``warc``. Payloads of under ``least_bytes`` are always responses."""
+    """The ARC files at ``arc`` as WARC files at ``warc``. Payloads of under ``least_bytes`` are never revisits."""
     index = materialize(_files(spark, arc).mapInPandas(_read(_arc_index, ["rec", "page_id", "digest", "payload_bytes"]),
                                                        "rec string, page_id long, digest string, payload_bytes long"), "arc-index")
     first = index.where(F.col("payload_bytes") >= least_bytes).groupBy("digest").agg(
         F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 63))), "rec")).alias("first")).select("digest", F.col("first.rec").alias("refers_to"))
     revisits = index.where(F.col("payload_bytes") >= least_bytes).join(first, "digest").where("rec != refers_to").select("rec", "refers_to")
-    full = _files(spark, arc).mapInPandas(_read(_arc_full, ["rec", "url", "date", "head", "payload", "digest", "full_digest", "head_digest"]),
-                                          "rec string, url string, date string, head string, payload string, digest string, full_digest string, head_digest string")
+    full = _files(spark, arc).mapInPandas(_read(_arc_full, ["rec", "kind", "about", "head", "payload", "full_digest", "head_digest"]),
+                                          "rec string, kind string, about string, head binary, payload binary, full_digest string, head_digest string")
     rows = full.join(revisits, "rec", "left")
     again = F.col("refers_to").isNotNull()
     block = F.when(again, F.col("head")).otherwise(F.concat("head", "payload"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    record = F.concat(
-        F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(again, "revisit").otherwise("response")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), "rec", F.lit(">"))), line("WARC-Date", F.col("date")),
-        line("WARC-Target-URI", F.col("url")), line("WARC-IP-Address", F.lit(ADDRESS)),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
+    header = F.concat(
+        F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(again, "revisit").otherwise(F.col("kind"))), "about", F.lit("\r\n"),
         line("WARC-Block-Digest", F.concat(F.lit("sha1:"), F.when(again, F.col("head_digest")).otherwise(F.col("full_digest")))),
         F.when(again, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", F.concat(F.lit("<urn:uuid:"), "refers_to", F.lit(">"))))).otherwise(""),
-        line("Content-Type", F.lit("application/http; msgtype=response")), line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"), block)
+        line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"))
+    # The cast keeps the bytes as they are, and the text writer writes them so.
+    record = F.concat(header.cast("binary"), block).cast("string")
     rows.select(record.alias("value")).write.option("lineSep", RECORD_END).option("compression", "gzip").text(warc)
 
 
 def warc_records(content: bytes, name: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields, block) of every record of a WARC file."""
-    with io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)), 1 << 20) as f:
+    with _opened(content) as f:
         while version := f.readline():
             if not version.startswith(b"WARC/"):
                 raise ValueError(f"{name}: no WARC record at {version[:40]!r}")
@@ -186,7 +232,9 @@ def warc_records(content: bytes, name: str) -> Iterator[tuple[dict[str, str], by
 
 def _warc_index(content: bytes, name: str):
     for fields, block in warc_records(content, name):
-        end = block.index(b"\r\n\r\n") + 4
+        if fields["WARC-Type"] == "warcinfo":
+            continue
+        end = head_end(block)
         told = fields["WARC-Payload-Digest"].removeprefix("sha1:")
         again = fields["WARC-Type"] == "revisit"
         if not again and digest(block[end:]) != told:
@@ -196,21 +244,21 @@ def _warc_index(content: bytes, name: str):
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to (page id) of every record; digests are checked."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to (page id) of every record but ``warcinfo``; digests are checked."""
     columns = ["rec", "page_id", "payload_digest", "payload_bytes", "record_type", "refers_rec"]
     index = materialize(_files(spark, path).mapInPandas(_read(_warc_index, columns),
                                                         "rec string, page_id long, payload_digest string, payload_bytes long, record_type string, refers_rec string"), "warc-index")
-    own = index.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
-    target = index.where("record_type = 'response'").select(F.col("rec").alias("refers_rec"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("n"))
+    own = index.where("record_type != 'revisit'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
+    target = index.where("record_type != 'revisit'").select(F.col("rec").alias("refers_rec"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("n"))
     again = index.where("record_type = 'revisit'").join(target, "refers_rec", "left").select(
         "page_id", F.col("n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
     return own.unionByName(again)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages as ARC files, these as WARC files, and what these hold. Both folders stay under the checkpoint folder."""
+    """Pages as ARC files, these as WARC files, and what these hold. Both folders lie in the application's scratch folder."""
     spark = pages.sparkSession
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    base = f"{scratch_folder(spark)}/archives-{uuid.uuid4().hex}"
     write_arc(pages, f"{base}/arc")
     convert(spark, f"{base}/arc", f"{base}/warc", least_bytes)
     return read_warc(spark, f"{base}/warc")

@@ -50,7 +50,8 @@ def test_versions_and_converted_text(spark, tmp_path, version):
     ((rec, url, date, head, payload),) = warc.arc_records(content, "x.arc")
     assert (url, date, payload) == ("http://h/a%20b", warc.DATE, b"body") and head.startswith(b"HTTP/1.1 200")
     warc.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
-    ((fields, block),) = [x for p in (tmp_path / "warc").glob("part-*.gz") for x in warc.warc_records(p.read_bytes(), p.name)]
+    (info, about), (fields, block) = sorted((x for p in (tmp_path / "warc").glob("part-*.gz") for x in warc.warc_records(p.read_bytes(), p.name)), key=lambda x: x[0]["WARC-Type"] == "response")
+    assert info["WARC-Type"] == "warcinfo" and f"ARC version {version}".encode() in about and info["WARC-Filename"].endswith(".arc")
     assert block == head + payload and fields["WARC-Date"] == "2024-01-01T00:00:00Z" and fields["WARC-Type"] == "response"
     assert fields["WARC-Payload-Digest"] == "sha1:" + sha(b"body") and fields["WARC-Block-Digest"] == "sha1:" + sha(block)
 
@@ -66,5 +67,47 @@ def test_hand_written_arc_and_damage():
             list(warc.arc_records(gzip.compress(bad), "x"))
 
 
+def _arc(version, records, packed):
+    """A foreign archive: records are (url, address, date, type, body)."""
+    about = b"%d 0 Elsewhere\n" % version + warc.FIELDS[version].encode() + b"\n<meta>more about it</meta>\n"
+    middle = b"" if version == 1 else b"200 - - 0 x.arc "
+    rows = [(b"filedesc://x.arc", b"0.0.0.0", b"19980203040506", b"text/plain", about), *records]
+    parts = [b"%s %s %s %s %s%d\n" % (u, a, d, t, middle, len(b)) + b + b"\n" for u, a, d, t, b in rows]
+    return b"".join(map(gzip.compress, parts)) if packed else b"".join(parts)
+
+
+@pytest.mark.parametrize("version,packed", [(1, True), (2, False)])
+def test_foreign_archives(spark, tmp_path, version, packed):
+    latin, binary = "caf\xe9 \xa3".encode("latin-1"), bytes(range(256)) * 40
+    records = [
+        (b"http://a.example/x", b"10.1.2.3", b"19990102030405", b"text/html", b"HTTP/1.0 200 OK\r\nContent-Type: text/html; charset=iso-8859-1\r\n\r\n" + latin),
+        (b"http://a.example/image", b"10.1.2.4", b"19990102030406", b"image/gif", b"HTTP/1.1 200 OK\nA: b\n\n" + binary),
+        (b"http://a.example/with some spaces", b"10.1.2.5", b"19990102030407", b"text/plain", b"HTTP/1.0 200 OK\n\n"),
+        (b"http://a.example/caf\xe9", b"10.1.2.6", b"19990102030408", b"text/html", b"HTTP/1.0 204 No\r\nB: c\r\n\r\n\n\nhttp://x 1.1.1.1 2 t 5\n\x00"),
+        (b"dns:a.example", b"10.9.9.9", b"19990102030409", b"text/dns", b"19990102030409\na.example. 3600 IN A 10.1.2.3\n"),
+        (b"http://b.example/copy", b"10.1.2.7", b"19990102030410", b"image/gif", b"HTTP/1.0 200 OK\r\n\r\n" + binary),
+        (b"http://b.example/no-head", b"10.1.2.8", b"19990102030411", b"application/x-thing", b"no head at all \xff"),
+    ]
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / ("x.arc.gz" if packed else "x.arc")).write_bytes(_arc(version, records, packed))
+    warc.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    got = {f.get("WARC-Target-URI", "info"): (f, b) for p in (tmp_path / "warc").glob("part-*") for f, b in warc.warc_records(p.read_bytes(), p.name)}
+    assert len(got) == len(records) + 1 and got["info"][0]["WARC-Type"] == "warcinfo" and got["info"][0]["WARC-Date"] == "1998-02-03T04:05:06Z"
+    uris = {"http://a.example/with%20some%20spaces": 2, "http://a.example/caf%E9": 3, "dns:a.example": 4, "http://a.example/x": 0, "http://b.example/no-head": 6}
+    for uri, k in uris.items():
+        fields, block = got[uri]
+        assert block == records[k][4] and fields["WARC-IP-Address"] == records[k][1].decode()
+        assert fields["WARC-Date"].replace("-", "").replace(":", "").replace("T", "").rstrip("Z") == records[k][2].decode()
+        assert fields["WARC-Block-Digest"] == "sha1:" + sha(block)
+        plain = k in (4, 6)
+        assert fields["WARC-Type"] == ("resource" if plain else "response") and fields["Content-Type"] == (records[k][3].decode() if plain else warc.HTTP)
+    pair = [got["http://a.example/image"], got["http://b.example/copy"]]
+    assert sorted(f["WARC-Type"] for f, _ in pair) == ["response", "revisit"] and {f["WARC-Payload-Digest"] for f, _ in pair} == {"sha1:" + sha(binary)}
+    whole = next((f, b) for f, b in pair if f["WARC-Type"] == "response")
+    assert whole[1].endswith(binary) and next(f for f, _ in pair if f["WARC-Type"] == "revisit")["WARC-Refers-To"] == whole[0]["WARC-Record-ID"]
+    types = {r["record_type"] for r in warc.read_warc(spark, f"{tmp_path}/warc").collect()}
+    assert types == {"response", "resource", "revisit"}
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
