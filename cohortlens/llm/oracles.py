@@ -27,6 +27,13 @@ b AS (SELECT *, CAST({bits} AS BIGINT) AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {masked('base')} <> 0 AS base_failed, {masked('v2')} = 0 AS kept, fail_bits FROM b"""
 
 
+def ablations_sql(policy: str = "v2") -> str:
+    mask = quality.mask(quality.POLICIES[policy])
+    rules = " UNION ALL ".join(f"SELECT '{r}' AS rule, COUNT(*) FILTER ((fail_bits & {quality.BIT[r]}) <> 0) AS n_failed, "
+                               f"COUNT(*) FILTER ((fail_bits & {mask}) = {quality.BIT[r]}) AS n_only FROM q" for r in quality.POLICIES[policy])
+    return f"WITH q AS ({quality_sql()}) {rules}"
+
+
 def dedup_sql() -> str:
     k = superminhash.SHINGLE
     return f"""
@@ -147,4 +154,5 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
 
 
 ORACLES = {"op6_mixing": mixing_sql(), "op5_url_filter": urls_sql(), "op7_near_dedup": dedup_sql(), "op8_warc": warc_sql(), "op10_quality_rules": quality_sql(),
+           "quality_ablations": ablations_sql(),
            "op11_lexical": lexical_sql(), "op12_exact_topk": topk_sql(), "op13_fill_in_middle": fim_sql()}

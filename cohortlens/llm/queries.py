@@ -132,3 +132,9 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     output = F.col("fim.output")
     return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(output, 256).alias("output_sha256"),
                        F.sha2(fim.restore(output, F.col("fim.form")), 256).alias("restored_sha256"))
+
+
+@text_query
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rule, n_failed, n_only: of the current policy's rules, the documents that each rejects, and those that no other does."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
