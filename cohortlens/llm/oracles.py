@@ -69,9 +69,10 @@ WITH u AS (SELECT page_id, regexp_extract(COALESCE(url, ''), '(?s)^.*?://(.*)$',
 p AS (SELECT page_id, {LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 o AS (SELECT doc_id AS page_id, MAX(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id),
 h AS (SELECT host, CAST(COUNT(bad) AS DOUBLE) AS n, CAST(COALESCE(SUM(bad), 0) AS DOUBLE) AS bad FROM p LEFT JOIN o ON p.page_id = o.page_id WHERE host <> '' GROUP BY host),
-x AS (SELECT *, array_to_string(string_split(host, '.')[-2:], '.') AS last2 FROM h),
-y AS (SELECT host, n, bad, CASE WHEN last2 IN ({two}) THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE last2 END AS domain,
-        CASE WHEN last2 IN ({two}) THEN last2 ELSE string_split(host, '.')[-1] END AS suffix FROM x),
+g AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare FROM h),
+x AS (SELECT *, regexp_matches(bare, '^[0-9]+(\\.[0-9]+){{3}}$') OR starts_with(bare, '[') AS address, array_to_string(string_split(bare, '.')[-2:], '.') AS last2 FROM g),
+y AS (SELECT host, n, bad, CASE WHEN address THEN bare WHEN last2 IN ({two}) THEN array_to_string(string_split(bare, '.')[-3:], '.') ELSE last2 END AS domain,
+        CASE WHEN address THEN bare WHEN last2 IN ({two}) THEN last2 ELSE string_split(bare, '.')[-1] END AS suffix FROM x),
 top AS (SELECT SUM(bad) / NULLIF(SUM(n), 0) AS all_rate FROM y),
 s0 AS (SELECT suffix, SUM(n) AS n, SUM(bad) AS bad, MAX(all_rate) AS all_rate FROM y, top GROUP BY suffix),
 {shrunk('s0', 'all_rate', 'suffix_rate', 's1')},

@@ -5,8 +5,8 @@ down, each level's rate is shrunk towards its parent's by a beta-binomial prior
 estimated from the spread of that level's rates (moments). A host is blocked if the lower bound of its
 posterior bad rate is over the threshold: few outcomes move a host little from its domain's rate.
 
-Registered domain: the last two labels (three where the last two are a known two-label suffix); suffix: what
-follows the domain's first label.
+Registered domain: the last two labels of the host without user info and port (three where the last two are a known two-label
+suffix); suffix: what follows the domain's first label. A numeric address (four numbers, or in brackets) is its own domain and suffix.
 
 Defined results: a null url or one without ``://`` has an empty host and path and is allowed; a host
 without outcomes takes its domain's posterior; several outcomes of one page count once (bad if any is);
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.session import materialize
+
 #: (host and path, verdict); a rule fits its host and all subdomains if the url's path starts with its path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 THRESHOLD, Z = 0.5, 1.645  # block where posterior mean - Z deviations is over THRESHOLD
@@ -47,9 +49,12 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
 
 def registered(host: Column, two_labels=TWO_LABELS) -> tuple[Column, Column]:
     """(registered domain, suffix)."""
-    last = F.substring_index(host, ".", -2)
-    domain = F.when(last.isin(*two_labels), F.substring_index(host, ".", -3)).otherwise(last)
-    return domain, F.when(last.isin(*two_labels), last).otherwise(F.substring_index(host, ".", -1))
+    bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+    address = bare.rlike(r"^[0-9]+(\.[0-9]+){3}$") | bare.startswith("[")
+    last = F.substring_index(bare, ".", -2)
+    domain = F.when(last.isin(*two_labels), F.substring_index(bare, ".", -3)).otherwise(last)
+    suffix = F.when(last.isin(*two_labels), last).otherwise(F.substring_index(bare, ".", -1))
+    return F.when(address, bare).otherwise(domain), F.when(address, bare).otherwise(suffix)
 
 
 def _strength(level: DataFrame, parent: str) -> Column:
@@ -92,6 +97,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url: s
     once = outcomes.select(F.col("page_id").alias("__id"), "bad").where("bad is not null").groupBy("__id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
     counted = found.select(F.col(id_col).alias("__id"), "host").join(once, "__id", "left")
     hosts = counted.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).where("host != ''")
+    hosts = materialize(hosts, "url-hosts")  # every level of the reputation reads it
     known = reputation(hosts, z, two_labels).withColumnRenamed("host", "__host")
     out = found.withColumn("__rule", rule_for(F.col("host"), F.col("path"), rules)).join(known, F.col("host") == F.col("__host"), "left")
     method = F.when(F.col("bad_bound") > threshold, "block").otherwise("allow")

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 urls = pytest.importorskip("cohortlens.llm.urls")
 
@@ -55,3 +56,11 @@ def test_reputation_blocks_bad_hosts_and_shrinks(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string")
     assert urls.judge(df, spark.createDataFrame([], "page_id long, bad boolean")).count() == 0
+
+
+def test_domains_without_port_and_user_info(spark):
+    hosts = {"h.com:8080": ("h.com", "com"), "a.b.h.com": ("h.com", "com"), "me:pw@x.h.co.uk:1": ("h.co.uk", "co.uk"), "192.168.0.1": ("192.168.0.1", "192.168.0.1"),
+             "192.168.0.1:80": ("192.168.0.1", "192.168.0.1"), "[::1]:80": ("[::1]", "[::1]"), "localhost": ("localhost", "localhost"), "1.2.3.example.org": ("example.org", "org")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    domain, suffix = urls.registered(F.col("host"))
+    assert {r["host"]: (r["d"], r["s"]) for r in df.select("host", domain.alias("d"), suffix.alias("s")).collect()} == hosts
