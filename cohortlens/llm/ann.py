@@ -4,7 +4,7 @@ Every block of rows keeps, for each of ``LINES`` random lines, its projections i
 window around its own projection on every line and widens all windows together (virtual rehashing:
 radius R opens half-width ``HALF`` * R); each row that a window takes in counts one collision. A row
 whose collisions reach ``ALPHA`` of the lines is verified with its exact distance. A query is done
-in a block when its k-th verified distance is within ``RATIO`` * R, or when the windows hold the whole block.
+in a block when its k-th verified distance is within R, or when the windows hold the whole block.
 
 Every row is in exactly one block and every block is searched for every query; a block's k best go
 on, and the k best of these are the answer. Lines are drawn from a fixed seed; nothing is fitted.
@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 
 K = 10
 BLOCK_ROWS = 16384
-#: A row at distance d collides on a line with probability P(|N(0, 1)| <= HALF * R / d). At the last radius the k-th
-#: distance is at most RATIO * R, so such a row has 0.78 * LINES collisions on average, two deviations over ALPHA.
-LINES, HALF, ALPHA, RATIO = 48, 1.36, 0.66, 1.1
-FIRST_RADIUS, GROWTH = 0.05, 1.6  # of the spread of the block's projections; per widening
+#: A row at distance d collides on a line with probability P(|N(0, 1)| <= HALF * R / d): 0.826 at d = R, 0.733 at 1.23 R. With so many
+#: lines, ALPHA lies 1.5 deviations below the first rate and 2 above the second, so that rows a little beyond R are not verified.
+LINES, HALF, ALPHA = 256, 1.36, 0.79
+#: Radii start at FIRST_RADIUS, in units of the spread of the block's projections, and grow fast below FINE_FROM, where few rows collide.
+FIRST_RADIUS, FINE_FROM, FAST, FINE = 0.05, 0.3, 1.5, 1.08
 SEED = 20_240_601
 
 
@@ -40,41 +41,45 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.lines = np.random.default_rng(SEED).standard_normal((LINES, vectors.shape[1]))
-        at = vectors @ self.lines.T
-        self.order = np.ascontiguousarray(np.argsort(at, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(np.ascontiguousarray(at.T), self.order, axis=1)
-        self.unit = float(np.median(at.std(axis=0))) or 1.0
+        at = (vectors @ self.lines.T).T
+        self.order = np.argsort(at, axis=1, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(at, self.order, axis=1)
+        self.unit = float(np.median(at.std(axis=1))) or 1.0
+        self.n_verified = 0
+
+    def _cuts(self, at: np.ndarray, side: str) -> np.ndarray:
+        return np.array([np.searchsorted(s, v, side) for s, v in zip(self.sorted, at, strict=True)])
 
     def search(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the k best verified rows, nearest first."""
         n = len(self.ids)
         at = self.lines @ query
-        start = np.array([np.searchsorted(s, v) for s, v in zip(self.sorted, at, strict=True)])
-        left, right = start.copy(), start.copy()
+        left = self._cuts(at, "left")
+        right = left.copy()
         hits = np.zeros(n, dtype=np.int32)
         checked = self.ids == own
         got = np.zeros(0, dtype=np.int64)
         dist = np.zeros(0)
         radius = FIRST_RADIUS * self.unit
         while True:
-            parts = []
-            for i, (s, v) in enumerate(zip(self.sorted, at, strict=True)):
-                a, b = s.searchsorted(v - HALF * radius), s.searchsorted(v + HALF * radius, "right")
-                parts += [self.order[i, a:left[i]], self.order[i, right[i]:b]]
-                left[i], right[i] = min(a, left[i]), max(b, right[i])
-            hits += np.bincount(np.concatenate(parts), minlength=n).astype(np.int32)
+            a, b = np.minimum(self._cuts(at - HALF * radius, "left"), left), np.maximum(self._cuts(at + HALF * radius, "right"), right)
+            parts = [o[i:j] for o, x, y in zip(self.order, zip(a, left, strict=True), zip(right, b, strict=True), strict=True) for i, j in (x, y) if i < j]
+            left, right = a, b
+            if parts:
+                hits += np.bincount(np.concatenate(parts), minlength=n).astype(np.int32)
             whole = bool((left == 0).all() and (right == n).all())
             new = np.flatnonzero((hits >= (0 if whole else ALPHA * LINES)) & ~checked)
             if len(new):
                 checked[new] = True
+                self.n_verified += len(new)
                 got = np.concatenate((got, new))
                 gap = self.vectors[new] - query
                 dist = np.concatenate((dist, np.sqrt(np.einsum("ij,ij->i", gap, gap))))
                 best = np.lexsort((self.ids[got], dist))[:k]
                 got, dist = got[best], dist[best]
-            if whole or (len(dist) >= k and dist[k - 1] <= RATIO * radius):
+            if whole or (len(dist) >= k and dist[k - 1] <= radius):
                 return self.ids[got], dist
-            radius *= GROWTH
+            radius *= FAST if radius < FINE_FROM * self.unit else FINE
 
 
 def _search(k: int):

@@ -55,3 +55,30 @@ def test_few_rows_and_empty(spark):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 0.0), (2, 2, 0.0)]
     none = df.where("vec_id < 0")
     assert ann.search(none, none).count() == 0 and ann.search(df.where("vec_id = 0"), df.where("vec_id = 0")).count() == 0
+
+
+def share_verified(x, queries, k=10):
+    block = ann.Block(np.arange(len(x)), x)
+    hit = 0
+    for q in queries:
+        dist = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        best = [i for i in np.lexsort((np.arange(len(x)), dist)) if i != q][:k]
+        hit += len(set(block.search(q, x[q], k)[0].tolist()) & set(best))
+    return block.n_verified / len(queries) / len(x), hit / len(queries) / k
+
+
+def test_few_rows_are_verified():
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(50, 64))
+    share, recall = share_verified(np.concatenate([c + 0.1 * rng.normal(size=(40, 64)) for c in centers]), range(0, 2000, 40))
+    assert share < 0.05 and recall >= 0.95
+    share, recall = share_verified(rng.normal(size=(6000, 64)), range(0, 6000, 300))  # nothing is near anything
+    assert share < 0.3 and recall >= 0.9
+
+
+def test_few_rows_are_verified_on_the_table():
+    import pandas as pd
+
+    x = np.stack(pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet").sort_values("vec_id")["embedding"].to_numpy()).astype(np.float64)
+    share, recall = share_verified(x, range(0, len(x), 50))
+    assert share < 0.3 and recall >= 0.9
