@@ -73,10 +73,10 @@ def _index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for first, block in blocks(batch["text"], SHARD_BYTES):
             for i in range(0, len(block), SHARD_ROWS):
                 texts = block[i:i + SHARD_ROWS]
-                ids = batch["id"].iloc[first + i:first + i + len(texts)]
-                terms, df, docs, counts, n = postings(texts, ids.notna().to_numpy())
+                at = slice(first + i, first + i + len(texts))
+                terms, df, docs, counts, n = postings(texts, batch["valid"].to_numpy()[at])
                 yield pd.DataFrame({"shard": number, "term": [None, *terms], "n": [int((n > 0).sum()), *df], "total": [int(n.sum()), *[0] * len(df)],
-                                    "docs": [ids.fillna(0).to_numpy(dtype="<i8").tobytes(), *docs], "counts": [n.astype("<u4").tobytes(), *counts]})
+                                    "docs": [batch["id"].to_numpy(dtype="<i8")[at].tobytes(), *docs], "counts": [n.astype("<u4").tobytes(), *counts]})
                 number += 1
 
 
@@ -138,7 +138,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
     vocabulary = asked.select("term").distinct().withColumn("asked", F.lit(True))
     size = vocabulary.count()
     n_blocks = max(1, -(-asked.select("item").distinct().count() // BLOCK_ITEMS))
-    whole = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(_index, INDEX)
+    ident = F.col(id_col).cast("long")
+    whole = docs.select(F.coalesce(ident, F.lit(0)).alias("id"), ident.isNotNull().alias("valid"), F.col(text).alias("text")).mapInPandas(_index, INDEX)
     index = materialize(whole.join(_spread(vocabulary, size), "term", "left").where("asked or term is null").drop("asked"), "lexical-index")
     heads = index.where("term is null")
     n_docs, n_terms = heads.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()

@@ -57,7 +57,7 @@ def test_equals_a_plain_ranking(spark, monkeypatch, rows):
     docs = corpus(700)
     docs += [(1000 + i, docs[5][1]) for i in range(60)]  # copies: ties by id
     docs += [(3, "w7 w8"), (3, "w7 w8"), (None, "w7 w8 w9 rare"), (2000, None), (2001, ""), (2002, "--- ,"), (2003, "Straße ÀB_c 12a")]
-    docs += [(2004, "the " * 40_000 + "needle"), (2005, "rare the"), (2006, "the rare İx")]
+    docs += [(2004, "the " * 40_000 + "needle"), (2005, "rare the"), (2006, "the rare İx"), (2 ** 62 + 1, "rare")]
     items = [(i, docs[7 * i][1]) for i in range(20)] + [(20, "rare"), (20, "needle"), (None, "rare"), (21, None), (22, "no-such"), (23, "the la"), (24, "STRASSE straße İx àb Àb"), (25, docs[5][1])]
     monkeypatch.setattr(lexical, "SHARD_ROWS", rows)
     assert run(spark, docs, items) == brute(docs, items)
