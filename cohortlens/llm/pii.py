@@ -151,11 +151,11 @@ def features(kind: Column, s: Column, before: Column, after: Column) -> Column:
     return F.struct(*[F.coalesce(values[f].cast("double"), F.lit(0.0)).alias(f) for f in FEATURES])
 
 
-def training_rows(spark: SparkSession, n: int = TRAIN_ROWS) -> DataFrame:
-    """(id, kind, label, FEATURES...) of ``n`` labelled candidates made from TEMPLATES."""
+def training_rows(spark: SparkSession, n: int = TRAIN_ROWS, templates=TEMPLATES) -> DataFrame:
+    """(id, kind, label, FEATURES...) of ``n`` labelled candidates made from templates."""
     one = F.array(*[F.struct(F.lit(KINDS.index(k)).alias("kind"), F.lit(y).alias("label"), F.lit(b).alias("b"), F.lit(c).alias("c"), F.lit(a).alias("a"))
-                    for k, y, b, c, a in TEMPLATES])
-    rows = spark.range(n).select("id", F.element_at(one, (F.col("id") % len(TEMPLATES) + 1).cast("int")).alias("t"))
+                    for k, y, b, c, a in templates])
+    rows = spark.range(n).select("id", F.element_at(one, (F.col("id") % len(templates) + 1).cast("int")).alias("t"))
 
     def filled(c: Column, salt: int) -> Column:
         def char(ch: Column, i: Column) -> Column:
@@ -188,13 +188,13 @@ class Model:
         return F.element_at(F.array(*[F.lit(self.thresholds.get(k, 1e9)) for k in range(len(KINDS))]), (kind + 1).cast("int"))
 
 
-def fit(spark: SparkSession, n: int = TRAIN_ROWS, precision: float = PRECISION, rounds: int = 8, depth: int = 4) -> Model:
+def fit(spark: SparkSession, n: int = TRAIN_ROWS, precision: float = PRECISION, rounds: int = 8, depth: int = 4, templates=TEMPLATES) -> Model:
     """Boosted trees on half of the labelled rows; the thresholds from the other half: for each kind the lowest
     score down to which the selected rows have the wanted precision (none: the kind is never added)."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = training_rows(spark, n)
+    rows = training_rows(spark, n, templates)
     half = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.where(half)).select("features", "label").coalesce(1).cache()
     fitted = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7).fit(vectors)
@@ -207,6 +207,21 @@ def fit(spark: SparkSession, n: int = TRAIN_ROWS, precision: float = PRECISION,
     return model
 
 
+def held_out(spark: SparkSession, n: int = TRAIN_ROWS, folds: int = 4) -> DataFrame:
+    """(kind, n_personal, n_other, precision, recall) on rows of templates that the model was neither fitted nor calibrated on:
+    each fold of the templates is judged by a model of the others."""
+    judged = None
+    for f in range(folds):
+        model = fit(spark, n, templates=[t for i, t in enumerate(TEMPLATES) if i % folds != f])
+        rows = training_rows(spark, n // folds, [t for i, t in enumerate(TEMPLATES) if i % folds == f])
+        own = rows.select("kind", "label", (model.score(F.col) >= model.threshold(F.col("kind"))).alias("chosen"))
+        judged = own if judged is None else judged.unionByName(own)
+    both, chosen, personal = F.count_if(F.col("chosen") & (F.col("label") == 1)), F.count_if(F.col("chosen")), F.count_if(F.col("label") == 1)
+    name = F.element_at(F.array(*[F.lit(x) for x in KINDS]), (F.col("kind") + 1).cast("int"))
+    return judged.groupBy(name.alias("kind")).agg(personal.alias("n_personal"), (F.count(F.lit(1)) - personal).alias("n_other"),
+                                                  (both / F.nullif(chosen, F.lit(0))).alias("precision"), (both / F.nullif(personal, F.lit(0))).alias("recall"))
+
+
 def find(df: DataFrame, model: Model, text: str = "text", to: str = "pii") -> DataFrame:
     """``df`` with array column ``to`` of (start, k, end, base): all selected spans by start, then kind (k: its place in KINDS).
 

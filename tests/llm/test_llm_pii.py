@@ -84,3 +84,10 @@ def test_empty_table_and_plan(spark, model):
     out = pii.find(df, model)
     assert out.count() == 0
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_precision_on_templates_that_were_held_out(spark):
+    got = {r["kind"]: r for r in pii.held_out(spark, n=2400).collect()}
+    assert set(got) == set(pii.KINDS)
+    assert all(r["precision"] is None or r["precision"] >= 0.9 for r in got.values())
+    assert sum(r["recall"] * r["n_personal"] for r in got.values()) >= 0.6 * sum(r["n_personal"] for r in got.values())
