@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cohortlens.operators import metrics as M
@@ -155,3 +156,22 @@ def test_ari_of_a_billion_rows(spark):
     expected = Fraction(2 * (tp * tn - fn * fp), (tp + fn) * (fn + tn) + (tp + fp) * (fp + tn))
     got = M.ari_of_contingency(cont).first()
     assert got["n_matched"] == n and got["ari"] == pytest.approx(float(expected), rel=1e-15)
+
+
+def test_silhouettes_emit_one_row_a_block_pair(spark, monkeypatch):
+    """Several labellings, repeated rows and a label column with 300 clusters: brute force, whichever path they take, and few rows leave the tiles."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 2, (300, 2))
+    labs = np.column_stack([rng.integers(0, 3, 300), (x[:, 0] > 0) * 2 - 1, np.arange(300) // 2])
+    df = spark.createDataFrame([(i, *map(float, p), *map(int, c)) for i, (p, c) in enumerate(zip(x, labs))], "id long, x double, y double, a int, b int, c int")
+    emitted = []
+    made = M._block_pair_sums([np.unique(c) for c in labs[:, :2].T])
+    for blk in (np.arange(300) % 2, np.zeros(300, int)):
+        sides = [pd.DataFrame({"id": np.flatnonzero(blk == s), "c": list(labs[blk == s][:, :2]), "x": list(x[blk == s])}) for s in range(blk.max() + 1)]
+        emitted.append(sum(len(made((i, j), sides[i], sides[j])) for i in range(len(sides)) for j in range(i, len(sides))))
+    assert emitted == [600, 300]  # rows x blocks, not rows x blocks x clusters
+    for most, block in ((256, None), (256, 70), (4, 70)):
+        monkeypatch.setattr(M, "MOST_CLUSTERS", most)
+        got = {r["labelling"]: (r["silhouette"], r["n_rows"]) for r in M.silhouettes_exact(df, "id", ["x", "y"], ["a", "b", "c"], block_rows=block).collect()}
+        for j, name in enumerate("abc"):
+            assert got[name][0] == pytest.approx(_brute_silhouette(x, labs[:, j]), abs=1e-9) and got[name][1] == 300
