@@ -91,7 +91,13 @@ def mix(df: DataFrame, id_col: str = "doc_id", text: str = "text", source: str =
     return out.select(*keep, "size", "source_size", "target", "taken", "positions")
 
 
-def curriculum(mixed: DataFrame) -> DataFrame:
-    """The mix in training order: a row for each time that a document is taken, range-partitioned and sorted by position."""
-    rows = mixed.withColumn("position", F.explode("positions"))
-    return rows.repartitionByRange("position").sortWithinPartitions("position")
+def curriculum(mixed: DataFrame, documents: bool = False) -> DataFrame:
+    """The mix in training order: a row for each time that a document is taken, range-partitioned and sorted by position.
+
+    ``documents``: a row for each document instead, by its first position; those that the mix leaves out come last."""
+    if not documents:
+        rows = mixed.withColumn("position", F.explode("positions"))
+        return rows.repartitionByRange("position").sortWithinPartitions("position")
+    # rows left out have no position: their hash spreads them over the last partitions
+    order = [F.col("position").asc_nulls_last(), F.xxhash64(*[c for c in mixed.columns if c != "positions"])]
+    return mixed.withColumn("position", F.get("positions", F.lit(0))).repartitionByRange(*order).sortWithinPartitions(*order)

@@ -86,5 +86,18 @@ def test_registered_order_has_every_position(spark, tmp_path):
     assert all(abs(a[1] - b[1]) < 1e-5 for a, b in zip(mine, theirs, strict=True))
 
 
+def test_op6_follows_the_training_order(spark, tmp_path):
+    """op6's rows come from the curriculum: sorted by first position, documents left out last, each taken as often as it is placed."""
+    from cohortlens.llm.queries import QUERIES
+
+    data = [(i, "w " * (i % 13), "abc"[min(i % 5, 2)]) for i in range(600)]
+    spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r["doc_id"], r["taken"]) for r in QUERIES["op6_mixing"](spark, str(tmp_path)).collect()]
+    mixed = {r["doc_id"]: r for r in mixing.mix(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()}
+    first = [(mixed[i]["positions"] or [2.0])[0] for i, _ in got]
+    assert len(got) == 600 and first == sorted(first) and 2.0 in first
+    assert all(taken == mixed[i]["taken"] for i, taken in got)
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
