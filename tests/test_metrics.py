@@ -175,3 +175,13 @@ def test_silhouettes_emit_one_row_a_block_pair(spark, monkeypatch):
         got = {r["labelling"]: (r["silhouette"], r["n_rows"]) for r in M.silhouettes_exact(df, "id", ["x", "y"], ["a", "b", "c"], block_rows=block).collect()}
         for j, name in enumerate("abc"):
             assert got[name][0] == pytest.approx(_brute_silhouette(x, labs[:, j]), abs=1e-9) and got[name][1] == 300
+
+
+def test_runs_of_equal_labels_are_summed_first():
+    rng = np.random.default_rng(6)
+    dist = rng.random((128, 256))
+    for rows, axis in ((256, 1), (128, 0)):
+        of = np.zeros((rows, 40))
+        of[np.arange(rows), np.sort(rng.integers(0, 9, rows))] = 1.0
+        for one_hot in (of, of[rng.permutation(rows)], of[:, :9]):
+            assert np.allclose(M._grouped(dist, one_hot, axis), (dist if axis else dist.T) @ one_hot, rtol=1e-13)
