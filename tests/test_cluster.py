@@ -319,3 +319,22 @@ def test_ward_rounds_equal_naive(spark):
         same.setdefault(r["cluster"], set()).add(r["id"])
     groups = W.cut(merges, len(x), 5)
     assert {frozenset(v) for v in same.values()} == {frozenset(np.flatnonzero(groups == g).tolist()) for g in set(groups)}
+
+
+def test_cells_that_are_joined_are_not_compared(spark):
+    """Cells joined through their central rows need no comparison of rows; the labels are those of a scan."""
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.uniform(0, 2, size=(900, 2)), rng.uniform(5, 6, size=(300, 2)), [[2.4, 1.0], [9.0, 9.0]]])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, x double, y double")
+    pts, cells = DB._cells(df, "id", ["x", "y"], 0.5, 64)
+    pairs = DB._cell_pairs(cells, 2, 0.5).where("n_a >= 4 and n_b >= 4").persist()
+    links = DB.central_links(pairs, pts.withColumn("core", F.lit(True)), 2, 0.5).collect()
+    names = {tuple(r["cell"]): i for i, r in enumerate(cells.orderBy("cell").collect())}
+    root = {i: i for i in names.values()}
+    for r in links:
+        a, b = root[names[tuple(r["cell_a"])]], root[names[tuple(r["cell_b"])]]
+        root = {i: min(a, b) if v in (a, b) else v for i, v in root.items()}
+    parts = spark.createDataFrame([(list(c), root[i]) for c, i in names.items()], "cell array<bigint>, part long")
+    assert pairs.count() > 100 and DB.open_cell_pairs(pairs, parts, 4).count() < 0.1 * pairs.count()
+    got = {r["id"]: r["cluster"] for r in DB.dbscan(df, "id", ["x", "y"], 0.5, 4, chunk_rows=64).collect()}
+    assert [got[i] for i in range(len(x))] == list(_naive_dbscan(x, 0.5, 4))
