@@ -338,3 +338,17 @@ def test_cells_that_are_joined_are_not_compared(spark):
     assert pairs.count() > 100 and DB.open_cell_pairs(pairs, parts, 4).count() < 0.1 * pairs.count()
     got = {r["id"]: r["cluster"] for r in DB.dbscan(df, "id", ["x", "y"], 0.5, 4, chunk_rows=64).collect()}
     assert [got[i] for i in range(len(x))] == list(_naive_dbscan(x, 0.5, 4))
+
+
+def test_dense_vectors_visit_a_few_cells(spark, monkeypatch):
+    """In one dense place most rows meet NEAR_CELLS cells only; the labels are those of a scan."""
+    from cohortlens.operators import dbscan_metric as DM
+
+    monkeypatch.setattr(DM, "ROWS_PER_PIVOT", 40)
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(800, 8)), 3 + 0.3 * rng.normal(size=(30, 8)) + 20, np.full((1, 8), 9.0)])
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "id long, x array<double>").repartition(4)
+    _, visits = DM.dbscan_metric(df, 2.6, 4, 64)
+    assert visits.select("id", "cell").distinct().count() < 0.6 * len(x) * 20
+    out = {r["id"]: r["cluster"] for r in DB.dbscan_vectors(df, "id", "x", 2.6, 4, 64).collect()}
+    assert [out[i] for i in range(len(x))] == list(_naive_dbscan(x, 2.6, 4))
