@@ -352,3 +352,12 @@ def test_dense_vectors_visit_a_few_cells(spark, monkeypatch):
     assert visits.select("id", "cell").distinct().count() < 0.6 * len(x) * 20
     out = {r["id"]: r["cluster"] for r in DB.dbscan_vectors(df, "id", "x", 2.6, 4, 64).collect()}
     assert [out[i] for i in range(len(x))] == list(_naive_dbscan(x, 2.6, 4))
+
+
+def test_fits_scan_a_few_parts_a_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(40_000).selectExpr("id", "CAST(id AS DOUBLE) AS x").repartition(150)
+    for df in (wide, wide.coalesce(1)):
+        got = KM.dealt(df, "id")
+        assert min(2, 2 * cores) <= got.rdd.getNumPartitions() <= 2 * cores and got.count() == 40_000
+    assert KM.dealt(wide.limit(0), None).count() == 0
