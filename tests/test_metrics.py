@@ -185,3 +185,36 @@ def test_runs_of_equal_labels_are_summed_first():
         of[np.arange(rows), np.sort(rng.integers(0, 9, rows))] = 1.0
         for one_hot in (of, of[rng.permutation(rows)], of[:, :9]):
             assert np.allclose(M._grouped(dist, one_hot, axis), (dist if axis else dist.T) @ one_hot, rtol=1e-13)
+
+
+def test_many_clusters_stream_rows_through_blocks(spark, monkeypatch):
+    """More than FEW_COLUMNS clusters: brute force with null labels, null and repeated ids and equal rows; a row's sums leave the tasks once,
+    not once a block, and no row is paired with another."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(0, 2, (400, 3)), 1)
+    x[200:220] = x[:20]  # equal rows of other ids
+    labs = np.column_stack([rng.integers(0, 12, 400), (x[:, 0] > 0) * 2 - 1, rng.integers(-1, 20, 400)])
+    rows = [(None if i == 7 else i, *map(float, p), None if c[0] == 11 else int(c[0]), *map(int, c[1:])) for i, (p, c) in enumerate(zip(x, labs))]
+    df = spark.createDataFrame(rows, "id long, x double, y double, z double, a int, b int, c int").repartition(5)
+    monkeypatch.setattr(M, "_block_pair_sums", lambda labels: pytest.fail("blocks met in pairs"))
+    for block in (None, 37):
+        got = {r["labelling"]: (r["silhouette"], r["n_rows"]) for r in M.silhouettes_exact(df, "id", ["x", "y", "z"], ["a", "b", "c"], block_rows=block).collect()}
+        for j, name in enumerate("abc"):
+            assert got[name][0] == pytest.approx(_brute_silhouette(x, labs[:, j]), abs=1e-12) and got[name][1] == 400
+    base = df.selectExpr("id", "array(cast(b as bigint), cast(c as bigint)) as c", "array(x, y, z) as x")
+    labels = [np.unique(c) for c in labs[:, 1:].T]
+    sums = M._streamed_sums(base, 400, 3, labels, "bigint", 37)
+    assert sums.count() == 400 and sums.where("size(s) = 23 and n = 1").count() == 400
+    again = base.unionByName(base.where("id = 9"))  # rows of one id and the same labels count as one, with the sums of both
+    twice = M._streamed_sums(again, 401, 3, labels, "bigint", 37).where("id = 9").collect()
+    assert [r["n"] for r in twice] == [2]
+    d = np.sqrt(((x[9] - np.vstack([x, x[9:10]])) ** 2).sum(1))
+    lab = np.append(labs[:, 1], labs[9, 1])
+    assert twice[0]["s"][:2] == pytest.approx([2 * d[lab == k].sum() for k in (-1, 1)])
+
+
+def test_a_labelling_of_many_clusters_does_not_part_the_others():
+    assert M._shared([5, 300, 4]) == ([[0, 2]], [1])
+    assert M._shared([200, 50, 10]) == ([[0, 1], [2]], [])
+    groups, alone = M._shared([16] * 16)  # one number holds all labels of a row
+    assert alone == [] and groups == [list(range(15)), [15]]
