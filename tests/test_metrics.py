@@ -1,6 +1,7 @@
 """Scores against brute-force NumPy on small frames; ARI properties; sentinels."""
 
 import math
+import time
 
 import numpy as np
 import pandas as pd
@@ -218,3 +219,75 @@ def test_a_labelling_of_many_clusters_does_not_part_the_others():
     assert M._shared([200, 50, 10]) == ([[0, 1], [2]], [])
     groups, alone = M._shared([16] * 16)  # one number holds all labels of a row
     assert alone == [] and groups == [list(range(15)), [15]]
+
+
+def _sums_by_differences(a, b, codes, width):
+    """What one tile of 8 rows after the other costs without a product of matrices."""
+    out, starts = np.zeros((a.shape[1], width)), np.flatnonzero(np.diff(codes, prepend=-1))
+    for lo in range(0, a.shape[1], 8):
+        dist = np.zeros((a[:, lo:lo + 8].shape[1], b.shape[1]))
+        for x, y in zip(a[:, lo:lo + 8, None], b[:, None, :]):
+            diff = x - y
+            np.multiply(diff, diff, out=diff)
+            dist += diff
+        np.sqrt(dist, out=dist)
+        out[lo:lo + 8, codes[starts]] += np.add.reduceat(dist, starts, axis=1)
+    return out
+
+
+def test_streamed_distances_are_exact_on_odd_rows():
+    """Offsets, outliers, equal rows, few values: the sums of differences, and 0 for equal rows, whichever way a tile is computed."""
+    rng = np.random.default_rng(12)
+    forms = {"plain": lambda x: x, "offset": lambda x: x + 1e7, "equal": lambda x: 0 * x + 0.1, "few values": np.round,
+             "outliers": lambda x: np.where(rng.random(x.shape) < 0.002, x * 1e7, x), "close": lambda x: 3.0 + x * 1e-9}
+    for name, form in forms.items():
+        a = form(rng.normal(size=(3, 37)))
+        b = np.hstack([a[:, :20], form(rng.normal(size=(3, 2 * M.STREAM_TILE_COLUMNS)))])
+        for codes in (np.sort(rng.integers(0, 5, b.shape[1])), rng.integers(0, 5, b.shape[1]), np.zeros(b.shape[1], np.int64)):
+            got = np.zeros((37, 5))
+            M._stream_distance_sums(a, b, codes, lambda c: np.eye(5)[c], got)
+            want = np.sqrt(((a[:, :, None] - b[:, None, :]) ** 2).sum(axis=0)) @ np.eye(5)[codes]
+            assert np.allclose(got, want, rtol=1e-10, atol=0), name
+    a = np.full((3, 4), 0.3)
+    a[0, 1] = np.inf
+    got = np.zeros((4, 1))
+    with np.errstate(invalid="ignore"):
+        M._stream_distance_sums(a, np.full((3, 6), 0.3), np.zeros(6, np.int64), lambda c: np.ones((len(c), 1)), got)
+    assert got[:, 0].tolist() == [0.0, np.inf, 0.0, 0.0]
+
+
+def test_streamed_distances_cost_less_than_differences():
+    """Every pair of rows is one distance, so a distance's cost is the silhouette's: the least times of five runs."""
+    rng = np.random.default_rng(13)
+    a, b, codes = rng.normal(size=(3, 512)), rng.normal(size=(3, 10_000)), np.sort(rng.integers(0, 4, 10_000))
+    times = {"differences": [], "streamed": []}
+    for _ in range(5):
+        start = time.perf_counter()
+        want = np.zeros((512, 4))
+        for lo in range(0, 10_000, 4096):
+            want += _sums_by_differences(a, b[:, lo:lo + 4096], codes[lo:lo + 4096], 4)
+        times["differences"].append(time.perf_counter() - start)
+        start, got = time.perf_counter(), np.zeros((512, 4))
+        M._stream_distance_sums(a, b, codes, lambda c: np.eye(4)[c], got)
+        times["streamed"].append(time.perf_counter() - start)
+        assert np.allclose(got, want, rtol=1e-12)
+    assert min(times["streamed"]) < 0.85 * min(times["differences"])
+
+
+def test_rows_that_stream_leave_their_task_as_silhouettes(spark):
+    """One number a labelling, however many clusters it has: single rows, repeated ids and rows, a labelling of one cluster."""
+    rng = np.random.default_rng(14)
+    x = np.round(rng.normal(0, 1, (90, 2)), 1)
+    labs = np.column_stack([rng.integers(0, 18, 90), np.zeros(90, int), np.where(np.arange(90) == 5, 1, 0)])
+    df = spark.createDataFrame([(i, *map(float, p), *map(int, c)) for i, (p, c) in enumerate(zip(x, labs))], "id long, x double, y double, a int, b int, c int")
+    base = df.selectExpr("id", "array(cast(a as bigint), cast(b as bigint), cast(c as bigint)) as c", "array(x, y) as x")
+    labels, sizes = zip(*[np.unique(c, return_counts=True) for c in labs.T])
+    rows = M._streamed_sums(base, 90, 2, list(labels), "bigint", 40, list(sizes)).collect()
+    assert len(rows) == 90 and all(len(r["s"]) == 3 for r in rows)
+    for j in (0, 2):
+        assert np.mean([r["s"][j] for r in rows]) == pytest.approx(_brute_silhouette(x, labs[:, j]), abs=1e-12)
+    assert all(r["s"][1] == 0 for r in rows)
+    got = {r["labelling"]: r["silhouette"] for r in M.silhouettes_exact(df, "id", ["x", "y"], ["a", "b", "c"]).collect()}
+    assert got["a"] == pytest.approx(_brute_silhouette(x, labs[:, 0]), abs=1e-12) and got["b"] == 0
+    own = np.array([[0], [0]])
+    assert M._row_silhouettes(own, np.array([2, 1]), np.array([[0.0, 8.0], [0.0, 0.0]]), [np.array([1, 2])]).tolist() == [[1.0], [0.0]]
