@@ -321,6 +321,34 @@ def test_ward_rounds_equal_naive(spark):
     assert {frozenset(v) for v in same.values()} == {frozenset(np.flatnonzero(groups == g).tolist()) for g in set(groups)}
 
 
+def test_ward_rounds_with_equal_rows(spark):
+    """Rows that are equal, or nearest to rows of other cells, merge as the sequential algorithm merges them; ids of any type."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.uniform(0, 4, size=(120, 2)), rng.uniform(9, 12, size=(60, 2)), [[1.0, 1.0]] * 30, [[-0.0, 20.0], [0.0, 20.0]]])
+    merges = W.ward_merges(x, np.ones(len(x)))
+    rows = [(f"r{i:04d}", *map(float, p)) for i, p in enumerate(x)]
+    labels, table, mode = W.ward(spark.createDataFrame(rows, "id string, a double, b double").repartition(4), "id", ["a", "b"], 4, exact="rounds")
+    got = sorted((r["height"], r["size"]) for r in table.collect())
+    assert mode == "exact rounds" and len(got) == len(x) - 1 and np.allclose(got, sorted((m[2], m[3]) for m in merges))
+    same, groups = {}, W.cut(merges, len(x), 4)
+    for r in labels.collect():
+        same.setdefault(r["cluster"], set()).add(int(r["id"][1:]))
+    assert {frozenset(v) for v in same.values()} == {frozenset(np.flatnonzero(groups == g).tolist()) for g in set(groups)}
+
+
+def test_ward_cells_merge_what_no_outside_cluster_can_join():
+    """A cell leaves the pairs open that a visitor, or a cluster in another cell's box, could come into."""
+    from cohortlens.operators import ward_rounds as WR
+
+    x, n, none = np.array([[0.0], [1.0], [10.0], [10.5]]), np.ones(4), np.zeros((0, 1))
+    merged = lambda lo, hi, least, y, m, reach: [m[:2] for m in WR._merged_within(np.arange(4), x, n, lo, hi, least, y, m, reach)[0]]
+    assert merged(none, none, np.zeros(0), none, np.zeros(0), 1.0) == [(0, 1), (2, 3), (0, 2)]
+    assert merged(none, none, np.zeros(0), np.array([[11.2]]), np.ones(1), 1.0) == [(0, 1), (2, 3)]  # the visitor is nearer than 0 and 1
+    box = np.array([[10.9]]), np.array([[99.0]]), np.ones(1)
+    assert merged(*box, none, np.zeros(0), 0.1) == [(0, 1)]  # 10.5 may have its nearest at 10.9
+    assert merged(*box, none, np.zeros(0), 5.0) == [(0, 1), (2, 3)]  # whoever is within 5 would be a visitor
+
+
 def test_cells_that_are_joined_are_not_compared(spark):
     """Cells joined through their central rows need no comparison of rows; the labels are those of a scan."""
     rng = np.random.default_rng(3)
